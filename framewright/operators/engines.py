@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 
 from framewright.functions import parse
 from framewright.functions.frames import second_label
+from framewright.session import ship
 
 #: The texts that stand for a failed OCR.
 OCR_EMPTY, OCR_ERROR = "<<< OCR_FAILED_EMPTY_TEXT >>>", "<<< OCR_EXCEPTION: {} >>>"
@@ -33,6 +34,7 @@ def tesseract_installed() -> bool:
 
 def ocr(frames: DataFrame, factory: Callable[[], OcrEngine]) -> DataFrame:
     """(video_id, frame_name, content) -> (video_id, frame_name, raw_text, ocr_failed); failures are texts of their own."""
+    ship(frames.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         engine = factory()
@@ -53,6 +55,7 @@ def ocr(frames: DataFrame, factory: Callable[[], OcrEngine]) -> DataFrame:
 
 def call_model(batches: DataFrame, prompt: str, factory: Callable[[], ModelEngine]) -> DataFrame:
     """Adds response, input_tokens, output_tokens, error to rows with video_id, batch, batch_text. A blank text is not sent."""
+    ship(batches.sparkSession)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         engine = factory()
@@ -75,6 +78,7 @@ def call_model(batches: DataFrame, prompt: str, factory: Callable[[], ModelEngin
 
 def decode(videos: DataFrame, factory: Callable[[], Decoder], target_fps: float = 1.0) -> DataFrame:
     """(video_id, content) -> (video_id, frame_count, native_fps, content): kept frames only; empty ones are counted but dropped."""
+    ship(videos.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         decoder = factory()
