@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from framewright.llm.store import small_batches
 
 SHORT = 64
-REMEMBER = 150_000
+REMEMBER = 250_000
 """Distinct words that a process remembers before it starts over, and as many stretches between blanks."""
 PLAIN = regex.compile("[\t\n\r\x20-\x7e\xa1-\xac\xae-\u01c3\u01cd-\u01f0\u2013\u2014\u2018-\u201e\u2026\u20ac]*")
 """Texts whose normalisation and split do not depend on a Unicode version; all others are normalised and split
@@ -53,65 +53,67 @@ class WordBpe:
         told = json.loads(spec)
         model = told["model"]
         self.vocab: dict[str, int] = model["vocab"]
-        self.end: str = model["end_of_word_suffix"] or ""
-        pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ", 1)) for m in model["merges"]]
-        self.rank = {pair: k for k, pair in enumerate(pairs)}
+        end: str = model["end_of_word_suffix"] or ""
+        pairs = [m if isinstance(m, list) else m.split(" ", 1) for m in model["merges"]]
+        #: Rank of a pair of neighbouring ids, and the id that a merge of that rank makes.
+        self.rank = {self.vocab[x] << 20 | self.vocab[y]: k for k, (x, y) in enumerate(pairs)}
+        self.made = [self.vocab[x + y] for x, y in pairs]
+        self.letters = byte_letters()
+        self.inner = {c: self.vocab[c] for c in self.letters if c in self.vocab}
+        self.last = {c: self.vocab[c + end] for c in self.letters if c + end in self.vocab}
         self.special = {t["content"]: t["id"] for t in told["added_tokens"]}
         self.token = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         split = next(p for p in told["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.split = regex.compile(split["pattern"]["Regex"])
         self.library = Tokenizer.from_str(spec)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.letters = byte_letters()
         self.seen: dict[str, Piece] = {}
         self.near: dict[str, Piece] = {}
 
-    def merge(self, word: str) -> list[str]:
-        """The tokens of one word, given as the letters of its bytes."""
-        parts = list(word)
-        parts[-1] += self.end
+    def merge(self, word: str) -> list[int]:
+        """The ids of one word, given as the letters of its bytes."""
+        parts = [self.inner[c] for c in word]
+        parts[-1] = self.last[word[-1]]
         return self._scan(parts) if len(parts) <= SHORT else self._heap(parts)
 
-    def _scan(self, parts: list[str]) -> list[str]:
-        rank, never = self.rank, len(self.rank)
-        ranks = [rank.get(p, never) for p in zip(parts, parts[1:], strict=False)]
-        while ranks:
-            low = min(ranks)
-            if low == never:
-                break
+    def _scan(self, parts: list[int]) -> list[int]:
+        rank, made = self.rank, self.made
+        never = len(made)
+        ranks = [rank.get(x << 20 | y, never) for x, y in zip(parts, parts[1:], strict=False)]
+        while ranks and (low := min(ranks)) != never:
             i = ranks.index(low)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del ranks[i]
+            parts[i] = new = made[low]
+            del parts[i + 1], ranks[i]
             if i:
-                ranks[i - 1] = rank.get((parts[i - 1], parts[i]), never)
+                ranks[i - 1] = rank.get(parts[i - 1] << 20 | new, never)
             if i < len(ranks):
-                ranks[i] = rank.get((parts[i], parts[i + 1]), never)
+                ranks[i] = rank.get(new << 20 | parts[i + 1], never)
         return parts
 
-    def _heap(self, parts: list[str]) -> list[str]:
+    def _heap(self, parts: list[int]) -> list[int]:
         rank, n = self.rank, len(parts)
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
-        heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := rank.get((parts[i], parts[i + 1]))) is not None]
+        heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := rank.get(parts[i] << 20 | parts[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, left, right = heapq.heappop(heap)
+            low, i, left, right = heapq.heappop(heap)
             j = after[i]
             if parts[i] != left or j < 0 or parts[j] != right:
                 continue
-            parts[i], parts[j], after[i] = left + right, "", after[j]
+            parts[i], parts[j], after[i] = self.made[low], -1, after[j]
             if after[i] >= 0:
                 before[after[i]] = i
             for k in (before[i], i):
-                if k >= 0 and after[k] >= 0 and (r := rank.get((parts[k], parts[after[k]]))) is not None:
+                if k >= 0 and after[k] >= 0 and (r := rank.get(parts[k] << 20 | parts[after[k]])) is not None:
                     heapq.heappush(heap, (r, k, parts[k], parts[after[k]]))
-        return [p for p in parts if p]
+        return [p for p in parts if p >= 0]
 
     def word(self, word: str) -> Piece:
         """Number of ids, the ids joined by spaces, and the decoded tokens joined by spaces."""
         got = self.seen.get(word)
         if got is None:
-            made = [t for t in self.merge(word) if t in self.vocab]
-            got = self._keep(self.seen, word, (len(made), " ".join(str(self.vocab[t]) for t in made), " ".join(made)))
+            ids = self.merge(word)
+            got = self._keep(self.seen, word, (len(ids), " ".join([str(i) for i in ids]), " ".join([self.token[i] for i in ids])))
         return got
 
     def _keep(self, seen: dict[str, Piece], key: str, piece: Piece) -> Piece:
@@ -122,20 +124,26 @@ class WordBpe:
         return piece
 
     def _together(self, pieces: list[Piece]) -> Piece:
-        some = [p for p in pieces if p[0]]
-        return sum([p[0] for p in some]), " ".join([p[1] for p in some]), " ".join([p[2] for p in some])
+        counts, ids, decoded = zip(*pieces, strict=True) if pieces else ((), (), ())
+        return sum(counts), " ".join(ids), " ".join(decoded)
+
+    def _stretch(self, stretch: str) -> Piece:
+        """A stretch between blanks: lower-cased, then split; letters with at most one other mark at the end need no pattern."""
+        low = stretch.lower()
+        if low.isalpha():
+            cut = [low]
+        elif low[:-1].isalpha():
+            cut = [low[:-1], low[-1]]
+        else:
+            cut = self.split.findall(low)
+        letters = self.letters
+        pieces = [self.word(w if w.isascii() and w.isprintable() else "".join([letters[b] for b in w.encode()])) for w in cut]
+        return self._keep(self.near, stretch, pieces[0] if len(pieces) == 1 else self._together(pieces))
 
     def _plain(self, text: str) -> Piece:
-        """A text of well-known characters: lower-cased, then split within each stretch between blanks."""
-        near, found = self.near, []
-        for stretch in text.split():
-            got = near.get(stretch)
-            if got is None:
-                cut = self.split.findall(stretch.lower())
-                letters = self.letters
-                got = self._keep(near, stretch, self._together([self.word("".join([letters[b] for b in w.encode()])) for w in cut]))
-            found.append(got)
-        return self._together(found)
+        """A text of well-known characters."""
+        near, new = self.near.get, self._stretch
+        return self._together([near(s) or new(s) for s in text.split()])
 
     def _any(self, text: str) -> Piece:
         low = self.library.normalizer.normalize_str(text)
@@ -149,7 +157,7 @@ class WordBpe:
                 found.append((1, str(self.special[raw]), raw))
             elif raw:
                 found.append(self._plain(raw) if PLAIN.fullmatch(raw) else self._any(raw))
-        return found[0] if len(found) == 1 else self._together(found)
+        return found[0] if len(found) == 1 else self._together([f for f in found if f[0]])
 
     def encode(self, text: str) -> list[int]:
         return [int(x) for x in self.both(text)[1].split()]

@@ -139,7 +139,7 @@ def test_bpe_matches_the_library():
 @settings(max_examples=200, deadline=None)
 def test_scan_and_heap_agree(word):
     coder = _coder()
-    parts = [*word[:-1], word[-1] + coder.end]
+    parts = [*(coder.inner[c] for c in word[:-1]), coder.last[word[-1]]]
     assert coder._scan(list(parts)) == coder._heap(list(parts))
 
 
