@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framewright.llm import tokens as tk
-from framewright.llm.store import settle, small_batches, table
+from framewright.llm.store import small_batches, table
 
 U = np.uint64
 THETA = 1 / 60_000
@@ -122,7 +122,7 @@ def encode(docs: DataFrame, train: Column, theta: float = THETA) -> Corpus:
     small_batches(spark)
     local = table(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), train.alias("train")).mapInArrow(_encode, ENCODED), "blocks")
     entries = local.filter("key is not null").select("block", "local", "key", "n")
-    counts = settle(entries.filter("n > 0").groupBy("key").agg(F.sum("n").alias("c")))
+    counts = table(entries.filter("n > 0").groupBy("key").agg(F.sum("n").alias("c")), "counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("c")).first()
     ends = sum(r.c for r in counts.filter(F.col("key") == END_KEY).collect())
     frequent = _frequent(counts, total, theta)
@@ -130,11 +130,10 @@ def encode(docs: DataFrame, train: Column, theta: float = THETA) -> Corpus:
     symbol_counts[RARE] = total - symbol_counts[1:].sum()
     rare_words = distinct - len(frequent) - (ends > 0)
     keys = np.array([END_KEY, *(r.key for r in frequent)], np.int64)
-    order = np.argsort(keys, kind="stable")
-    lookup = spark.sparkContext.broadcast((keys[order], (order + 1).astype(np.int64), symbol_counts))
-    named = spark.createDataFrame([(int(k),) for k in keys], "key long")  # at most 1 / theta rows
-    rare = entries.join(F.broadcast(named), "key", "left_anti").join(counts, "key", "left").select(F.col("block").alias("of"), "local", "key", F.coalesce("c", F.lit(0)).alias("c"))
-    known = entries.join(F.broadcast(named), "key", "left_semi").select(F.col("block").alias("of"), "local", "key", F.lit(-1).cast("long").alias("c"))
+    lookup = spark.sparkContext.broadcast(symbol_counts)
+    named = F.broadcast(spark.createDataFrame([(int(k), s) for s, k in enumerate(keys, 1)], "key long, symbol long"))  # at most 1 / theta rows
+    rare = entries.join(named, "key", "left_anti").join(counts, "key", "left").select(F.col("block").alias("of"), "local", F.coalesce("c", F.lit(0)).alias("c"))
+    known = entries.join(named, "key").select(F.col("block").alias("of"), "local", (-F.col("symbol")).alias("c"))
     texts = local.filter("key is null").select("block", "doc_id", "train", "tokens", "words")
     norm, rare_norm = float(total + distinct + 1), float(symbol_counts[RARE] + rare_words + 1)
     schema = pa.schema([("doc_id", pa.int64()), ("train", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("rare_score", pa.float64()), ("symbols", pa.binary())])
@@ -142,13 +141,10 @@ def encode(docs: DataFrame, train: Column, theta: float = THETA) -> Corpus:
     def resolve(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return schema.empty_table()
-        keys, symbols, symbol_counts = lookup.value
-        at, key, c = (right.column(k).to_numpy() for k in ("local", "key", "c"))
+        at, c = right.column("local").to_numpy(), right.column("c").to_numpy()  # a count, or a symbol's number below zero
         symbol, count = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-        where = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        found = keys[where] == key
-        symbol[at] = np.where(found, symbols[where], RARE)
-        count[at] = np.where(found, symbol_counts[symbols[where]], c)
+        symbol[at] = np.maximum(-c, RARE)
+        count[at] = np.where(c < 0, lookup.value[np.maximum(-c, RARE)], c)
         base = np.log10((count + 1) / norm)
         inside = np.where(symbol == RARE, np.log10((count + 1) / rare_norm), 0.0)
         small = symbol.astype("<u2")
