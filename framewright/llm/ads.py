@@ -5,7 +5,8 @@ the distance over the first m of D rotated dimensions, times D / m, estimates th
 a candidate is abandoned as soon as a hypothesis test on its partial distance (column blocks of ``COLUMNS``) says that
 the whole distance exceeds the query's bound: partial * D / m > bound * (1 + EPSILON / sqrt(m))**2. The
 bound starts as the K-th distance to the vectors of the fitting sample, which are vectors of the corpus.
-Survivors get the exact inner product of the original vectors in double precision.
+Survivors get the exact inner product of the original vectors in double precision; the sample's K nearest vectors, which set
+the bound, are results as well, so that K are found wherever there are K.
 
 Centroids, the number of probed lists and the starting bounds come from at most ``SAMPLE`` vectors (smallest hash of vec_id); the
 number of lists to probe is the least that finds ``RECALL`` of the sample's true neighbours. Every vector is indexed.
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from framewright.llm.store import settle
+from framewright.llm.store import settle, small_batches
 
 K = 20
 SAMPLE = 20_000
@@ -62,6 +63,16 @@ class Index:
         d = (self.centroids**2).sum(1) - 2 * r @ self.centroids.T
         return np.argpartition(d, probes - 1, axis=1)[:, :probes] if probes < len(self.centroids) else np.tile(np.arange(len(self.centroids)), (len(r), 1))
 
+    def known(self, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+        """(query, vector, score) of each query's k best in the sample."""
+        score = x @ self.sample.T
+        score[self.sample_ids[None, :] == ids[:, None]] = -np.inf
+        best = np.argpartition(-score, k - 1, axis=1)[:, :k] if score.shape[1] > k else np.tile(np.arange(score.shape[1]), (len(x), 1))
+        i, j = np.repeat(np.arange(len(x)), best.shape[1]), best.ravel()
+        there = score[i, j] > -np.inf
+        i, j = i[there], j[there]
+        return ids[i], self.sample_ids[j], (x[i] * self.sample[j]).sum(1)
+
     def bounds(self, ids: np.ndarray, x: np.ndarray, r: np.ndarray, k: int) -> np.ndarray:
         """Squared distance to the k-th nearest other vector of the sample."""
         s = self.rotated(self.sample, False)
@@ -177,6 +188,7 @@ def _scan(index: Index, qid: np.ndarray, q: np.ndarray, bound: np.ndarray, xid:
 def search(table: DataFrame, column: str = "embedding", every: int = 20, k: int = K, sample: int = SAMPLE) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every vector whose id is divisible by ``every``."""
     spark = table.sparkSession
+    small_batches(spark)
     rows = usable(table, column)
     head = rows.select("vec_id", F.size("v").alias("d")).orderBy("vec_id").limit(1).collect()
     if not head:
@@ -217,6 +229,13 @@ def search(table: DataFrame, column: str = "embedding", every: int = 20, k: int
                 at, cell = np.nonzero(reach)
                 yield deal(batch, at, cell, ids[at] // every % splits, True, bound[at])
 
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for a in range(0, whole.num_rows, 256):
+                batch = whole.slice(a, 256)
+                got = sent.value.known(batch.column("vec_id").to_numpy(), _vectors(batch.column("v"), dims), k)
+                yield pa.RecordBatch.from_arrays([pa.array(g) for g in got], names=["query_id", "vec_id", "score"])
+
     dealt = "cell long, part long, asks boolean, vec_id long, bound double, v array<double>"
     cells = rows.mapInArrow(candidates, dealt).unionByName(asked.mapInArrow(queries, dealt))
 
@@ -232,6 +251,7 @@ def search(table: DataFrame, column: str = "embedding", every: int = 20, k: int
                 got.append(_scan(sent.value, ids[m], v[m], bound[m], ids[others], v[others], k))
         return pa.table({n: pa.array(np.concatenate([g[c] for g in got])) for c, n in enumerate(("query_id", "vec_id", "score"))})
 
-    found = cells.groupBy("cell", "part").applyInArrow(scan, FOUND).dropDuplicates(["query_id", "vec_id", "score"])
+    found = cells.groupBy("cell", "part").applyInArrow(scan, FOUND).unionByName(asked.mapInArrow(known, FOUND))
+    found = found.dropDuplicates(["query_id", "vec_id", "score"])
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
