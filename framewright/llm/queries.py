@@ -66,7 +66,7 @@ def op4_tree_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bbit.near_duplicates(_read(spark, sf_dir, "documents"))
+    return bbit.near_duplicates(_read(spark, sf_dir, "documents")).drop("class_id")
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,6 +122,19 @@ WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVW
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY t)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM t JOIN g USING (t)"""
 
+OP5_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                          WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT d.doc_id, count(s.g) AS n_shingles FROM documents d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n i ON i.doc_id = x JOIN n j ON j.doc_id = y WHERE 100 * c >= 85 * (i.n_shingles + j.n_shingles - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS seen FROM documents UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.seen),
+k AS (SELECT doc_id, min(seen) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN k USING (doc_id)"""
+
 _MIX_CTES = r"""
 sized AS (SELECT doc_id, coalesce(source, '') AS skey, source IS NULL AS snull,
                  CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
@@ -146,4 +159,4 @@ SELECT doc_id, size, source_size, target,
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_cascade": OP1_SQL, "op4_tree_merge": OP4_SQL, "op7_mixing": OP7_SQL}
+    return {"op1_url_cascade": OP1_SQL, "op4_tree_merge": OP4_SQL, "op5_bbit_minhash": OP5_SQL, "op7_mixing": OP7_SQL}

@@ -11,6 +11,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from framewright.session import ship
+
 
 def scratch_dir(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``; a folder of our own only where none is set (tests)."""
@@ -40,7 +42,8 @@ def table(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 1024) -> None:
-    """Bound the rows of an Arrow batch sent to Python; whole texts make wide rows."""
+    """Before an operator runs Python: send the modules, and bound the rows of an Arrow batch, as whole texts make wide rows."""
+    ship(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > rows:

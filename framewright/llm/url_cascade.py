@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framewright.llm.store import settle
+from framewright.llm.store import settle, small_batches
 from framewright.llm.tokens import mix
 
 U = np.uint64
@@ -109,12 +109,12 @@ class Cascade:
         return out
 
 
-def _shape(n: int, rate: float) -> tuple[int, int]:
+def shape(n: int, rate: float) -> tuple[int, int]:
     bits = max(64, math.ceil(-n * math.log(rate) / math.log(2) ** 2))
     return (bits + 63) // 64 * 64, max(1, round(-math.log2(rate)))
 
 
-def _fill(keys: DataFrame, level: int, bits: int, hashes: int) -> np.ndarray:
+def fill(keys: DataFrame, level: int, bits: int, hashes: int) -> np.ndarray:
     """The level's words: set per batch, merged with bit_or per word; at most ``bits`` / 64 rows come back."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -142,8 +142,8 @@ def build(listed: DataFrame, universe: DataFrame, shard: int = 0, shards: int =
     while n:
         k = len(levels) + 1
         rate = min(0.5, max(1e-9, math.sqrt(0.5) * n / max(1, others - n))) if k == 1 else LATER_RATE
-        bits, hashes = _shape(n, rate)
-        level = Level(bits, hashes, _fill(include, k, bits, hashes))
+        bits, hashes = shape(n, rate)
+        level = Level(bits, hashes, fill(include, k, bits, hashes))
         levels.append(level)
 
         def wrong(batches: Iterator[pd.DataFrame], level: Level = level, k: int = k) -> Iterator[pd.DataFrame]:
@@ -171,6 +171,7 @@ def _any_of(sent):
 
 def listed(hosts: DataFrame, keys: DataFrame, max_mb: int = MAX_MB) -> DataFrame:
     """``hosts`` (with a column host) and ``listed``: whether the host or a parent domain is among ``keys`` (key: string)."""
+    small_batches(hosts.sparkSession)
     hashed = keys.filter("key is not null").select(F.xxhash64("key").alias("key"))
     own = hosts.withColumn("__keys", F.transform(suffixes(F.col("host")), lambda s: F.xxhash64(s)))
     universe = own.select(F.explode("__keys").alias("key"))
