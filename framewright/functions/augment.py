@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from framewright.functions import text as tx
 from framewright.functions.let import let
-from framewright.functions.rng import randint, uniform
+from framewright.functions.rng import draw, draw_int, randint, stream
 
 #: What a character may be misread as. The lower-case form of a character is looked up first, then itself.
 MISREADINGS: dict[str, list[str]] = {
@@ -49,16 +49,12 @@ class Noise:
         self.seed, self.key, self.compat = seed, key, compat
         self.line_join = "\\n" if compat else "\n"
 
-    def u(self, op: str, position: Column) -> Column:
-        return uniform(self.seed, self.key, op, position)
-
-    def pick(self, op: str, position: Column, low, high) -> Column:
-        return randint(self.seed, self.key, op, position, low, high)
-
-    def _guard(self, text: Column, probability: float, body: Callable[[Column], Column]) -> Column:
+    def _guard(self, text: Column, probability: float, tag: str, body: Callable[[Column, Column], Column]) -> Column:
+        """``body(text, start)`` for texts that are not empty; ``start`` is the operator's stream of draws for the row."""
         if probability == 0:
             return text
-        return let(text, lambda t: F.when(t.isNull() | (t == ""), t).otherwise(body(t)))
+        noisy = lambda t: let(stream(self.seed, self.key, tag), lambda s: body(t, s))
+        return let(text, lambda t: F.when(t.isNull() | (t == ""), t).otherwise(noisy(t)))
 
     def delete_sentences(self, text: Column, probability: float, tag: str = "ds") -> Column:
         def glue(kept: Column) -> Column:
@@ -69,36 +65,39 @@ class Noise:
 
             return F.array_join(F.transform(kept, with_gap), "")
 
-        def body(t: Column) -> Column:
-            split = tx.sentences(t)
-            kept = F.filter(split, lambda s, i: self.u(tag, i) > probability)
-            return let(split, lambda all_: F.when(F.size(all_) == 0, t).otherwise(let(kept, glue)))
+        def body(t: Column, start: Column) -> Column:
+            def keep(all_: Column) -> Column:
+                kept = F.filter(all_, lambda s, i: draw(start, i) > probability)
+                return F.when(F.size(all_) == 0, t).otherwise(let(kept, glue))
 
-        return self._guard(text, probability, body)
+            return let(tx.sentences(t), keep)
+
+        return self._guard(text, probability, tag, body)
 
     def delete_words(self, text: Column, probability: float, tag: str = "dw") -> Column:
-        def drop(t: Column, line: Column | None = None) -> Column:
-            position = (lambda i: i) if line is None else (lambda i: F.concat_ws(".", line.cast("string"), i.cast("string")))
-            return F.array_join(F.filter(tx.words(t), lambda w, i: self.u(tag, position(i)) > probability), " ")
+        def drop(t: Column, start: Column, line: Column | None = None) -> Column:
+            return F.array_join(F.filter(tx.words(t), lambda w, i: draw(start, i, *([] if line is None else [line])) > probability), " ")
 
-        def body(t: Column) -> Column:
+        def body(t: Column, start: Column) -> Column:
             if self.compat:
-                return drop(t)
-            return F.array_join(F.transform(tx.lines(t), lambda line, n: drop(line, n)), "\n")
+                return drop(t, start)
+            return F.array_join(F.transform(tx.lines(t), lambda line, n: drop(line, start, n)), "\n")
 
-        return self._guard(text, probability, body)
+        return self._guard(text, probability, tag, body)
 
     def duplicate_lines(self, text: Column, probability: float, most: int = 1, tag: str = "dl") -> Column:
-        def again(line: Column, i: Column) -> Column:
-            extra = F.when(self.u(tag, i) < probability, self.pick(tag + "#", i, 1, most)).otherwise(0)
-            return F.array_repeat(line, extra + 1)
+        def body(t: Column, start: Column) -> Column:
+            def again(line: Column, i: Column) -> Column:
+                return F.array_repeat(line, 1 + F.when(draw(start, i) < probability, draw_int(start, i, 1, most)).otherwise(0))
+
+            return F.array_join(F.flatten(F.transform(tx.lines(t), again)), self.line_join)
 
-        return self._guard(text, probability, lambda t: F.array_join(F.flatten(F.transform(tx.lines(t), again)), self.line_join))
+        return self._guard(text, probability, tag, body)
 
     def merge_lines(self, text: Column, probability: float, tag: str = "ml") -> Column:
         """A line that is merged takes the next one with it, so whether a line is free to merge depends on the one before."""
 
-        def body(t: Column) -> Column:
+        def body(t: Column, start: Column) -> Column:
             def step(acc: Column, item: Column) -> Column:
                 joined = F.concat(tx.strip(F.element_at(acc["out"], -1)), F.lit(" "), tx.strip(item["line"]))
                 done = F.slice(acc["out"], 1, F.size(acc["out"]) - 1)
@@ -107,85 +106,92 @@ class Noise:
                 return F.when(acc["open"], merged).otherwise(own)
 
             def fold(split: Column) -> Column:
-                items = F.transform(split, lambda line, i: F.struct(line.alias("line"), self.u(tag, i).alias("u")))
-                start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("open"))
-                out = F.aggregate(items, start, step, lambda acc: acc["out"])
+                items = F.transform(split, lambda line, i: F.struct(line.alias("line"), draw(start, i).alias("u")))
+                nothing = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("open"))
+                out = F.aggregate(items, nothing, step, lambda acc: acc["out"])
                 return F.when(F.size(split) < 2, t).otherwise(F.array_join(out, self.line_join))
 
             return let(tx.lines(t), fold)
 
-        return self._guard(text, probability, body)
+        return self._guard(text, probability, tag, body)
 
     def split_lines(self, text: Column, probability: float, tag: str = "sl") -> Column:
-        def cut(line: Column, i: Column) -> Column:
-            def halves(w: Column) -> Column:
-                n = F.size(w)
-                at = self.pick(tag + "#", i, 1, F.greatest(n - 1, F.lit(1)))
-                two = let(at, lambda k: F.array(F.array_join(F.slice(w, 1, k), " "), F.array_join(F.slice(w, k + 1, n), " ")))
-                return F.when(n > 1, two).otherwise(F.array(line))
+        def body(t: Column, start: Column) -> Column:
+            def cut(line: Column, i: Column) -> Column:
+                def halves(w: Column) -> Column:
+                    n = F.size(w)
+                    at = draw_int(start, i, 1, F.greatest(n - 1, F.lit(1)))
+                    two = let(at, lambda k: F.array(F.array_join(F.slice(w, 1, k), " "), F.array_join(F.slice(w, k + 1, n), " ")))
+                    return F.when(n > 1, two).otherwise(F.array(line))
 
-            return F.when(self.u(tag, i) < probability, let(tx.words(line), halves)).otherwise(F.array(line))
+                return F.when(draw(start, i) < probability, let(tx.words(line), halves)).otherwise(F.array(line))
 
-        return self._guard(text, probability, lambda t: F.array_join(F.flatten(F.transform(tx.lines(t), cut)), self.line_join))
+            return F.array_join(F.flatten(F.transform(tx.lines(t), cut)), self.line_join)
+
+        return self._guard(text, probability, tag, body)
 
     def character_noise(self, text: Column, probability: float, char_map: dict[str, list[str]] | None = None, tag: str = "ch") -> Column:
         table = {k: [v] if isinstance(v, str) else list(v) for k, v in (char_map or MISREADINGS).items()}
         misread = F.create_map(*[x for k, v in table.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
 
-        def one(c: Column, i: Column) -> Column:
-            found = F.coalesce(F.try_element_at(misread, F.lower(c)), F.try_element_at(misread, c))
-            choice = let(found, lambda f: F.when(f.isNull(), c).otherwise(F.get(f, self.pick(tag + "#", i, 0, F.size(f) - 1))))
-            return F.when(self.u(tag, i) < probability, choice).otherwise(c)
+        def body(t: Column, start: Column) -> Column:
+            def one(c: Column, i: Column) -> Column:
+                found = F.coalesce(F.try_element_at(misread, F.lower(c)), F.try_element_at(misread, c))
+                choice = let(found, lambda f: F.when(f.isNull(), c).otherwise(F.get(f, draw_int(start, i, 0, F.size(f) - 1))))
+                return F.when(draw(start, i) < probability, choice).otherwise(c)
+
+            return F.array_join(F.transform(F.split(t, ""), one), "")
 
-        return self._guard(text, probability, lambda t: F.array_join(F.transform(F.split(t, ""), one), ""))
+        return self._guard(text, probability, tag, body)
 
     def whitespace_noise(self, text: Column, missing: float, extra: float, tag: str = "ws") -> Column:
         """One draw per gap: no space, two, or one. Around an empty piece (two spaces in a row) the piece before comes again."""
 
-        def body(t: Column) -> Column:
+        def body(t: Column, start: Column) -> Column:
             def glue(split: Column) -> Column:
                 def piece(w: Column, i: Column) -> Column:
                     before = F.get(split, i - 1)
-                    u = self.u(tag, i)
-                    gap = F.when(u < missing, F.lit("")).when(u < missing + extra, F.lit("  ")).otherwise(F.lit(" "))
+                    gap = let(draw(start, i), lambda u: F.when(u < missing, F.lit("")).when(u < missing + extra, F.lit("  ")).otherwise(F.lit(" ")))
                     return F.when(i == 0, w).when((before == "") | (w == ""), F.concat(before, w)).otherwise(F.concat(gap, w))
 
                 return F.array_join(F.transform(split, piece), "")
 
             return let(F.split(t, " ", -1), glue)
 
-        return text if missing == 0 and extra == 0 else self._guard(text, 1.0, body)
+        return text if missing == 0 and extra == 0 else self._guard(text, 1.0, tag, body)
 
     def partial_lines(self, text: Column, probability: float, mode: str, low: float, high: float, most: int = 1, tag: str = "dp") -> Column:
         """Repeat a part of a line: its first words (``words_start``), last words (``words_end``) or a stretch (``random_ratio``).
 
         Rounds of the first two add up on the line; each round of the third starts from the line's words, so the last one counts.
         """
-        rounds = {"words_start": self._again_start, "words_end": self._again_end, "random_ratio": self._again_ratio}
-        if mode not in rounds:
+        steps = {"words_start": self._again_start, "words_end": self._again_end, "random_ratio": None}
+        if mode not in steps:
             return text
 
-        def line_noise(line: Column, i: Column) -> Column:
-            def repeat(w: Column) -> Column:
-                count = self.pick(tag + "#", i, 1, most)
-                if mode == "random_ratio":
-                    return let(count, lambda k: self._again_ratio(w, tag, F.concat_ws(".", i.cast("string"), k.cast("string")), low, high))
-                step = rounds[mode]
-                return F.aggregate(F.sequence(F.lit(1), count), line, lambda acc, k: step(acc, w, tag, F.concat_ws(".", i.cast("string"), k.cast("string")), int(low), int(high)))
+        def body(t: Column, start: Column) -> Column:
+            def line_noise(line: Column, i: Column) -> Column:
+                def repeat(w: Column) -> Column:
+                    count = draw_int(start, i, 1, most)
+                    if mode == "random_ratio":
+                        return let(count, lambda k: self._again_ratio(w, start, i, k, low, high))
+                    count_words = lambda k: F.least(draw_int(start, i, int(low), int(high), 2, k), F.size(w))
+                    return F.aggregate(F.sequence(F.lit(1), count), line, lambda acc, k: let(count_words(k), lambda n: steps[mode](acc, w, n)))
+
+                hit = (tx.strip(line) != "") & (draw(start, i) < probability)
+                return F.when(hit, let(tx.words(line), repeat)).otherwise(line)
 
-            hit = (tx.strip(line) != "") & (self.u(tag, i) < probability)
-            return F.when(hit, let(tx.words(line), repeat)).otherwise(line)
+            return F.array_join(F.transform(tx.lines(t), line_noise), self.line_join)
 
-        return self._guard(text, probability, lambda t: F.array_join(F.transform(tx.lines(t), line_noise), self.line_join))
+        return self._guard(text, probability, tag, body)
 
-    def _again_start(self, line: Column, w: Column, tag: str, position: Column, low: int, high: int) -> Column:
-        n = F.least(self.pick(tag + "@", position, low, high), F.size(w))
+    def _again_start(self, line: Column, w: Column, n: Column) -> Column:
         return let(
             F.array_join(F.slice(w, 1, n), " "),
             lambda part: F.concat(F.substr(line, F.lit(1), F.char_length(part)), F.lit(" "), part, F.substr(line, F.char_length(part) + 1)),
         )
 
-    def _again_end(self, line: Column, w: Column, tag: str, position: Column, low: int, high: int) -> Column:
+    def _again_end(self, line: Column, w: Column, n: Column) -> Column:
         def last_place(text: Column, piece: Column) -> Column:
             """1-based place of the last occurrence; 0 if none."""
             back = F.instr(F.reverse(text), F.reverse(piece))
@@ -195,15 +201,14 @@ class Noise:
             final = F.element_at(part, -1)
             end = last_place(line, final) + F.char_length(final) - 1
             at = last_place(F.substr(line, F.lit(1), end), F.element_at(part, 1))
-            grown = let(at, lambda k: F.concat(F.substr(line, F.lit(1), k - 1), F.array_join(part, " "), F.lit(" "), F.substr(line, k)))
-            return F.when(at == 0, line).otherwise(grown)
+            grown = lambda k: F.concat(F.substr(line, F.lit(1), k - 1), F.array_join(part, " "), F.lit(" "), F.substr(line, k))
+            return let(at, lambda k: F.when(k == 0, line).otherwise(grown(k)))
 
-        n = F.least(self.pick(tag + "@", position, low, high), F.size(w))
         return let(F.slice(w, F.size(w) - n + 1, n), insert)
 
-    def _again_ratio(self, w: Column, tag: str, position: Column, low: float, high: float) -> Column:
+    def _again_ratio(self, w: Column, start: Column, i: Column, k: Column, low: float, high: float) -> Column:
         size = F.size(w)
-        ratio = F.lit(low) + self.u(tag + "%", position) * (high - low)
+        ratio = F.lit(low) + draw(start, i, 2, k) * (high - low)
         length = F.when(size == 1, 1).otherwise(F.greatest(F.lit(1), F.floor(size * ratio).cast("int")))
 
         def insert(n: Column) -> Column:
@@ -212,7 +217,7 @@ class Noise:
                 first = F.array_min(F.filter(F.sequence(F.lit(1), size - n + 1), same))
                 return let(first, lambda j: F.array_join(F.concat(F.slice(w, 1, j + n - 1), part, F.slice(w, j + n, size)), " "))
 
-            return let(F.slice(w, self.pick(tag + "@", position, 1, size - n + 1), n), place)
+            return let(F.slice(w, draw_int(start, i, 1, size - n + 1, 3, k), n), place)
 
         return let(length, insert)
 

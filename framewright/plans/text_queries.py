@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -21,9 +23,40 @@ def clean_sql(t: str) -> str:
     return f"array_to_string(list_transform({kept}, lambda s: regexp_replace(s, '[ \\t]+', ' ', 'g')), chr(10))"
 
 
-def u_sql(op: str, i: str, key: str = "doc_id") -> str:
-    """A uniform draw in SQL; positions count from 0."""
-    return f"(('0x' || substr(md5(concat_ws('|', '{SEED}', CAST({key} AS VARCHAR), '{op}', CAST({i} AS VARCHAR))), 1, 8))::BIGINT / 4294967296.0)"
+def once_sql(op: str, key: str) -> str:
+    """A single draw per row in SQL."""
+    return f"(('0x' || substr(md5(concat_ws('|', '{SEED}', CAST({key} AS VARCHAR), '{op}', '0')), 1, 8))::BIGINT / 4294967296.0)"
+
+
+def _let_sql(value: str, body) -> str:
+    """``body(name)`` with ``value`` bound to a name, in SQL."""
+    name = f"v{next(_names)}"
+    return f"list_transform([{value}], lambda {name}: {body(name)})[1]"
+
+
+_names = itertools.count()
+M32 = 4294967295
+
+
+def _murmur_sql(parts: list[str], seed: str = "42") -> str:
+    """murmur3 of whole numbers, 32 bits each, one after the other, as an unsigned number; each has the one before as its seed."""
+    mul = lambda x, c: f"((({x})::UBIGINT * {c}::UBIGINT) & {M32}::UBIGINT)"
+    rotl = lambda x, r: _let_sql(x, lambda v: f"((({v} << {r}) | ({v} >> {32 - r})) & {M32}::UBIGINT)")
+    shift = lambda x, r: _let_sql(x, lambda v: f"xor({v}, {v} >> {r})")
+    mixed = lambda h, k: f"(({mul(rotl(f'xor({h}, {mul(rotl(mul(k, 0xCC9E2D51), 15), 0x1B873593)})', 13), 5)} + {0xE6546B64}::UBIGINT) & {M32}::UBIGINT)"
+    final = lambda h, n: shift(mul(shift(mul(shift(f"xor({h}, {n}::UBIGINT)", 16), 0x85EBCA6B), 13), 0xC2B2AE35), 16)
+    first, *rest = parts
+    h = final(mixed(mixed(f"{seed}::UBIGINT", first), "0"), 8)  # a long: its low half, then its high half, which is 0 here
+    for p in rest:
+        h = final(mixed(h, p), 4)
+    return h
+
+
+def u_sql(op: str, i: str, *more: str) -> str:
+    """A draw for a position in SQL; positions count from 0."""
+    start = f"('0x' || substr(md5(concat_ws('|', '{SEED}', CAST(doc_id AS VARCHAR), '{op}')), 1, 8))::UBIGINT"
+    h = _murmur_sql([start, i, *more])
+    return _let_sql(h, lambda v: f"(CASE WHEN {v} >= 2147483648 THEN {v}::BIGINT - 4294967296 ELSE {v}::BIGINT END / 4294967296.0 + 0.5)")
 
 
 WORDS_SQL = "list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')"
@@ -78,7 +111,7 @@ def aug_delete_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "aug_duplicate_lines",
     f"""SELECT doc_id, array_to_string(flatten(list_transform({LINES_SQL}, lambda s, i: list_transform(range(1 + CASE WHEN {u_sql("dl", "i - 1")} < 0.3
-        THEN CAST(1 + floor({u_sql("dl#", "i - 1")} * 3) AS INT) ELSE 0 END), lambda r: s))), chr(92) || 'n') AS text FROM documents""",
+        THEN CAST(1 + floor({u_sql("dl", "i - 1", "1")} * 3) AS INT) ELSE 0 END), lambda r: s))), chr(92) || 'n') AS text FROM documents""",
 )
 def aug_duplicate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return noised(spark, sf_dir, lambda n, t: n.duplicate_lines(t, 0.3, 3))
@@ -102,7 +135,7 @@ def aug_merge_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     "aug_split_lines",
     f"""WITH l AS (SELECT doc_id, unnest(list_transform({LINES_SQL}, lambda s, i: {{'s': s, 'i': i - 1}})) AS z FROM documents),
     w AS (SELECT doc_id, z.s AS s, z.i AS i, list_filter(regexp_split_to_array(z.s, '\\s+'), lambda x: x <> '') AS w FROM l),
-    c AS (SELECT *, CAST(1 + floor({u_sql("sl#", "i")} * greatest(len(w) - 1, 1)) AS INT) AS k, {u_sql("sl", "i")} < 0.4 AND len(w) > 1 AS cut FROM w),
+    c AS (SELECT *, CAST(1 + floor({u_sql("sl", "i", "1")} * greatest(len(w) - 1, 1)) AS INT) AS k, {u_sql("sl", "i")} < 0.4 AND len(w) > 1 AS cut FROM w),
     o AS (SELECT doc_id, i, CASE WHEN cut THEN array_to_string(w[1:k], ' ') || chr(92) || 'n' || array_to_string(w[k + 1:], ' ') ELSE s END AS s FROM c)
     SELECT doc_id, string_agg(s, chr(92) || 'n' ORDER BY i) AS text FROM o GROUP BY doc_id""",
 )
@@ -118,7 +151,7 @@ MISREAD_PAIR_SQL = f"coalesce(({MISREAD_SQL})[lower(c)], ({MISREAD_SQL})[c])"
     "aug_char_noise",
     f"""WITH k AS (SELECT doc_id, unnest(list_transform(string_split(text, ''), lambda c, i: {{'c': c, 'i': i - 1}})) AS z FROM documents),
     m(c, f) AS (SELECT c, {MISREAD_PAIR_SQL} FROM (SELECT DISTINCT z.c AS c FROM k)),
-    o AS (SELECT doc_id, z.i AS i, CASE WHEN f IS NOT NULL AND {u_sql("ch", "z.i")} < 0.1 THEN f[CAST(floor({u_sql("ch#", "z.i")} * len(f)) AS INT) + 1] ELSE z.c END AS c
+    o AS (SELECT doc_id, z.i AS i, CASE WHEN f IS NOT NULL AND {u_sql("ch", "z.i")} < 0.1 THEN f[CAST(floor({u_sql("ch", "z.i", "1")} * len(f)) AS INT) + 1] ELSE z.c END AS c
       FROM k JOIN m ON m.c = z.c)
     SELECT doc_id, string_agg(c, '' ORDER BY i) AS text FROM o GROUP BY doc_id""",
 )
@@ -140,7 +173,7 @@ def aug_whitespace_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
     "aug_partial_lines_start",
     f"""WITH l AS (SELECT doc_id, unnest(list_transform({LINES_SQL}, lambda s, i: {{'s': s, 'i': i - 1}})) AS z FROM documents),
     w AS (SELECT doc_id, z.s AS s, z.i AS i, list_filter(regexp_split_to_array(z.s, '\\s+'), lambda x: x <> '') AS w FROM l),
-    c AS (SELECT *, array_to_string(w[1:least(CAST(2 + floor({u_sql("dp@", "CAST(i AS VARCHAR) || '.1'")} * 2) AS INT), len(w))], ' ') AS p, len(w) > 0 AND {u_sql("dp", "i")} < 0.5 AS hit FROM w)
+    c AS (SELECT *, array_to_string(w[1:least(CAST(2 + floor({u_sql("dp", "i", "2", "1")} * 2) AS INT), len(w))], ' ') AS p, len(w) > 0 AND {u_sql("dp", "i")} < 0.5 AS hit FROM w)
     SELECT doc_id, string_agg(CASE WHEN hit THEN substr(s, 1, length(p)) || ' ' || p || substr(s, length(p) + 1) ELSE s END, chr(92) || 'n' ORDER BY i) AS text FROM c GROUP BY doc_id""",
 )
 def aug_partial_lines_start(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,7 +207,7 @@ def profile_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conv.select("video_id", "frame_name", augment.profile_choice(F.col("raw_text"), key, SEED).alias("text"))
 
 
-@query("profile_chosen", f"WITH {inputs.FRAMES_SQL} SELECT video_id, frame_name, CAST(floor({u_sql('profile', '0', chr(34) + 'key' + chr(34))} * 10) AS INT) AS profile FROM (SELECT *, video_id || '/' || frame_name AS key FROM frames)")
+@query("profile_chosen", f"WITH {inputs.FRAMES_SQL} SELECT video_id, frame_name, CAST(floor({once_sql('profile', 'key')} * 10) AS INT) AS profile FROM (SELECT *, video_id || '/' || frame_name AS key FROM frames)")
 def profile_chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = inputs.frames(spark, sf_dir)
     return conv.select("video_id", "frame_name", augment.chosen_profile(F.concat_ws("/", "video_id", "frame_name"), SEED, 10).alias("profile"))

@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(name: str = "framewright", master: str | None = None, **conf: str) -> SparkSession:
@@ -38,3 +38,12 @@ def ship(spark: SparkSession) -> None:
             out.write(path, f"{root.name}/{path.relative_to(root)}")
     sc.addPyFile(str(archive))
     _shipped.add(sc.applicationId)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as there are cores, for work that costs far more than a shuffle of its input.
+
+    Only a table that was read as fewer partitions than that (a few small files) is dealt out; a large one stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
