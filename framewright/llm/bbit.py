@@ -6,15 +6,18 @@
 3. Representatives that share a band meet its smallest member (a star, never all pairs). Set sizes and the
    similarity estimated from the packed bits (corrected for chance agreement of two bits) discard most;
    the estimate's margin is ``MARGIN`` standard deviations, so that it discards no link.
-4. Candidates are confirmed on the full sets, which are read again for those texts alone.
-5. Connected components. Where a band's members still lie in several components, the members of different
-   components meet as well, under the same tests, and components are formed again: no link of a band is lost
-   because a star was used.
+4. Candidates are confirmed on the full sets, and components are formed. Only those texts' sets are made again: a Bloom
+   filter of bounded size picks them during the scan, and an exact join follows.
+5. What a star can miss is a link between two members of a band neither of which is its smallest. So the bands whose members lie in
+   several components stay open. A member of whose shingles more than 100 - ``PERCENT`` in 100 occur in no other open member
+   can't be linked to any; such members are peeled off, round after round, at linear cost. What remains is compared in
+   blocks of bounded size: a task has two blocks, counts all their intersections with matrix products over the shingles that
+   at least two members share, and returns only links that join components, at most one per member. No pairs are emitted.
 
 A pair of similarity 0.85 shares no band with probability (1 - 0.85**5)**25, below 1e-6.
 
 Nulls and texts without words: an empty set, linked with nothing. A text of fewer than five words has its whole
-sequence as its set. Repeated rows and equal texts fall in one class. A null doc_id takes part in nothing
+sequence as its set. Repeated rows and equal texts fall in one class; rows that share a doc_id are taken to be equal. A null doc_id takes part in nothing
 and is its own row with a null component_id and kept true. An empty table gives an empty result.
 """
 
@@ -23,17 +26,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framewright.llm import tokens as tk
 from framewright.llm.graph import components
-from framewright.llm.store import settle, small_batches
+from framewright.llm.store import compact, rows_in, settle, small_batches
+from framewright.llm.url_cascade import Level, fill, shape
 
 ROWS, BANDS, HASHES = 5, 25, 128
 PERCENT = 85
 MARGIN = 6
+MAX_BITS = 1 << 27
+BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1 << 20
 U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(85))
 _MUL = _rng.integers(1, 2**64 - 1, HASHES, dtype=np.uint64) | U(1)
@@ -105,16 +112,31 @@ def sign(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_sign, SIGNED)
 
 
-def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i, j, data, offsets in tk.blocks(batch.column("text")):
-            sets = tk.shingles(*tk.words(data, offsets))
-            sizes = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("rep").slice(i, j - i), pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat))],
-                schema=pa.schema([("rep", pa.int64()), ("shingles", pa.list_(pa.int64()))]),
-            )
+def _sets(needed: DataFrame, docs: DataFrame) -> DataFrame:
+    """(rep, shingles) of the texts whose id is in ``needed`` (rep).
+
+    A Bloom filter of at most ``MAX_BITS`` lets the scan skip nearly all others, so that no text is shuffled; beyond that size it lets more
+    pass, and the join alone decides.
+    """
+    needed = compact(needed.distinct())
+    bits, hashes = shape(max(1, rows_in(needed)), 0.01)
+    level = Level(min(bits, MAX_BITS), hashes, np.zeros(0, U))
+    level.words = fill(needed.select(F.col("rep").alias("key")), 1, level.bits, hashes)
+    sent = docs.sparkSession.sparkContext.broadcast(level)
+    schema = pa.schema([("rep", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            batch = whole.filter(pa.array(sent.value.has(whole.column("rep").to_numpy().view(U), 1)))
+            for i, j, data, offsets in tk.blocks(batch.column("text")):
+                sets = tk.shingles(*tk.words(data, offsets))
+                sizes = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+                flat = np.concatenate(sets).view(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column("rep").slice(i, j - i), pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat))], schema=schema)
+
+    texts = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("rep"), F.coalesce("text", F.lit("")).alias("text"))
+    made = texts.mapInArrow(run, "rep long, shingles array<long>").join(needed, "rep", "left_semi")
+    return settle(made.dropDuplicates(["rep"]))
 
 
 def agreement(a: str, b: str) -> Column:
@@ -134,9 +156,7 @@ def least_agreement(percent: int = PERCENT) -> float:
 
 def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose full sets are similar enough."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    texts = docs.select("doc_id", "text").join(needed, F.col("doc_id") == F.col("rep"))
-    sets = settle(texts.select("rep", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_full_sets, "rep long, shingles array<long>"))
+    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("rep")), docs)
     left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
@@ -145,6 +165,98 @@ def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * shared >= percent * union).select("a", "b")
 
 
+def _peel(sets: DataFrame, percent: int) -> DataFrame:
+    """``sets`` without the members that share too few of their shingles with any other member to be linked."""
+    rows = rows_in(sets)
+    while True:
+        alone = sets.select("rep", F.explode("shingles").alias("s")).groupBy("s").agg(F.min("rep").alias("rep"), F.count(F.lit(1)).alias("n")).filter("n = 1")
+        own = alone.groupBy("rep").agg(F.count(F.lit(1)).alias("alone"))
+        few = F.coalesce("alone", F.lit(0)) * 100 <= (100 - percent) * F.size("shingles")
+        sets = settle(sets.join(own, "rep", "left").filter(few).select(*sets.columns))
+        left = rows_in(sets)
+        if left >= 0.9 * rows or not left:
+            return sets
+        rows = left
+
+
+def _joining_links(sizes: np.ndarray, flat: np.ndarray, component: np.ndarray, side: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Positions of linked members of different components that join these; all intersections are counted."""
+    n = len(sizes)
+    owner = np.repeat(np.arange(n), sizes)
+    _, number, times = np.unique(flat, return_inverse=True, return_counts=True)
+    common = times > 1
+    place = np.cumsum(common) - 1
+    keep = common[number]
+    owner, column = owner[keep], place[number[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    shared = np.zeros((n, n), np.float32)
+    step = 2048
+    for a in range(0, int(common.sum()), step):
+        lo, hi = np.searchsorted(column, (a, a + step))
+        x = np.zeros((n, step), np.float32)
+        x[owner[lo:hi], column[lo:hi] - a] = 1
+        shared += x @ x.T
+    union = sizes[:, None] + sizes[None, :] - shared
+    linked = (100 * shared.astype(np.float64) >= percent * union) & (component[:, None] < component[None, :])
+    if len(np.unique(side)) > 1:
+        linked &= side[:, None] != side[None, :]
+    i, j = np.nonzero(linked)
+    if not len(i):
+        return []
+    _, one = np.unique(np.stack([component[i], component[j]]), axis=1, return_index=True)
+    up: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while up.get(c, c) != c:
+            c = up[c]
+        return c
+
+    out = []
+    for k in one.tolist():
+        x, y = root(int(component[i[k]])), root(int(component[j[k]]))
+        if x != y:
+            up[max(x, y)] = min(x, y)
+            out.append((int(i[k]), int(j[k])))
+    return out
+
+
+def _across(keyed: DataFrame, of: DataFrame, docs: DataFrame, percent: int) -> DataFrame | None:
+    """Links between members of different components that share a band, as far as they join components."""
+    named = F.coalesce("component", "rep").alias("component")
+    placed = compact(keyed.select("key", "rep").join(of, keyed.rep == of.node, "left").select("key", "rep", named))
+
+    def still_open(rows: DataFrame) -> DataFrame:
+        torn = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("rep").alias("centre")).filter("lo < hi")
+        return compact(rows.join(compact(torn.select("key", "centre")), "key"))
+
+    open_ = still_open(placed)
+    if open_.isEmpty():
+        return None
+    sets = _peel(_sets(open_.select("rep"), docs), percent)
+    left = still_open(open_.drop("centre").join(sets.select("rep"), "rep", "left_semi"))
+    group = components(left.filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct())
+    clusters = group.select("node", F.col("component").alias("cluster"))
+    rows = left.select("rep", "component").distinct().join(clusters, F.col("rep") == F.col("node")).join(sets, "rep").select("rep", "component", "cluster", "shingles")
+    rows = settle(rows)
+    weights = rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("shingles")).alias("m"))
+    blocks = weights.select("cluster", F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("m") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    mine = rows.join(blocks, "cluster").withColumn("mine", F.pmod(F.xxhash64("rep", F.lit("block")), F.col("blocks")).cast("int"))
+    # one key of its own per cell: grouping by (cluster, i, j) would leave a whole cluster where the join has put it
+    cell = F.xxhash64("cluster", F.least("mine", "other"), F.greatest("mine", "other"))
+    dealt = mine.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(cell.alias("cell"), "mine", "rep", "component", "shingles")
+
+    def compare(cell: pa.Table) -> pa.Table:
+        lists = cell.column("shingles").combine_chunks()
+        rep = cell.column("rep").to_numpy()
+        found = _joining_links(
+            np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy(), cell.column("component").to_numpy(), cell.column("mine").to_numpy(), percent
+        )
+        return pa.table({"a": pa.array([rep[x] for x, _ in found], pa.int64()), "b": pa.array([rep[y] for _, y in found], pa.int64())})
+
+    return compact(dealt.groupBy("cell").applyInArrow(compare, "a long, b long"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, class_id, component_id, kept."""
     signed = settle(sign(docs))
@@ -154,7 +266,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     member = classes.select("rep", F.explode("bands").alias("key"))
     shared = member.groupBy("key").agg(F.min("rep").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "centre")
-    keyed = settle(member.join(shared, "key"))  # members of bands that more than one class shares
+    shared = compact(shared)  # the join then has a plain exchange on either side, of which a crowded key's can be split
+    keyed = compact(member.join(shared, "key"))  # members of bands that more than one class shares
     traits = classes.select("rep", "n_shingles", "bits")
 
     def likely(pairs: DataFrame) -> DataFrame:
@@ -164,23 +277,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         return pairs.join(a, "a").join(b, "b").filter(sized & (agreement("ba", "bb") >= least_agreement(percent))).select("a", "b")
 
     stars = keyed.filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    tried = settle(likely(stars))
-    links = settle(_confirm(tried, docs, percent))
+    tried = compact(likely(stars))
+    links = compact(_confirm(tried, docs, percent))
     of = components(links)
 
-    placed = keyed.select("key", "rep").join(of, keyed.rep == of.node, "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
-    torn = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-    open_ = settle(placed.join(torn, "key").join(traits, "rep"))
-    x, y = open_.alias("x"), open_.alias("y")
-    near = (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component"))
-    sized = F.expr("least(x.n_shingles, y.n_shingles) * 100") >= F.expr(f"greatest(x.n_shingles, y.n_shingles) * {percent}")
-    across = x.join(y, near & sized & (agreement("x.bits", "y.bits") >= least_agreement(percent)))
-    more = across.select(F.expr("least(x.rep, y.rep)").alias("a"), F.expr("greatest(x.rep, y.rep)").alias("b")).distinct()
-    more = settle(more.join(tried, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        found = settle(_confirm(more, docs, percent))
-        if not found.isEmpty():
-            of = components(settle(links.unionByName(found)))
+    more = _across(keyed, of, docs, percent)
+    if more is not None and not more.isEmpty():
+        of = components(links.unionByName(more))
 
     labelled = classes.select("set1", "set2", "n_shingles", "rep").join(of, F.col("rep") == F.col("node"), "left")
     labelled = labelled.select(F.col("set1").alias("s1"), F.col("set2").alias("s2"), F.col("n_shingles").alias("sn"), "rep", F.coalesce("component", "rep").alias("component"))
@@ -191,6 +294,25 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` without all but one document of each component; all columns stay, rows of a kept id as well."""
-    dropped = near_duplicates(docs, percent).filter("not kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(dropped, docs.doc_id == F.col("__id"), "left_anti").select(*docs.columns)
+    """``docs`` without all but one document of each component; all columns stay, rows of a kept id as well.
+
+    Rows that a Bloom filter of the dropped ids rules out stay where they are; only the others are joined with the ids.
+    """
+    dropped = compact(near_duplicates(docs, percent).filter("not kept").select(F.col("doc_id").alias("__id")).distinct())
+    bits, hashes = shape(max(1, rows_in(dropped)), 0.01)
+    level = Level(min(bits, MAX_BITS), hashes, np.zeros(0, U))
+    level.words = fill(dropped.select(F.col("__id").alias("key")), 1, level.bits, hashes)
+    maybe = _member(docs.sparkSession.sparkContext.broadcast(level))(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
+    flagged = docs.withColumn("__maybe", maybe & F.col("doc_id").isNotNull())
+    rest = flagged.filter("__maybe").join(dropped, F.col("doc_id") == F.col("__id"), "left_anti")
+    return flagged.filter("not __maybe").select(*docs.columns).unionByName(rest.select(*docs.columns))
+
+
+def _member(sent):
+    """A function of an id column: whether the Bloom filter may have it."""
+
+    @F.pandas_udf("boolean")
+    def test(ids: pd.Series) -> pd.Series:
+        return pd.Series(sent.value.has(ids.to_numpy(np.int64).view(U), 1))
+
+    return test

@@ -33,6 +33,17 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def rows_in(settled: DataFrame) -> int:
+    """Number of rows of a settled table, counted partition by partition without an exchange."""
+    return settled._jdf.queryExecution().toRdd().count()
+
+
+def compact(df: DataFrame, rows: int = 50_000) -> DataFrame:
+    """A settled table read as one partition per ``rows`` rows, so that a small one doesn't make a file per partition in each later exchange."""
+    settled = settle(df)
+    return settled.coalesce(max(1, -(-rows_in(settled) // rows)))
+
+
 def table(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` as a Parquet table of the scratch folder and read it back with the same schema."""
     spark = df.sparkSession
