@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from framewright.llm import bbit, bpe, gam, mixing, toxicity, treemerge
 from framewright.llm.queries import TOKENIZER
 from framewright.llm.store import table
+from framewright.session import spread
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -58,7 +59,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     for name, stage in STAGES:
         docs = table(stage(spark, docs, sf_dir), name)
     return docs

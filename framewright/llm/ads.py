@@ -107,8 +107,8 @@ def usable(table: DataFrame, column: str) -> DataFrame:
 def fit(rows: DataFrame, dims: int, k: int = K, sample: int = SAMPLE, recall: float = RECALL) -> Index:
     """Centroids, probes and cells; the driver sees the sample and one row per list."""
     n, top = rows.agg(F.count("vec_id"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()
-    picked = sorted(rows.orderBy(F.xxhash64("vec_id", F.lit("ads")), "vec_id").limit(sample).collect())
-    ids, x = np.array([r.vec_id for r in picked]), np.array([r.v for r in picked])
+    picked = rows.orderBy(F.xxhash64("vec_id", F.lit("ads")), "vec_id").limit(sample).select("vec_id", "v").toArrow().combine_chunks()
+    ids, x = picked.column("vec_id").to_numpy(), _vectors(picked.column("v").combine_chunks(), dims)
     rotation = np.linalg.qr(np.random.default_rng(11).normal(size=(dims + 1, dims + 1)))[0]
     count = int(min(MOST_LISTS, max(1, round(n**0.5)), len(x)))
     index = Index(dims, float(top), rotation, np.zeros((1, dims + 1), np.float32), 1, ids, x, np.zeros(1, int), np.ones(1, int))

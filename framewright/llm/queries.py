@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framewright.llm import ads, bbit, bpe, gam, mixing, pst, slots, toxicity, treemerge, url_cascade
+from framewright.session import spread
 
 #: The rules and the listed domains of op1.
 RULES = (
@@ -42,7 +43,8 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name == "documents" else df
 
 
 def op1_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
