@@ -7,8 +7,8 @@ members divide its probability as (count + 1) / (their counts + their number + 1
 The tree holds contexts of up to ``DEPTH`` symbols. A context is retained if the distribution after it
 differs from that after its longest retained suffix by more than the description of its own entries costs:
 sum n * ln(P(x | context) / P(x | suffix)) > entries / 2 * ln(n(context)). Distributions are smoothed by taking a discount from
-each entry and giving the freed mass to the suffix's distribution; the root is the add-one unigram model, so that
-probabilities over all words (and one unseen) sum to one. A token is scored in the state of the longest retained suffix.
+each entry; the mass of all that has no entry is divided as the suffix's distribution divides it; the root is the add-one
+unigram model, so that probabilities over all words (and one unseen) sum to one. A token is scored in the state of the longest retained suffix.
 
 Counting: each task encodes its blocks of texts by block-local word numbers; word counts are summed over the whole corpus (the
 dictionary grows with it and is never gathered: rare words' counts go back to the blocks by joins). Entries of the tree have a
@@ -290,12 +290,14 @@ def grow(corpus: Corpus, depth: int = DEPTH, theta: float = THETA, discount: flo
             gain = float((m * np.log(own / suffix)).sum()) + (rest * np.log(rest / size / rest_up) if rest > 0.5 else 0.0)
             if gain <= (b - a) / 2 * np.log(max(size, 2)):
                 continue
-            free = 1 - (m - discount).sum() / size
+            whole = rest_up < 1e-9  # every symbol has an entry here: nothing to set aside
+            held = m if whole else m - discount
+            free = 1.0 if whole else (1 - held.sum() / size) / rest_up
             state = len(tree.parent)
             tree.parent.append(up), tree.slack.append(float(np.log10(free)))
             found.append(context[a]), states.append(state)
             keys.append(U(state << 16) | symbol[a:b])
-            chances.append(np.log10((m - discount) / size + free * suffix))
+            chances.append(np.log10(held / size))
         tree.contexts.append((np.array(found, U), np.array(states, np.int64)))
         if keys:
             flat, value = np.concatenate(keys), np.concatenate(chances)
