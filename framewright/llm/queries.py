@@ -43,8 +43,12 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if name == "documents" else df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents for operators whose work per text is heavy: a few small files are dealt to all cores."""
+    return spread(_read(spark, sf_dir, "documents"))
 
 
 def op1_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +61,7 @@ def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    docs, labels = _texts(spark, sf_dir), _read(spark, sf_dir, "labels")
     held = gam.fold(F.col("doc_id"), 5) == 0
     scored = gam.score(docs, gam.train(docs, labels, ~held))
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
@@ -68,11 +72,11 @@ def op4_tree_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bbit.near_duplicates(_read(spark, sf_dir, "documents")).drop("class_id")
+    return bbit.near_duplicates(_texts(spark, sf_dir)).drop("class_id")
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    docs, labels = _texts(spark, sf_dir), _read(spark, sf_dir, "labels")
     held = gam.fold(F.col("doc_id"), 3) == 1
     scored = toxicity.score(docs, toxicity.train(docs, labels, ~held))
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
@@ -83,11 +87,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(_read(spark, sf_dir, "documents"), TOKENIZER)
+    return bpe.digests(_texts(spark, sf_dir), TOKENIZER)
 
 
 def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = pst.score(_read(spark, sf_dir, "documents"), gam.fold(F.col("doc_id"), 7) != 2)
+    scored = pst.score(_texts(spark, sf_dir), gam.fold(F.col("doc_id"), 7) != 2)
     return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

@@ -6,6 +6,8 @@ Parquet table in that folder; both can be read again by any executor.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -23,7 +25,9 @@ def scratch_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="framewright-"))
+        own = tempfile.mkdtemp(prefix="framewright-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        sc.setCheckpointDir(own)
     return sc.getCheckpointDir().rstrip("/")
 
 

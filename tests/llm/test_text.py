@@ -88,6 +88,37 @@ def test_near_duplicates_of_one_large_group(spark):
     assert got == plain_components(rows)
 
 
+@given(st.lists(st.sets(st.integers(0, 12), min_size=1, max_size=10), min_size=2, max_size=14), st.booleans())
+@settings(max_examples=60, deadline=None)
+def test_links_of_a_block(sets, halves):
+    side = np.array([k % 2 if halves else 0 for k in range(len(sets))])
+    flat = np.array([x for s in sets for x in sorted(s)], np.int64)
+    found = bbit._joining_links(np.array([len(s) for s in sets]), flat, np.arange(len(sets)), side, 60)
+
+    def classes(pairs):
+        up = list(range(len(sets)))
+        for _ in sets:
+            for a, b in pairs:
+                up[a] = up[b] = min(up[a], up[b])
+        return up
+
+    every = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 60 * len(sets[a] | sets[b]) and (not halves or side[a] != side[b])]
+    assert classes(found) == classes(every) and len(found) < len(sets)
+
+
+def test_many_similar_texts_that_are_no_links(spark):
+    base = [f"b{k}" for k in range(150)]
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(400):  # copies with one to six changed words: most are similar to many others and linked with none
+        words = list(base)
+        for at in rng.choice(150, rng.integers(1, 7), replace=False):
+            words[at] = f"n{k}_{at}"
+        rows.append((k, " ".join(words), "s"))
+    got = {r.doc_id: r.component_id for r in bbit.near_duplicates(make_docs(spark, rows).repartition(5)).collect()}
+    assert got == plain_components(rows)
+
+
 def test_near_duplicates_odd(spark, odd, empty):
     got = bbit.near_duplicates(odd).collect()
     assert len(got) == len(ODD)
