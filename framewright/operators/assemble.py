@@ -70,12 +70,22 @@ def parse_batches(files: DataFrame) -> DataFrame:
     )
 
 
-def batch_rows(batches: DataFrame) -> DataFrame:
-    """Valid batches as rows: video_id, pos (over all valid batches of the video in file order), the task texts, summary."""
+def batch_rows(batches: DataFrame, align: str = "position", size: int = 60) -> DataFrame:
+    """Valid batches as rows: video_id, pos, the task texts, summary.
+
+    ``pos`` counts over the valid batches of the video in file order, so frames after a batch that is left out move up; with
+    ``align="batch_offset"`` it starts at the batch's number times ``size`` instead, and they stay where they are.
+    """
     n = F.size("task1_raw_ocr")
     before = Window.partitionBy("video_id").orderBy("batch_file").rowsBetween(Window.unboundedPreceding, -1)
     valid = batches.filter(is_valid(F.col("has_summary") if "has_summary" in batches.columns else None))
-    placed = valid.withColumn("offset", F.coalesce(F.sum(n).over(before), F.lit(0)))
+    if align == "batch_offset":
+        number = F.regexp_extract("batch_file", r"(\d+)\.json\z", 1).try_cast("int")
+        placed = valid.withColumn("offset", number * size).filter("offset is not null")
+    elif align == "position":
+        placed = valid.withColumn("offset", F.coalesce(F.sum(n).over(before), F.lit(0)))
+    else:
+        raise ValueError(f"unknown alignment: {align}")
     second = task2(F.col("task2_augmented"), F.col("task2_augmented_imperfections"))
     zipped = F.arrays_zip(F.col("task1_raw_ocr").alias("t1"), second.alias("t2"), F.col("task3_cleaned").alias("t3"), F.col("task4_markdown").alias("t4"))
     return placed.select("video_id", "batch_file", "offset", "task5_summary", F.posexplode(zipped).alias("k", "z")).select(
@@ -132,15 +142,15 @@ def resolve_rows(rows: DataFrame, columns: Sequence[str], key: str = "video_id",
     return flat.select(*out)
 
 
-def samples(frames: DataFrame, batches: DataFrame, ocr: DataFrame, aux: DataFrame | None = None, seed: int = 0, profiles: Sequence[str] | None = None, decode_append: bool = False, ref_scope: str = "video") -> DataFrame:
+def samples(frames: DataFrame, batches: DataFrame, ocr: DataFrame, aux: DataFrame | None = None, seed: int = 0, profiles: Sequence[str] | None = None, decode_append: bool = False, ref_scope: str = "video", align: str = "position", batch_size: int = 60) -> DataFrame:
     """The samples of all videos that have frames, valid batches and OCR texts.
 
-    ``ref_scope`` says within what a reference counts rows: the video's surviving rows, or the batch's.
+    ``ref_scope`` says within what a reference counts rows: the video's surviving rows, or the batch's. ``align``: see ``batch_rows``.
     """
-    llm = batch_rows(batches)
+    llm = batch_rows(batches, align, batch_size)
     if ref_scope == "batch":
-        llm = llm.withColumn("place", F.col("pos"))
-        llm = resolve_rows(llm, ["t3", "t4"], "batch_key", "place", decode_append) if "batch_key" in llm.columns else resolve_rows(llm.withColumn("batch_key", F.concat_ws("/", "video_id", "batch_file")), ["t3", "t4"], "batch_key", "place", decode_append).drop("batch_key", "place")
+        keyed = llm.withColumns({"batch_key": F.concat_ws("/", "video_id", "batch_file"), "place": F.col("pos")})
+        llm = resolve_rows(keyed, ["t3", "t4"], "batch_key", "place", decode_append).drop("batch_key", "place")
     rows = rows_in_order(image_frames(frames), llm, ocr_maps(ocr))
     shown = rows.withColumn("ocr", clean_ocr(ocr_read(F.col("texts"), F.col("frame_stem")))).drop("texts", "t1", "t2")
     solved = resolve_rows(shown, ["t3", "t4"], "video_id", "idx", decode_append) if ref_scope == "video" else shown

@@ -11,7 +11,16 @@ from pyspark.sql import functions as F
 from framewright.functions.frames import VIDEO_EXTENSIONS, media_type
 from framewright.operators.assemble import parse_batches
 
-PATH = "_metadata.file_path"
+
+
+def file_path() -> Column:
+    """The path of the file that a row was read from, its characters as they are on disk."""
+    return unescaped(F.col("_metadata.file_path"))
+
+
+def unescaped(text: Column) -> Column:
+    """Characters written as ``%XX`` put back; a plus sign is one."""
+    return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
 
 
 def subdirectories(spark: SparkSession, root: str) -> DataFrame:
@@ -74,17 +83,40 @@ def frame_files(spark: SparkSession, root: str) -> DataFrame:
     return found.select("video_id", F.col("name").alias("frame_name"), F.col("path").alias("frame_path"), media_type(F.col("name")).alias("mime"))
 
 
+def documents(spark: SparkSession, root: str, glob: str) -> DataFrame:
+    """(video_id, file_name, value) of the whole documents below ``root`` whose name matches ``glob``.
+
+    Both a tree with a file per document and the table that ``sinks.write_documents`` makes are read.
+    """
+    found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"{{{glob},part-*}}").text(root, wholetext=True)
+    tabled = r"/video_id=([^/]+)/file_name=([^/]+)/part-[^/]*\z"
+    path = found.select(file_path().alias("path"), "value")
+    in_table = F.col("path").rlike(tabled)
+    part = lambda k: unescaped(F.regexp_extract("path", tabled, k))
+    value = F.when(in_table, F.regexp_replace("value", r"\n\z", "")).otherwise(F.col("value")).alias("value")
+    named = path.select(
+        F.when(in_table, part(1)).otherwise(video_of(F.col("path"))).alias("video_id"), F.when(in_table, part(2)).otherwise(name_of(F.col("path"))).alias("file_name"), value
+    )
+    return named.filter(F.col("file_name").rlike(r"\A" + glob.replace(".", r"\.").replace("*", ".*") + r"\z"))
+
+
 def ocr_texts(spark: SparkSession, root: str, file_name: str = "tesseract_ocr.json") -> DataFrame:
     """(video_id, frame_name, raw_text) of every video's OCR file; a file that is no JSON object leaves no row."""
-    whole = spark.read.option("wholetext", True).option("pathGlobFilter", file_name).text(f"{root}/*")
-    named = whole.select(video_of(F.col(PATH)).alias("video_id"), F.from_json("value", "map<string,string>").alias("texts"))
+    named = documents(spark, root, file_name).select("video_id", F.from_json("value", "map<string,string>").alias("texts"))
     return named.filter("texts is not null").select("video_id", F.explode("texts").alias("frame_name", "raw_text"))
 
 
+def frame_texts(spark: SparkSession, root: str) -> DataFrame:
+    """(video_id, frame_name, raw_text) of one ``.txt`` file per frame; the frame is named like the file, as a png."""
+    whole = spark.read.option("pathGlobFilter", "*.txt").text(f"{root}/*", wholetext=True)
+    name = F.regexp_replace(name_of(file_path()), r"\.txt\z", ".png")
+    return whole.select(video_of(file_path()).alias("video_id"), name.alias("frame_name"), F.col("value").alias("raw_text"))
+
+
 def batch_files(spark: SparkSession, root: str) -> DataFrame:
     """The image-model batches under ``root``, parsed."""
-    whole = spark.read.option("wholetext", True).option("pathGlobFilter", "llm_output_batch_*.json").text(f"{root}/*")
-    return parse_batches(whole.select(video_of(F.col(PATH)).alias("video_id"), name_of(F.col(PATH)).alias("batch_file"), "value"))
+    found = documents(spark, root, "llm_output_batch_*.json")
+    return parse_batches(found.withColumnRenamed("file_name", "batch_file"))
 
 
 def text_batches(spark: SparkSession, root: str) -> DataFrame:
@@ -92,8 +124,8 @@ def text_batches(spark: SparkSession, root: str) -> DataFrame:
     schema = (
         "task1_raw_ocr_text array<string>, llm_output struct<task3_cleaned_text array<string>, task4_markdown_text array<string>, task5_summary string>"
     )
-    whole = spark.read.option("wholetext", True).option("pathGlobFilter", "batch_*.json").text(f"{root}/*")
-    doc = whole.select(video_of(F.col(PATH)).alias("video_id"), name_of(F.col(PATH)).alias("batch_file"), F.from_json("value", schema).alias("d"))
+    found = documents(spark, root, "batch_*.json")
+    doc = found.select("video_id", F.col("file_name").alias("batch_file"), F.from_json("value", schema).alias("d"))
     return doc.select(
         "video_id",
         "batch_file",
@@ -109,13 +141,14 @@ def text_batches(spark: SparkSession, root: str) -> DataFrame:
 
 def json_documents(spark: SparkSession, root: str) -> DataFrame:
     """(path, value) of every ``*.json`` below ``root``, at any depth."""
-    found = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(root)
-    return found.select(F.col(PATH).alias("path"), "value")
+    found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "{*.json,part-*.txt}").text(root, wholetext=True)
+    path = found.select(file_path().alias("path"), "value")
+    return path.filter(F.col("path").rlike(r"\.json(/part-[^/]*)?\z"))
 
 
 def prompt(spark: SparkSession, path: str) -> str:
     """A prompt file's text; a missing file is an error."""
-    return spark.read.option("wholetext", True).text(path).first()[0]
+    return spark.read.text(path, wholetext=True).first()[0]
 
 
 def aux_files(spark: SparkSession, root: str) -> DataFrame:

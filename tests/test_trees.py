@@ -19,7 +19,7 @@ def put(path, value):
     if isinstance(value, bytes):
         path.write_bytes(value)
     else:
-        path.write_text(value if isinstance(value, str) else json.dumps(value), encoding="utf-8")
+        path.write_text(value if isinstance(value, str) else json.dumps(value, indent=2, ensure_ascii=False), encoding="utf-8")
 
 
 def batch(texts, **change):
@@ -109,6 +109,28 @@ def test_scopes_of_references(spark):
     assert clean("batch") == ["a", "a", "c", "c x"]
 
 
+def test_alignment_by_batch_number(spark):
+    made = [("v", "llm_output_batch_0000.json", ["a", "b"]), ("v", "llm_output_batch_0001.json", []), ("v", "llm_output_batch_0002.json", ["e", "f"])]
+    batches = spark.createDataFrame([(v, b, t, t, None, t, t, "s") for v, b, t in made], f"video_id string, batch_file string, {assemble.BATCH_SCHEMA}")
+    places = lambda *a: [(r.pos, r.t3) for r in assemble.batch_rows(batches, *a).orderBy("pos").collect()]
+    assert places() == [(0, "a"), (1, "b"), (2, "e"), (3, "f")]
+    assert places("batch_offset", 2) == [(0, "a"), (1, "b"), (4, "e"), (5, "f")]
+    with pytest.raises(ValueError, match="unknown alignment"):
+        assemble.batch_rows(batches, "other")
+
+
+def test_names_with_odd_characters(spark, tmp_path):
+    put(tmp_path / "a b+c%" / "tesseract_ocr.json", {"frame_000001.png": "é\nü"})
+    assert [tuple(r) for r in trees.ocr_texts(spark, str(tmp_path)).collect()] == [("a b+c%", "frame_000001.png", "é\nü")]
+    sinks.write_documents(spark.createDataFrame([("a b+c%", "batch_1.json", "{}")], "video_id string, file_name string, value string"), f"{tmp_path}/out")
+    assert [tuple(r) for r in trees.documents(spark, f"{tmp_path}/out", "batch_*.json").collect()] == [("a b+c%", "batch_1.json", "{}")]
+
+
+def test_text_files_as_frames(spark, tmp_path):
+    put(tmp_path / "v" / "frame_000001.txt", "one\ntwo")
+    assert [tuple(r) for r in trees.frame_texts(spark, str(tmp_path)).collect()] == [("v", "frame_000001.png", "one\ntwo")]
+
+
 def test_batches(spark):
     df = spark.createDataFrame([("v", k, f"frame_{k}.png", t) for k, t in zip((0, 1, 2, 5, 8, 9, 10), "abc d\ne", strict=True)], "video_id string, frame_idx long, frame_name string, raw_text string")
     rows = batching.batches(df, 3).orderBy("batch").collect()
@@ -186,7 +208,10 @@ def test_command_line(spark, tree, tmp_path):
     status = {r.rel_path: r.status for r in done.collect()}
     assert status["v1"] == "Success (7)" and status["bad_ocr"].startswith("No frame_")
     report = run("cost-stats", "--input", tmp_path / "t")
-    assert report.count() == 6
+    assert report.first().line == "files with a cost: 8" and report.count() == 6
+    assert {r.video_id for r in trees.text_batches(spark, f"{tmp_path}/t").collect()} == {"v1", "v2", "no_llm", "no_batch", "all_bad"}
+    chained = run("text-model", "--input", tmp_path / "o", "--out", tmp_path / "u", "--ledger", tmp_path / "l5", "--prompt", tree / "prompt.md")
+    assert trees.ocr_texts(spark, f"{tmp_path}/o").count() == 2 and chained is not None
     documents = trees.json_documents(spark, f"{tree}/llm")
     assert documents.count() > 5
     run("export", "--frames", tree / "frames", "--batches", tree / "llm", "--ocr", tree / "ocr", "--out", tmp_path / "e", "--mode", "cleaning_pairs", "--video-ids", "v1,zz")
