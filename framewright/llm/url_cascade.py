@@ -131,9 +131,14 @@ def fill(keys: DataFrame, level: int, bits: int, hashes: int) -> np.ndarray:
     return words
 
 
+def _in_shard(shard: int, shards: int):
+    """A test of a key column: whether it belongs to a shard of the cascade."""
+    return lambda key: F.pmod(F.xxhash64(key, F.lit("shard")), F.lit(shards)) == shard
+
+
 def build(listed: DataFrame, universe: DataFrame, shard: int = 0, shards: int = 1) -> Cascade:
     """A cascade of ``listed`` (key: long hash) over ``universe`` (key: long hash), of the keys of one shard."""
-    mine = F.pmod(F.xxhash64("key", F.lit("shard")), F.lit(shards)) == shard
+    mine = _in_shard(shard, shards)(F.col("key"))
     universe = settle(universe.filter(mine).distinct())
     include = settle(listed.filter(mine).distinct().join(universe, "key", "left_semi"))
     exclude = universe.join(include, "key", "left_anti")
@@ -169,22 +174,23 @@ def _any_of(sent):
     return test
 
 
-def listed(hosts: DataFrame, keys: DataFrame, max_mb: int = MAX_MB) -> DataFrame:
+def listed(hosts: DataFrame, keys: DataFrame, max_mb: float = MAX_MB) -> DataFrame:
     """``hosts`` (with a column host) and ``listed``: whether the host or a parent domain is among ``keys`` (key: string)."""
     small_batches(hosts.sparkSession)
     hashed = keys.filter("key is not null").select(F.xxhash64("key").alias("key"))
     own = hosts.withColumn("__keys", F.transform(suffixes(F.col("host")), lambda s: F.xxhash64(s)))
     universe = own.select(F.explode("__keys").alias("key"))
     count = hashed.distinct().count()
-    shards = max(1, math.ceil(count * 6 / (max_mb << 20)))  # at 1e-9 a key takes under 6 bytes on level 1, 0.4 on the others
+    room = max_mb * 2**20
+    shards = max(1, math.ceil(count * 6 / room))  # at 1e-9 a key takes under 6 bytes on level 1, 0.4 on the others
     verdict = F.lit(False)
     for shard in range(shards):
         cascade = build(hashed, universe, shard, shards)
-        assert cascade.bytes <= 2 * (max_mb << 20), "a shard of the cascade is larger than its bound"
+        assert cascade.bytes <= max(2 * room, 1024), "a shard of the cascade is larger than its bound"
         test = _any_of(hosts.sparkSession.sparkContext.broadcast(cascade))
         of_shard = F.col("__keys")
         if shards > 1:
-            of_shard = F.filter("__keys", lambda k, s=shard: F.pmod(F.xxhash64(k, F.lit("shard")), F.lit(shards)) == s)
+            of_shard = F.filter("__keys", _in_shard(shard, shards))
         verdict = verdict | test(of_shard)
     return own.withColumn("listed", verdict).drop("__keys")
 

@@ -336,6 +336,13 @@ def test_urls(spark):
     assert url_cascade.judge(pages, [], keys.limit(0)).filter("verdict = 'block'").count() == 0
 
 
+def test_cascade_in_shards(spark):
+    hosts = spark.range(300).select(F.concat(F.lit("m.h"), F.col("id").cast("string"), F.lit(".net")).alias("host"))
+    keys = spark.range(0, 300, 3).select(F.concat(F.lit("h"), F.col("id").cast("string"), F.lit(".net")).alias("key"))
+    got = url_cascade.listed(hosts, keys, max_mb=0.0003).collect()  # two shards
+    assert sorted(r.host for r in got if r.listed) == sorted(f"m.h{k}.net" for k in range(0, 300, 3)) and len(got) == 300
+
+
 def test_cascade_is_exact_over_its_universe(spark):
     universe = spark.range(20_000).select(F.xxhash64("id").alias("key"))
     listed = spark.range(0, 20_000, 7).select(F.xxhash64("id").alias("key"))
