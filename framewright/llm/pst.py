@@ -1,18 +1,20 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
-Tokens are words (runs of bytes other than 0x20 and 0x09-0x0D, A-Z lower-cased), then one end per text. Words with a share of at
-least ``THETA`` of the training tokens are symbols of their own, so at most 1 / THETA; all others share the symbol RARE, whose
+Tokens are words (runs of bytes other than 0x20 and 0x09-0x0D, A-Z lower-cased), then one end per text. Words seen at least
+``LEAST`` times in training are symbols of their own; all others share the symbol RARE, whose
 members divide its probability as (count + 1) / (their counts + their number + 1), an unseen word included.
 
-The tree holds contexts of up to ``DEPTH`` symbols. A context is retained if the distribution after it
+The tree holds contexts of up to ``DEPTH`` symbols, with an entry for each symbol that follows them at least ``LEAST`` times. A context is retained if the distribution after it
 differs from that after its longest retained suffix by more than the description of its own entries costs:
 sum n * ln(P(x | context) / P(x | suffix)) > entries / 2 * ln(n(context)). Distributions are smoothed by taking a discount from
 each entry; the mass of all that has no entry is divided as the suffix's distribution divides it; the root is the add-one
 unigram model, so that probabilities over all words (and one unseen) sum to one. A token is scored in the state of the longest retained suffix.
+``theta`` adds a least share of the tokens to ``LEAST``; it is 0 unless given, so the tree grows with the corpus.
 
-Counting: each task encodes its blocks of texts by block-local word numbers; word counts are summed over the whole corpus (the
-dictionary grows with it and is never gathered: rare words' counts go back to the blocks by joins). Entries of the tree have a
-share of at least THETA as well, so the driver receives at most 1 / THETA rows per depth.
+Counting: symbols and sequences are 64-bit hashes. Each block of texts asks for its distinct sequences of a width, cut by hash into
+parts as binary columns; a part sums its blocks' counts and answers each block which sequences are frequent. Both parts of a
+frequent sequence that are one symbol shorter are frequent, so only such are asked for. Frequent sequences, retained contexts and their
+probabilities are tables, joined per depth, and go back to the blocks in the same way; the driver receives sums only.
 
 Nulls: a null text is empty and has the end as its only token; a null doc_id counts as the empty text for the fold.
 Repeated rows count as often as they occur. Without training rows every token is unseen. An empty table gives an empty result.
@@ -20,28 +22,36 @@ Repeated rows count as often as they occur. Without training rows every token is
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from contextlib import contextmanager
+from dataclasses import dataclass
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framewright.llm import tokens as tk
 from framewright.llm.store import small_batches, table
 
 U = np.uint64
-THETA = 1 / 60_000
+LEAST = 2
 DEPTH = 3
 DISCOUNT = 0.75
 BLOCK = 8 << 20
 END = U(0x454E44)
 END_KEY = int(END)
-RARE, END_SYMBOL = 0, 1
+RARE = 0
+PART = 1 << 21
 
-ENCODED = "block long, doc_id long, train boolean, tokens long, words binary, local int, key long, n long"
+BLOCKS = "block long, docs array<long>, train binary, lens binary, words binary, keys binary, own binary, trained long, ends long"
+STATE = "block long, docs array<long>, train binary, lens binary, words binary, keys binary, counts binary, seen binary, rare long, gram long, context long, suffix long, n long"
+ASKED = "block long, part long, hashes binary, n binary"
+ANSWER = "block long, part long, level binary, n binary"
+VALUES = "part long, grams binary, v binary, slack binary"
 
 
 def _pack(ids: np.ndarray) -> bytes:
@@ -55,36 +65,24 @@ def _unpack(raw: bytes) -> np.ndarray:
 
 
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per block of texts: a row per text with its word numbers, and a row per distinct word."""
-    schema = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("train", pa.bool_()), ("tokens", pa.int64()), ("words", pa.binary()), ("local", pa.int32()), ("key", pa.int64()), ("n", pa.int64())])
+    """One row per block of texts: word numbers, the block's words and how often its training texts have them."""
     block, held, size = TaskContext.get().partitionId() << 24, [], 0
 
-    def flush() -> Iterator[pa.RecordBatch]:
+    def flush() -> pa.RecordBatch:
         nonlocal block, held, size
         ids, train, lists = [i for h in held for i in h[0]], np.array([t for h in held for t in h[1]], bool), [w for h in held for w in h[2]]
-        flat = np.concatenate(lists)
-        lens = np.array([len(w) for w in lists])
-        held, size = [], 0
-        key, back = np.unique(flat, return_inverse=True)
+        lens = np.array([len(w) for w in lists], np.int64)
+        key, back = np.unique(np.concatenate(lists), return_inverse=True)
         order = np.argsort(-np.bincount(back), kind="stable")
         number = np.empty(len(key), np.int64)
         number[order] = np.arange(len(key))
         local = number[back]
-        n = np.bincount(local, np.repeat(train, lens), len(key)).astype(np.int64)
         assert len(key) < 1 << 24
-        ends = np.cumsum(lens)
-        empty = lambda kind, m: pa.nulls(m, kind)
-        for a in range(0, len(ids), 1024):
-            b = min(len(ids), a + 1024)
-            packed = [_pack(local[e - m : e]) for e, m in zip(ends[a:b].tolist(), lens[a:b].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(b - a, block)), pa.array(ids[a:b], pa.int64()), pa.array(train[a:b]), pa.array(lens[a:b]), pa.array(packed, pa.binary()), *(empty(k, b - a) for k in (pa.int32(), pa.int64(), pa.int64()))], schema=schema
-            )
-        m = len(key)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(m, block)), *(empty(k, m) for k in (pa.int64(), pa.bool_(), pa.int64(), pa.binary())), pa.array(np.arange(m, dtype=np.int32)), pa.array(key[order].view(np.int64)), pa.array(n)], schema=schema
-        )
-        block += 1
+        own = np.bincount(local, np.repeat(train, lens), len(key)).astype("<u4")
+        row = (block, ids, train.tobytes(), lens.tobytes(), _pack(local), key[order].tobytes(), own.tobytes(), int(lens[train].sum()), int(train.sum()))
+        held, size, block = [], 0, block + 1
+        kinds = (pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 5, pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], names=[c.split()[0] for c in BLOCKS.split(", ")])
 
     for batch in batches:
         ids, train = batch.column("doc_id").cast(pa.int64()).to_pylist(), batch.column("train").to_pylist()
@@ -93,9 +91,128 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.append((ids[i:j], train[i:j], [np.append(hashes[a:b], END) for a, b in zip(at[:-1], at[1:], strict=True)]))
             size += len(data) + j - i
             if size >= BLOCK:
-                yield from flush()
+                yield flush()
     if held:
-        yield from flush()
+        yield flush()
+
+
+@contextmanager
+def _whole_blocks(spark: SparkSession) -> Iterator[None]:
+    """Rows of whole blocks go to Python a few at a time, small ones many."""
+    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": "65536", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+    before = {key: spark.conf.get(key) for key in limits}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def _forget(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete tables of the scratch folder that no later step reads, and let Spark drop the exchanges of steps that ended."""
+    for df in tables:
+        for name in df.inputFiles()[:1]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name).getParent()
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+class Block:
+    """A block's tokens as arrays."""
+
+    def __init__(self, row: dict, floor: float):
+        self.lens = np.frombuffer(row["lens"], np.int64)
+        self.train = np.repeat(np.frombuffer(row["train"], bool), self.lens)
+        self.first = np.repeat(np.cumsum(self.lens) - self.lens, self.lens)
+        self.local = _unpack(row["words"])
+        self.keys = np.frombuffer(row["keys"], U)
+        self.counts = np.frombuffer(row["counts"], np.int64)
+        self.symbols = np.where((self.counts >= floor) | (self.keys == END), self.keys, U(RARE))[self.local]
+        self.seen = np.frombuffer(row["seen"], np.uint8)
+
+    def grams(self, width: int) -> np.ndarray:
+        """Hash of the ``width`` symbols that end at each position; a single symbol is its own."""
+        if width == 1:
+            return self.symbols
+        code = self.symbols * tk._PLACE[0]
+        for k in range(1, width):
+            code[k:] += self.symbols[:-k] * tk._PLACE[k]
+        return tk.mix(code + U(width))
+
+    def frequent(self, width: int) -> np.ndarray:
+        """Where a frequent sequence of ``width`` symbols ends."""
+        return self.seen >= width
+
+    def possible(self, width: int) -> np.ndarray:
+        """Positions of sequences of which both shorter parts are frequent."""
+        ok = self.frequent(width - 1) & (np.arange(len(self.first)) - self.first >= width - 1)
+        ok[1:] &= self.frequent(width - 1)[:-1]
+        return np.flatnonzero(ok)
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """All first bytes, then all second ones and so on, which compresses sorted or small numbers."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+
+
+def _numbers(raw: bytes, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
+def _cut(block: int, hashes: np.ndarray, n: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Sorted distinct hashes as one row per part."""
+    part = hashes.view(np.int64) % parts
+    order = np.argsort(part, kind="stable")
+    ends = np.searchsorted(part[order], np.arange(parts + 1))
+    hashes, n = hashes[order], n.astype("<u4")[order]
+    pieces = [(k, a, b) for k, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)) if b > a]
+    columns = [pa.array([block] * len(pieces), pa.int64()), pa.array([k for k, _, _ in pieces], pa.int64()), *(pa.array([_planes(x[a:b]) for _, a, b in pieces], pa.binary()) for x in (hashes, n))]
+    return pa.RecordBatch.from_arrays(columns, names=["block", "part", "hashes", "n"])
+
+
+def _pasted(answers: pa.Table, column: str, kind: type, parts: np.ndarray) -> np.ndarray:
+    """The answers to sorted distinct hashes, in their order."""
+    rows = answers.select(["part", column]).sort_by("part").column(column).to_pylist()
+    out = np.zeros(len(parts), kind)
+    out[np.argsort(parts, kind="stable")] = np.frombuffer(b"".join(rows), kind)
+    return out
+
+
+def _sum(floor: float, words: bool):
+    """For a part: the whole count of each hash. A block learns whether a sequence is frequent (1), and of one block's (2) the count as well; of a word the count."""
+
+    def run(group: pa.Table) -> pa.Table:
+        hashes = [_numbers(x.as_py(), "<u8") for x in group.column("hashes")]
+        times = np.concatenate([_numbers(x.as_py(), "<u4") for x in group.column("n")])
+        _, first, back = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        total = np.bincount(back, times).astype(np.int64)[back]
+        level = (total >= (1 if words else floor)).astype(np.uint8)
+        chosen = np.zeros(len(level), bool)
+        chosen[first] = True
+        level[chosen & (level > 0)] = 2
+        ends = np.cumsum([len(h) for h in hashes])
+        cut = [slice(e - len(h), e) for e, h in zip(ends.tolist(), hashes, strict=True)]
+        n = [total[c].tobytes() if words else total[c][level[c] == 2].tobytes() for c in cut]
+        return pa.Table.from_arrays([group.column("block"), group.column("part"), pa.array([level[c].tobytes() for c in cut], pa.binary()), pa.array(n, pa.binary())], names=["block", "part", "level", "n"])
+
+    return run
+
+
+def _state(row: dict, counts: np.ndarray | None, seen: np.ndarray, rare: int, described: tuple[np.ndarray, ...]) -> pa.Table:
+    """The block's row, then a row per frequent sequence that it describes: (sequence, context, suffix, count)."""
+    m = len(described[0])
+    values = (row["block"], row["docs"], row["train"], row["lens"], row["words"], row["keys"], row["counts"] if counts is None else counts.tobytes(), seen.tobytes(), rare)
+    kinds = (pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 6, pa.int64())
+    head = [pa.chunked_array([pa.array([v], k), pa.nulls(m, k)]) for v, k in zip(values, kinds, strict=True)]
+    tail = [pa.chunked_array([pa.nulls(1, pa.int64()), pa.array(d.view(np.int64))]) for d in described]
+    return pa.Table.from_arrays(head + tail, names=[c.split()[0] for c in STATE.split(", ")])
+
+
+_NO_STATE = pa.schema([("block", pa.int64()), ("docs", pa.list_(pa.int64())), *((c, pa.binary()) for c in ("train", "lens", "words", "keys", "counts", "seen")), *((c, pa.int64()) for c in ("rare", "gram", "context", "suffix", "n"))])
 
 
 @dataclass
@@ -103,233 +220,289 @@ class Corpus:
     """The encoded texts and the corpus-wide sums."""
 
     texts: DataFrame
+    words: DataFrame
+    """(gram, n): every symbol and its training count; that of RARE is of all its words together."""
     total: int
     distinct: int
     symbols: int
-    counts: np.ndarray
-    """Training count of each symbol; that of RARE is of all its words together."""
+    rare: int
     rare_words: int
+    floor: float
+    parts: int
 
+    def root(self, gram: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Probability of symbols without context."""
+        return np.where(gram == RARE, self.rare + self.rare_words + 1.0, n + 1.0) / (self.total + self.distinct + 1)
 
-def _frequent(counts: DataFrame, total: int, theta: float) -> list:
-    """Words with a share of at least theta: at most 1 / theta rows. The end is always one of them."""
-    return counts.filter((F.col("c") >= max(2, theta * total)) & (F.col("key") != END_KEY)).orderBy(F.desc("c"), "key").collect()
 
-
-def encode(docs: DataFrame, train: Column, theta: float = THETA) -> Corpus:
-    """Count the words of the training rows and rewrite every text as symbols with its base score."""
+def encode(docs: DataFrame, train: Column, theta: float = 0.0) -> Corpus:
+    """Count the words of the training rows and rewrite every text as symbols."""
     spark = docs.sparkSession
     small_batches(spark)
-    local = table(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), train.alias("train")).mapInArrow(_encode, ENCODED), "blocks")
-    entries = local.filter("key is not null").select("block", "local", "key", "n")
-    counts = table(entries.filter("n > 0").groupBy("key").agg(F.sum("n").alias("c")), "counts")
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("c")).first()
-    ends = sum(r.c for r in counts.filter(F.col("key") == END_KEY).collect())
-    frequent = _frequent(counts, total, theta)
-    symbol_counts = np.array([0, ends, *(r.c for r in frequent)], np.int64)
-    symbol_counts[RARE] = total - symbol_counts[1:].sum()
-    rare_words = distinct - len(frequent) - (ends > 0)
-    keys = np.array([END_KEY, *(r.key for r in frequent)], np.int64)
-    lookup = spark.sparkContext.broadcast(symbol_counts)
-    named = F.broadcast(spark.createDataFrame([(int(k), s) for s, k in enumerate(keys, 1)], "key long, symbol long"))  # at most 1 / theta rows
-    rare = entries.join(named, "key", "left_anti").join(counts, "key", "left").select(F.col("block").alias("of"), "local", F.coalesce("c", F.lit(0)).alias("c"))
-    known = entries.join(named, "key").select(F.col("block").alias("of"), "local", (-F.col("symbol")).alias("c"))
-    texts = local.filter("key is null").select("block", "doc_id", "train", "tokens", "words")
-    norm, rare_norm = float(total + distinct + 1), float(symbol_counts[RARE] + rare_words + 1)
-    schema = pa.schema([("doc_id", pa.int64()), ("train", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("rare_score", pa.float64()), ("symbols", pa.binary())])
+    blocks = table(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), train.alias("train")).mapInArrow(_encode, BLOCKS), "blocks")
+    total, ends, tokens = blocks.agg(F.coalesce(F.sum("trained"), F.lit(0)), F.coalesce(F.sum("ends"), F.lit(0)), F.coalesce(F.sum(F.octet_length("words")), F.lit(0))).first()
+    floor, parts = max(LEAST, theta * total), max(64, tokens // 3 // PART)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                keys = np.frombuffer(row["keys"], U)
+                order = np.argsort(keys)
+                yield _cut(row["block"], keys[order], np.frombuffer(row["own"], "<u4")[order], parts)
+
+    def resolve(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = left.to_pylist()[0]
+        keys = np.frombuffer(row["keys"], U)
+        order = np.argsort(keys)
+        part = keys[order].view(np.int64) % parts
+        counts, level = np.empty(len(keys), np.int64), np.empty(len(keys), np.uint8)
+        counts[order], level[order] = _pasted(right, "n", np.int64, part), _pasted(right, "level", np.uint8, part)
+        chosen = (level == 2) & (keys != END)
+        named = chosen & (counts >= floor)
+        nothing = np.zeros(int(named.sum()), np.int64)
+        return _state(row, counts, np.ones(len(row["words"]) // 3, np.uint8), int((chosen & ~named).sum()), (keys[named], nothing, nothing, counts[named]))
+
+    with _whole_blocks(spark):
+        answers = blocks.select("block", "keys", "own").mapInArrow(ask, ASKED).groupBy("part").applyInArrow(_sum(floor, True), ANSWER)
+        whole = blocks.drop("own", "trained", "ends").groupBy("block").cogroup(answers.groupBy("block"))
+        texts = table(whole.applyInArrow(resolve, STATE), "symbols")
+    del answers, whole
+    _forget(spark, blocks)
+    rare_words = texts.agg(F.coalesce(F.sum("rare"), F.lit(0))).first()[0]
+    named = texts.filter("gram is not null").select("gram", "n")
+    symbols, known = named.agg(F.count("n"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    rare = total - known - ends
+    words = named.unionByName(spark.createDataFrame([(RARE, int(rare)), (END_KEY, int(ends))], "gram long, n long"))
+    return Corpus(texts, words, total, symbols + rare_words + (ends > 0), symbols + 2, int(rare), int(rare_words), floor, parts)
+
+
+def _count(corpus: Corpus, width: int) -> tuple[DataFrame, DataFrame]:
+    """Blocks that know their frequent sequences of ``width`` symbols, and these: (gram, context, suffix, n)."""
+    floor, parts, texts = corpus.floor, corpus.parts, corpus.texts.filter("docs is not null")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                block = Block(row, floor)
+                at = block.possible(width)
+                hashes, back = np.unique(block.grams(width)[at], return_inverse=True)
+                yield _cut(row["block"], hashes, np.bincount(back, block.train[at], len(hashes)), parts)
 
     def resolve(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            return schema.empty_table()
-        at, c = right.column("local").to_numpy(), right.column("c").to_numpy()  # a count, or a symbol's number below zero
-        symbol, count = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-        symbol[at] = np.maximum(-c, RARE)
-        count[at] = np.where(c < 0, lookup.value[np.maximum(-c, RARE)], c)
-        base = np.log10((count + 1) / norm)
-        inside = np.where(symbol == RARE, np.log10((count + 1) / rare_norm), 0.0)
-        small = symbol.astype("<u2")
-        out: list[list] = [[], [], [], []]
-        for raw in left.column("words"):
-            ids = _unpack(raw.as_py())
-            for column, x in zip(out, (int((count[ids] > 0).sum()), base[ids].sum(), inside[ids].sum(), small[ids].tobytes()), strict=True):
-                column.append(x)
-        return pa.Table.from_arrays([left.column("doc_id"), left.column("train"), left.column("tokens"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.float64()), pa.array(out[2], pa.float64()), pa.array(out[3], pa.binary())], schema=schema)
-
-    whole = texts.groupBy("block").cogroup(rare.unionByName(known).groupBy("of"))
-    encoded = table(whole.applyInArrow(resolve, "doc_id long, train boolean, n_tokens long, n_known long, base_score double, rare_score double, symbols binary"), "symbols")
-    return Corpus(encoded, total, distinct, len(symbol_counts), symbol_counts, rare_words)
-
-
-def _sequences(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All symbols of a batch and the first position of each token's text."""
-    lists = [np.frombuffer(x.as_py(), "<u2") for x in column]
-    lens = np.array([len(x) for x in lists], np.int64)
-    flat = np.concatenate([*lists, np.zeros(0, "<u2")]).astype(U)
-    return flat, np.repeat(np.cumsum(lens) - lens, lens)
-
-
-def _grams(flat: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of the ``width`` symbols that end at each position, and where they lie within one text."""
-    code = flat.copy()
-    for k in range(1, width):
-        code[k:] |= flat[:-k] << U(16 * k)
-    at = np.arange(len(flat))
-    return code, at - first >= width - 1
-
-
-def _is_in(values: np.ndarray, table_: np.ndarray) -> np.ndarray:
-    if not len(table_):
-        return np.zeros(len(values), bool)
-    return table_[np.minimum(np.searchsorted(table_, values), len(table_) - 1)] == values
-
-
-def _count_grams(texts: DataFrame, width: int, shorter: np.ndarray | None, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent sequences of ``width`` symbols in the training texts: codes (sorted) and counts.
-
-    Both parts of a frequent sequence that are one symbol shorter are frequent, so only such are counted.
-    """
-    sent = texts.sparkSession.sparkContext.broadcast(shorter)
+            return _NO_STATE.empty_table()
+        row = left.to_pylist()[0]
+        block = Block(row, floor)
+        at = block.possible(width)
+        hashes, where, back = np.unique(block.grams(width)[at], return_index=True, return_inverse=True)
+        part = hashes.view(np.int64) % parts
+        level = _pasted(right, "level", np.uint8, part)
+        seen = block.seen.copy()
+        seen[at[level[back] > 0]] = width
+        order = np.argsort(part, kind="stable")
+        mine = order[level[order] == 2]  # as the counts come
+        n = np.frombuffer(b"".join(right.sort_by("part").column("n").to_pylist()), np.int64)
+        shorter, end = block.grams(width - 1), at[where[mine]]
+        return _state(row, None, seen, 0, (hashes[mine], shorter[end - 1], shorter[end], n))
+
+    with _whole_blocks(texts.sparkSession):
+        answers = table(texts.mapInArrow(ask, ASKED).groupBy("part").applyInArrow(_sum(floor, False), ANSWER), f"answers-{width}")
+        _forget(texts.sparkSession)
+        found = table(texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(resolve, STATE), f"grams-{width}")
+    _forget(texts.sparkSession, answers)
+    return found, found.filter("gram is not null").select("gram", "context", "suffix", "n")
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        weights: list[np.ndarray] = []
+@dataclass
+class Tree:
+    """The tree as tables; ``parent`` and ``log10`` gather it, for small ones only."""
+
+    corpus: Corpus
+    levels: list[DataFrame]
+    """Per width from 2: gram, context, suffix, n and v, the ln of the last symbol's probability after the context's longest retained suffix."""
+    contexts: list[DataFrame]
+    """Per width from 1: gram of a retained context and its slack, ln of what the suffix's probabilities of symbols without entry are multiplied by."""
+
+    def values(self) -> DataFrame:
+        """gram, v, slack of all sequences."""
+        none = F.lit(None).cast("double")
+        entries = [level.select("gram", F.col("v").cast("double").alias("v"), none.alias("slack")) for level in self.levels]
+        kept = [c.select("gram", none.alias("v"), "slack") for c in self.contexts]
+        return reduce(DataFrame.unionByName, entries + kept)
+
+    @cached_property
+    def _gathered(self) -> tuple[list[int], list[float], dict, np.ndarray]:
+        words = self.corpus.words.collect()
+        order = {RARE: 0, END_KEY: 1}
+        for r in sorted((r for r in words if r.gram not in order), key=lambda r: (-r.n, r.gram)):
+            order[r.gram] = len(order)
+        root = np.zeros(len(order))
+        for r in words:
+            root[order[r.gram]] = np.log10(self.corpus.root(np.array([r.gram]), np.array([r.n]))[0])
+        suffix, last, parent, slack, state, chance = {}, dict(order), [0], [0.0], {}, {}
+        for level, kept in zip(self.levels, self.contexts, strict=True):
+            for r in kept.collect():
+                up = suffix.get(r.gram)
+                while up is not None and up not in state:
+                    up = suffix.get(up)
+                state[r.gram] = len(parent)
+                parent.append(state[up] if up is not None else 0), slack.append(r.slack / np.log(10))
+            for r in level.collect():
+                suffix[r.gram], last[r.gram] = r.suffix, last[r.suffix]
+                if r.context in state:
+                    chance[state[r.context], last[r.gram]] = r.v / np.log(10)
+        return parent, slack, chance, root
+
+    @property
+    def parent(self) -> list[int]:
+        return self._gathered[0]
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            code, back = np.unique(np.concatenate([*held, np.zeros(0, U)]), return_inverse=True)
-            return code, np.bincount(back, np.concatenate([*weights, np.zeros(0)]), len(code))
+    def log10(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """log10 P(symbol | state); symbols are numbered RARE, end, words by falling count."""
+        parent, slack, chance, root = self._gathered
 
-        def row(code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(n.astype(np.int64))], names=["code", "n"])
+        def one(s: int, x: int) -> float:
+            if s == 0:
+                return root[x]
+            return chance[s, x] if (s, x) in chance else slack[s] + one(parent[s], x)
 
-        for batch in batches:
-            flat, first = _sequences(batch.column("symbols"))
-            code, ok = _grams(flat, first, width)
-            if sent.value is not None:
-                mask = U((1 << 16 * (width - 1)) - 1)
-                ok &= _is_in(code & mask, sent.value) & _is_in(code >> U(16), sent.value)
-            got, n = np.unique(code[ok], return_counts=True)
-            held.append(got), weights.append(n.astype(float))
-            if sum(map(len, held)) > 500_000:
-                yield row(*merged())
-                held, weights = [], []
-        yield row(*merged())
-
-    rows = texts.filter("train").select("symbols").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).collect()
-    code, n = np.array([r.code for r in rows], np.int64).view(U), np.array([r.n for r in rows], np.int64)
-    order = np.argsort(code)
-    return code[order], n[order]
+        return np.array([one(s, x) for s, x in zip(state.tolist(), symbol.tolist(), strict=True)])
 
 
-@dataclass
-class Tree:
-    """Retained contexts by depth (sorted codes and their states) and the log10 probabilities of their entries."""
-
-    root: np.ndarray
-    """log10 probability of each symbol without context."""
-    contexts: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
-    parent: list[int] = field(default_factory=lambda: [0])
-    slack: list[float] = field(default_factory=lambda: [0.0])
-    entries: np.ndarray = field(default_factory=lambda: np.zeros(0, U))
-    chance: np.ndarray = field(default_factory=lambda: np.zeros(0))
-
-    def states(self, flat: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """State of the longest retained suffix before each token."""
-        state = np.zeros(len(flat), np.int64)
-        for depth, (codes, states) in enumerate(self.contexts, 1):
-            if not len(codes) or len(flat) <= depth:
-                continue
-            code, ok = _grams(flat, first, depth)
-            at = np.flatnonzero(ok[:-1] & (first[1:] == first[:-1]))
-            where = np.minimum(np.searchsorted(codes, code[at]), len(codes) - 1)
-            hit = codes[where] == code[at]
-            state[at[hit] + 1] = states[where[hit]]
-        return state
+def grow(corpus: Corpus, depth: int = DEPTH, theta: float = 0.0, discount: float = DISCOUNT, links: bool = True) -> Tree:
+    """Count the sequences, test every context against its suffix, and smooth the retained ones.
 
-    def log10(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """log10 P(symbol | state): the entry's if there is one, else the state's freed mass times its suffix's."""
-        out, at = np.zeros(len(state)), np.arange(len(state))
-        parent, slack = np.array(self.parent), np.array(self.slack)
-        state = state.copy()
-        while len(at):
-            rooted = state[at] == 0
-            out[at[rooted]] += self.root[symbol[at[rooted]].astype(np.int64)]
-            at = at[~rooted]
-            if not len(at):
-                break
-            key = state[at].astype(U) << U(16) | symbol[at]
-            where = np.minimum(np.searchsorted(self.entries, key), len(self.entries) - 1)
-            hit = self.entries[where] == key
-            out[at[hit]] += self.chance[where[hit]]
-            at = at[~hit]
-            out[at] += slack[state[at]]
-            state[at] = parent[state[at]]
-        return out
-
-
-def grow(corpus: Corpus, depth: int = DEPTH, theta: float = THETA, discount: float = DISCOUNT) -> Tree:
-    """Count the sequences, test every context against its suffix, and smooth the retained ones."""
-    norm = corpus.total + corpus.distinct + 1
-    mass = corpus.counts + 1.0
-    mass[RARE] = corpus.counts[RARE] + corpus.rare_words + 1
-    tree = Tree(np.log10(mass / norm))
-    least = max(2, theta * corpus.total)
-    before, times = np.arange(corpus.symbols, dtype=U), corpus.counts
-    shorter, keys, chances = None, [], []
+    The blocks of ``corpus`` know their frequent sequences afterwards. Without ``links`` the tree can't be gathered.
+    """
+    spark = corpus.texts.sparkSession
+    corpus.floor = max(corpus.floor, theta * corpus.total)
+    norm = float(corpus.total + corpus.distinct + 1)
+    mass = F.when(F.col("gram") == RARE, F.lit(corpus.rare + corpus.rare_words + 1.0)).otherwise(F.col("n") + 1.0)
+    corpus.words = table(corpus.words, "words")
+    before = corpus.words.select("gram", "n", F.log(mass / norm).alias("v"))
+    tree = Tree(corpus, [], [])
     for width in range(2, depth + 2):
-        code, n = _count_grams(corpus.texts, width, shorter, least)
-        context, symbol = code >> U(16), code & U(0xFFFF)
-        begin = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if len(code) else np.zeros(0, np.int64)
-        found, states = [], []
-        for a, b in zip(begin.tolist(), [*begin.tolist()[1:], len(code)], strict=False):
-            where = int(np.searchsorted(before, context[a]))
-            size = float(times[where])
-            up = _suffix_state(tree, int(context[a]), width - 1)
-            m = n[a:b].astype(float)
-            suffix = 10 ** tree.log10(np.full(b - a, up), symbol[a:b])
-            own, rest, rest_up = m / size, size - m.sum(), max(1e-12, 1 - suffix.sum())
-            gain = float((m * np.log(own / suffix)).sum()) + (rest * np.log(rest / size / rest_up) if rest > 0.5 else 0.0)
-            if gain <= (b - a) / 2 * np.log(max(size, 2)):
-                continue
-            whole = rest_up < 1e-9  # every symbol has an entry here: nothing to set aside
-            held = m if whole else m - discount
-            free = 1.0 if whole else (1 - held.sum() / size) / rest_up
-            state = len(tree.parent)
-            tree.parent.append(up), tree.slack.append(float(np.log10(free)))
-            found.append(context[a]), states.append(state)
-            keys.append(U(state << 16) | symbol[a:b])
-            chances.append(np.log10(held / size))
-        tree.contexts.append((np.array(found, U), np.array(states, np.int64)))
-        if keys:
-            flat, value = np.concatenate(keys), np.concatenate(chances)
-            order = np.argsort(flat)
-            tree.entries, tree.chance = flat[order], value[order]
-        before, times, shorter = code, n, code
+        texts, grams = _count(corpus, width)
+        _forget(spark, corpus.texts)
+        corpus.texts, chain = texts, ["suffix"] if links else []
+        joined = grams.join(before.select(F.col("gram").alias("suffix"), F.col("v").alias("up")), "suffix")
+        joined = table(joined.select("gram", "context", *chain, "n", "up"), f"joined-{width}")
+        _forget(spark)
+        sums = joined.groupBy("context").agg(F.count("n").alias("m"), F.sum("n").cast("double").alias("held"), F.sum(F.exp("up")).alias("mass"), F.sum(F.col("n") * (F.log("n") - F.col("up"))).alias("g"))
+        tests = sums.join(before.select(F.col("gram").alias("context"), F.col("n").cast("double").alias("size")), "context")
+        tests = tests.withColumn("rest", F.col("size") - F.col("held")).withColumn("rest_up", F.greatest(F.lit(1e-12), 1 - F.col("mass")))
+        gain = F.col("g") - F.col("held") * F.log("size") + F.when(F.col("rest") > 0.5, F.col("rest") * F.log(F.col("rest") / F.col("size") / F.col("rest_up"))).otherwise(0.0)
+        off = F.when(F.col("rest_up") < 1e-9, 0.0).otherwise(discount)  # else every symbol has an entry: nothing to set aside
+        free = F.when(F.col("rest_up") < 1e-9, 1.0).otherwise((1 - (F.col("held") - F.col("m") * discount) / F.col("size")) / F.col("rest_up"))
+        kept = table(tests.filter(gain > F.col("m") / 2 * F.log(F.greatest("size", F.lit(2.0)))).select(F.col("context").alias("gram"), "size", off.alias("off"), F.log(free).alias("slack")), f"contexts-{width}")
+        del sums, tests
+        _forget(spark)
+        own = joined.join(kept.withColumnRenamed("gram", "context"), "context", "left")
+        v = F.when(F.col("size").isNull(), F.col("up")).otherwise(F.log((F.col("n") - F.col("off")) / F.col("size")))
+        level = table(own.select("gram", *(["context", "suffix"] if links else []), "n", v.cast("float").alias("v")), f"level-{width}")
+        tree.levels.append(level), tree.contexts.append(kept.select("gram", "slack"))
+        del own
+        _forget(spark, joined)
+        before = level.select("gram", "n", F.col("v").cast("double").alias("v"))
     return tree
 
 
-def _suffix_state(tree: Tree, context: int, length: int) -> int:
-    """State of the longest retained proper suffix of a context of ``length`` symbols."""
-    for k in range(min(length - 1, len(tree.contexts)), 0, -1):
-        codes, states = tree.contexts[k - 1]
-        code = U(context & ((1 << 16 * k) - 1))
-        where = int(np.searchsorted(codes, code))
-        if where < len(codes) and codes[where] == code:
-            return int(states[where])
-    return 0
-
-
-def score(docs: DataFrame, train: Column, depth: int = DEPTH, theta: float = THETA) -> DataFrame:
+def score(docs: DataFrame, train: Column, depth: int = DEPTH, theta: float = 0.0) -> DataFrame:
     """doc_id, train, n_tokens, n_known, train_tokens, base_score, score of every whole text."""
+    spark = docs.sparkSession
     corpus = encode(docs, train, theta)
-    sent = docs.sparkSession.sparkContext.broadcast(grow(corpus, depth, theta))
+    tree = grow(corpus, depth, theta, links=False)
+    texts = corpus.texts.filter("docs is not null")
+    floor, parts, total, distinct, rare, rare_words = corpus.floor, corpus.parts, corpus.total, corpus.distinct, corpus.rare, corpus.rare_words
+
+    def wanted(block: Block) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """Each token's longest frequent sequence and the frequent contexts longer than its own: positions and hashes."""
+        longest, contexts = np.zeros(len(block.seen), U), []
+        for width in range(2, depth + 2):
+            hashes = block.grams(width)
+            at = block.seen == width
+            longest[at] = hashes[at]
+        for length in range(1, depth + 1):
+            at = np.flatnonzero((block.seen <= length) & (np.arange(len(block.first)) - block.first >= length))
+            at = at[block.frequent(length)[at - 1]]
+            contexts.append((at, block.grams(length)[at - 1]))
+        at = np.flatnonzero(block.seen > 1)
+        return at, longest[at], contexts
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                _, longest, contexts = wanted(Block(row, floor))
+                hashes = np.unique(np.concatenate([longest, *(h for _, h in contexts)]))
+                yield _cut(row["block"], hashes, np.zeros(len(hashes)), parts)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def flush() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held)
+            held.clear()
+            gram = rows.column("gram").to_numpy()
+            order = np.lexsort((gram.view(U), gram % parts))
+            part, columns = (gram % parts)[order], [gram.view(U)[order], *(rows.column(c).to_numpy()[order].astype(np.float32) for c in ("v", "slack"))]
+            begin = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+            cut = list(zip(begin.tolist(), [*begin.tolist()[1:], len(part)], strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(part[begin]), *(pa.array([_planes(x[a:b]) for a, b in cut], pa.binary()) for x in columns)], names=["part", "grams", "v", "slack"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat, first = _sequences(batch.column("symbols"))
-            value = sent.value.log10(sent.value.states(flat, first), flat)
-            starts = np.unique(first)
-            sums = np.add.reduceat(value, starts) if len(flat) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "train", "n_tokens", "n_known", "base_score")), pa.array(sums + batch.column("rare_score").to_numpy())], names=["doc_id", "train", "n_tokens", "n_known", "base_score", "score"])
-
-    scored = corpus.texts.mapInArrow(run, "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double")
-    return scored.withColumn("train_tokens", F.lit(int(corpus.total)).cast("long"))
+            if batch.num_rows:
+                held.append(batch)
+            if sum(h.num_rows for h in held) > 1_000_000:
+                yield flush()
+        if held:
+            yield flush()
+
+    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
+        joined = lambda c, kind: np.concatenate([np.zeros(0, kind), *(_numbers(x.as_py(), kind) for x in right.column(c))])
+        gram = joined("grams", "<u8")
+        out: list[list[bytes]] = [[], []]
+        tables = []
+        for name, default in (("v", np.nan), ("slack", 0.0)):
+            value = joined(name, "<f4")
+            has = np.flatnonzero(~np.isnan(value))
+            has = has[np.argsort(gram[has])]
+            tables.append((gram[has], value[has], default))
+        for raw in left.column("hashes"):
+            hashes = _numbers(raw.as_py(), "<u8")
+            for column, (keys, value, default) in zip(out, tables, strict=True):
+                got = np.full(len(hashes), default, np.float32)
+                if len(keys):
+                    at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+                    got = np.where(keys[at] == hashes, value[at], got).astype(np.float32)
+                column.append(got.tobytes())
+        return pa.Table.from_arrays([left.column("block"), left.column("part"), *(pa.array(c, pa.binary()) for c in out)], names=["block", "part", "level", "n"])
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = left.to_pylist()[0]
+        block = Block(row, floor)
+        at, longest, contexts = wanted(block)
+        hashes = np.unique(np.concatenate([longest, *(h for _, h in contexts)]))
+        part = hashes.view(np.int64) % parts
+        v, slack = (_pasted(right, c, np.float32, part).astype(float) for c in ("level", "n"))
+        norm = float(total + distinct + 1)
+        base = np.log10((block.counts + 1) / norm)
+        is_rare = (block.counts < floor) & (block.keys != END)
+        rooted = np.where(is_rare, np.log10((rare + rare_words + 1) / norm), base)[block.local]
+        value = rooted * np.log(10)
+        value[at] = v[np.searchsorted(hashes, longest)]
+        for where, h in contexts:
+            value[where] += slack[np.searchsorted(hashes, h)]
+        inside = np.where(is_rare, np.log10((block.counts + 1) / (rare + rare_words + 1.0)), 0.0)[block.local]
+        starts = np.cumsum(block.lens) - block.lens
+        sums = [np.add.reduceat(x, starts) for x in ((block.counts > 0)[block.local].astype(np.int64), base[block.local], value / np.log(10) + inside)]
+        return pa.table({"doc_id": pa.array(row["docs"], pa.int64()), "train": pa.array(np.frombuffer(row["train"], bool)), "n_tokens": pa.array(block.lens), "n_known": pa.array(sums[0]), "base_score": pa.array(sums[1]), "score": pa.array(sums[2])})
+
+    with _whole_blocks(spark):
+        values = tree.values().mapInArrow(pack, VALUES)
+        answers = table(texts.mapInArrow(ask, ASKED).groupBy("part").cogroup(values.groupBy("part")).applyInArrow(answer, ANSWER), "answers")
+        del values
+        _forget(spark, *tree.levels, *tree.contexts)
+        whole = texts.groupBy("block").cogroup(answers.groupBy("block"))
+        scored = table(whole.applyInArrow(run, "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double"), "scores")
+    _forget(spark, corpus.texts, answers)
+    return scored.withColumn("train_tokens", F.lit(int(total)).cast("long"))

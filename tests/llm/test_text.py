@@ -242,6 +242,60 @@ def test_suffix_tree_sums_to_one_and_learns(spark, empty):
     assert pst.score(docs, F.lit(False)).count() == len(rows)
 
 
+def plain_tree(rows, train, depth=3, least=2, discount=0.75):
+    """Score of each text by the tree's definition, in dictionaries."""
+    seqs = [(i, [*words_of(t), None]) for i, t, _ in rows]
+    words = Counter(w for i, s in seqs if train(i) for w in s)
+    rare = [w for w, n in words.items() if n < least and w is not None]
+    inside, norm = sum(words[w] for w in rare) + len(rare) + 1, sum(words.values()) + len(words) + 1
+    symbol = lambda w: w if w is None or words[w] >= least else "RARE"
+    grams = Counter(tuple(map(symbol, s[k : k + n])) for i, s in seqs if train(i) for n in range(1, depth + 2) for k in range(len(s) - n + 1))
+    root = lambda x: (inside if x == "RARE" else words[x] + 1) / norm
+    kept, follow = {}, defaultdict(dict)
+    for g, n in grams.items():
+        if len(g) > 1 and n >= least:
+            follow[g[:-1]][g[-1]] = n
+
+    def chance(c, x):
+        while c and c not in kept:
+            c = c[1:]
+        if not c:
+            return root(x)
+        entries, free = kept[c]
+        return entries[x] if x in entries else free * chance(c[1:], x)
+
+    for c in sorted(follow, key=len):
+        n, size = follow[c], grams[c]
+        up = {x: chance(c[1:], x) for x in n}
+        rest, rest_up = size - sum(n.values()), max(1e-12, 1 - sum(up.values()))
+        gain = sum(m * math.log(m / size / up[x]) for x, m in n.items()) + (rest * math.log(rest / size / rest_up) if rest else 0)
+        if gain > len(n) / 2 * math.log(max(2, size)):
+            held = {x: m - (discount if rest_up > 1e-9 else 0) for x, m in n.items()}
+            kept[c] = {x: m / size for x, m in held.items()}, (1 - sum(held.values()) / size) / rest_up if rest_up > 1e-9 else 1.0
+    out = {}
+    for i, s in seqs:
+        s_ = [symbol(w) for w in s]
+        out[i] = sum(math.log10(chance(tuple(s_[max(0, k - depth) : k]), x)) + (math.log10((words[w] + 1) / inside) if x == "RARE" else 0) for k, (w, x) in enumerate(zip(s, s_, strict=True)))
+    return len(kept), out
+
+
+def test_suffix_tree_equals_its_definition(docs, rows):
+    kept, want = plain_tree(rows, in_train)
+    got = {r.doc_id: r.score for r in pst.score(docs, gam.fold(F.col("doc_id"), 7) != 2).collect()}
+    assert kept > 100 and set(got) == set(want)
+    assert all(abs(got[i] - want[i]) < 1e-4 * max(1, abs(want[i])) for i in want)
+
+
+def test_suffix_tree_keeps_what_is_seldom_in_a_large_corpus(spark):
+    filler = " ".join(f"f{k % 50}" for k in range(2000))
+    rows = [(k, filler, "s") for k in range(300)] + [(300 + k, f"seldom{k // 4} follows{k // 4}", "s") for k in range(80)]
+    docs, train = make_docs(spark, rows), F.lit(True)
+    corpus = pst.encode(docs, train)
+    assert corpus.symbols == 50 + 40 + 2
+    got = {r.doc_id: r for r in pst.score(docs, train).collect()}
+    assert all(got[300 + k].score > got[300 + k].base_score + 3 for k in range(80))
+
+
 def labels_of(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
 
