@@ -368,6 +368,40 @@ def test_counterfactual_penalty_takes_weight_from_identity_terms():
     assert abs(plain[1] - plain[2]) > 1 and abs(fair[1] - fair[2]) < 0.25 * abs(plain[1] - plain[2]) and fair[0] > 1
 
 
+def test_swaps_cover_beginnings_of_identity_terms(spark):
+    rng = np.random.default_rng(6)
+    rows, labels = [], []
+    for k in range(1500):
+        toxic = bool(rng.random() < 0.4)
+        group = "muslim" if rng.random() < (0.6 if toxic else 0.05) else str(rng.choice(["hindu", "christian", "jewish"]))
+        insult = "stupid" if toxic and rng.random() < 0.7 else "quiet"
+        rows.append((k, " ".join(["the", group, insult, f"w{rng.integers(0, 300)}", "walked"]), "s"))
+        labels.append((k, 1, int(toxic)))
+    model = toxicity.train(make_docs(spark, rows), labels_of(spark, labels), F.lit(True))
+    data, offsets = tokens.text_bytes(pa.array([f"the {g} walked" for g in ("muslim", "hindu", "christian", "jewish")]))
+    logit = model.logit(data, offsets)
+    assert logit.max() - logit.min() < 0.3
+
+
+def test_swap_keeps_what_other_words_have():
+    keys = np.unique(np.concatenate([*toxicity.identity_features().values()]))
+    features = {k: set(np.flatnonzero(np.isin(keys, f)).tolist()) for k, f in toxicity.identity_features().items()}
+    watched = np.arange(len(keys))
+    column = lambda w: int(np.searchsorted(keys, np.uint64(tokens.word_hash(w))))
+    for text in ("muslim here", "muslims and a muslim here", "hindu muslim muslim"):
+        hashes, at = tokens.words(*tokens.text_bytes(pa.array([text])), tokens.NOT_ALNUM, toxicity.HEADS)
+        named, others = toxicity._named(hashes, at, keys, np.array(sorted(features), np.uint64), watched)
+        want = Counter()
+        has = lambda t: set(toxicity.present(*tokens.text_bytes(pa.array([t])), keys)[1].tolist())
+        for group in toxicity.IDENTITY:
+            for s in set(group) & set(text.split()):
+                for t in set(group) - {s}:
+                    copy = " ".join(t if w == s else w for w in text.split())
+                    want[tuple(sorted(has(copy) - has(text))), tuple(sorted(has(text) - has(copy)))] += 1
+        got = toxicity.swapped(((n % 2**64, o) for n, o in zip(named[0], others[0], strict=True)), features, toxicity.identity_keys())
+        assert got == want and column("muslim") in {c for _, lost in got for c in lost}
+
+
 URLS = [None, "", "no scheme", "http://", "http:///p", "HTTP://A.B.Com/X?y#z", "ftp://x.org?q", "http://es.example.org/es/1", "http://example.org/es", "http://example.org/en/12", "https://m.bad.net/#a", "https://bad.net.com/fr/", "a://b://c/d", "http://..bad.net", "http://x.com/de/a\nb"]
 
 
