@@ -5,8 +5,8 @@ the distance over the first m of D rotated dimensions, times D / m, estimates th
 a candidate is abandoned as soon as a hypothesis test on its partial distance (column blocks of ``COLUMNS``) says that
 the whole distance exceeds the query's bound: partial * D / m > bound * (1 + EPSILON / sqrt(m))**2. The
 bound starts as the K-th distance to the vectors of the fitting sample, which are vectors of the corpus.
-Survivors get the exact inner product of the original vectors in double precision; the sample's K nearest vectors, which set
-the bound, are results as well, so that K are found wherever there are K.
+Survivors get the exact inner product of the original vectors in double precision. Queries with fewer than K results are scanned again
+without the test, four times as many lists each time and all in the end, so that K are found wherever there are K.
 
 Centroids, the number of probed lists and the starting bounds come from at most ``SAMPLE`` vectors (smallest hash of vec_id); the
 number of lists to probe is the least that finds ``RECALL`` of the sample's true neighbours. Every vector is indexed.
@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -63,16 +64,6 @@ class Index:
         d = (self.centroids**2).sum(1) - 2 * r @ self.centroids.T
         return np.argpartition(d, probes - 1, axis=1)[:, :probes] if probes < len(self.centroids) else np.tile(np.arange(len(self.centroids)), (len(r), 1))
 
-    def known(self, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-        """(query, vector, score) of each query's k best in the sample."""
-        score = x @ self.sample.T
-        score[self.sample_ids[None, :] == ids[:, None]] = -np.inf
-        best = np.argpartition(-score, k - 1, axis=1)[:, :k] if score.shape[1] > k else np.tile(np.arange(score.shape[1]), (len(x), 1))
-        i, j = np.repeat(np.arange(len(x)), best.shape[1]), best.ravel()
-        there = score[i, j] > -np.inf
-        i, j = i[there], j[there]
-        return ids[i], self.sample_ids[j], (x[i] * self.sample[j]).sum(1)
-
     def bounds(self, ids: np.ndarray, x: np.ndarray, r: np.ndarray, k: int) -> np.ndarray:
         """Squared distance to the k-th nearest other vector of the sample."""
         s = self.rotated(self.sample, False)
@@ -148,20 +139,25 @@ def fit(rows: DataFrame, dims: int, k: int = K, sample: int = SAMPLE, recall: fl
     return index
 
 
-def _scan(index: Index, qid: np.ndarray, q: np.ndarray, bound: np.ndarray, xid: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """The adaptive scan of a cell: (query, vector, score) of each query's best k survivors."""
+def _scan(index: Index, qid: np.ndarray, q: np.ndarray, bound: np.ndarray, xid: np.ndarray, x: np.ndarray, k: int, probes: int, tested: bool) -> tuple[np.ndarray, ...]:
+    """The adaptive scan of a cell: (query, vector, score) of each query's best k survivors.
+
+    Unless ``tested``, a candidate is abandoned only when its partial distance itself exceeds the bound.
+    """
     rq, rx = index.rotated(q, True), index.rotated(x, False)
     own = index.lists(rx, 1)[:, 0]
     probed = np.zeros((len(q), len(index.centroids)), bool)
-    np.put_along_axis(probed, index.lists(rq, index.probes), True, 1)
+    np.put_along_axis(probed, index.lists(rq, probes), True, 1)
     alive = probed[:, own] & (qid[:, None] != xid[None, :])
     total = rx.shape[1]
     part, i, j = np.zeros(alive.shape, np.float32), None, None
     limit = (bound * (1 + 1e-5) + 1e-6).astype(np.float64)
+    if not tested:
+        limit = limit + 1e-5 * ((rq.astype(float) ** 2).sum(1) + index.top)  # more than single precision loses
     for a in range(0, total, COLUMNS):
         b = min(total, a + COLUMNS)
         slack = 1.0 if b == total else (1 + EPSILON / np.sqrt(b)) ** 2
-        most = limit * (b / total) * slack
+        most = limit * (b / total) * slack if tested else limit
         if i is None:
             qa, xa = rq[:, a:b], rx[:, a:b]
             part += (qa**2).sum(1)[:, None] + (xa**2).sum(1)[None, :] - 2 * qa @ xa.T
@@ -196,9 +192,26 @@ def search(table: DataFrame, column: str = "embedding", every: int = 20, k: int
     dims = head[0].d
     rows = settle(rows.filter(F.size("v") == dims).dropDuplicates(["vec_id", "v"]))
     index = fit(rows, dims, k, sample)
-    asked = rows.filter(F.pmod("vec_id", F.lit(every)) == 0)
-    splits = max(1, -(-asked.count() // QUERIES))
     sent = spark.sparkContext.broadcast(index)
+    asked, probes = rows.filter(F.pmod("vec_id", F.lit(every)) == 0), index.probes
+    found = _pass(rows, asked, index, sent, every, k, probes, True)
+    while True:
+        full = found.groupBy("query_id").count().filter(F.col("count") >= k).select(F.col("query_id").alias("vec_id"))
+        asked = settle(asked.join(full, "vec_id", "left_anti").select("vec_id", "v"))
+        if asked.isEmpty():
+            break
+        probes = min(4 * probes, len(index.centroids))
+        found = settle(found.unionByName(_pass(rows, asked, index, sent, every, k, probes, False)).dropDuplicates(["query_id", "vec_id", "score"]))
+        if probes == len(index.centroids):
+            break
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _pass(rows: DataFrame, asked: DataFrame, index: Index, sent: Broadcast, every: int, k: int, probes: int, tested: bool) -> DataFrame:
+    """(query_id, vec_id, score) of a scan of each query's ``probes`` nearest lists: its best k of every cell."""
+    dims = index.dims
+    splits = max(1, -(-asked.count() // QUERIES))
     schema = pa.schema([("cell", pa.int64()), ("part", pa.int64()), ("asks", pa.bool_()), ("vec_id", pa.int64()), ("bound", pa.float64()), ("v", pa.list_(pa.float64()))])
 
     def deal(batch: pa.RecordBatch, at: np.ndarray, cell: np.ndarray, part: np.ndarray, asks: bool, bound: np.ndarray) -> pa.RecordBatch:
@@ -223,19 +236,12 @@ def search(table: DataFrame, column: str = "embedding", every: int = 20, k: int
                 r = ix.rotated(x, True)
                 bound = ix.bounds(ids, x, r, k)
                 reach = np.zeros((len(ids), int((ix.first_cell + ix.cells).max())), bool)
-                for row, lists in enumerate(ix.lists(r, ix.probes)):
+                for row, lists in enumerate(ix.lists(r, probes)):
                     for first, n in zip(ix.first_cell[lists].tolist(), ix.cells[lists].tolist(), strict=True):
                         reach[row, first : first + n] = True
                 at, cell = np.nonzero(reach)
                 yield deal(batch, at, cell, ids[at] // every % splits, True, bound[at])
 
-    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for a in range(0, whole.num_rows, 256):
-                batch = whole.slice(a, 256)
-                got = sent.value.known(batch.column("vec_id").to_numpy(), _vectors(batch.column("v"), dims), k)
-                yield pa.RecordBatch.from_arrays([pa.array(g) for g in got], names=["query_id", "vec_id", "score"])
-
     dealt = "cell long, part long, asks boolean, vec_id long, bound double, v array<double>"
     cells = rows.mapInArrow(candidates, dealt).unionByName(asked.mapInArrow(queries, dealt))
 
@@ -248,10 +254,7 @@ def search(table: DataFrame, column: str = "embedding", every: int = 20, k: int
         for a in range(0, len(mine), 512):
             if len(others):
                 m = mine[a : a + 512]
-                got.append(_scan(sent.value, ids[m], v[m], bound[m], ids[others], v[others], k))
+                got.append(_scan(sent.value, ids[m], v[m], bound[m], ids[others], v[others], k, probes, tested))
         return pa.table({n: pa.array(np.concatenate([g[c] for g in got])) for c, n in enumerate(("query_id", "vec_id", "score"))})
 
-    found = cells.groupBy("cell", "part").applyInArrow(scan, FOUND).unionByName(asked.mapInArrow(known, FOUND))
-    found = found.dropDuplicates(["query_id", "vec_id", "score"])
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return settle(cells.groupBy("cell", "part").applyInArrow(scan, FOUND).dropDuplicates(["query_id", "vec_id", "score"]))

@@ -467,6 +467,38 @@ def test_search(spark):
     assert hits / sum(len(w) for w in want.values()) >= 0.95
 
 
+def test_lists_decide_and_every_query_is_filled(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 24))
+    fit = ads.fit
+
+    def one_list(*args):
+        index = fit(*args)
+        index.probes = 1
+        return index
+
+    monkeypatch.setattr(ads, "fit", one_list)
+    got = ads.search(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()
+    want = plain_search(list(enumerate(x)), 20, 20)
+    assert Counter(r.query_id for r in got) == {q: 20 for q in want}
+    found = {(r.query_id, r.vec_id): r.score for r in got}
+    assert all(abs(score - x[q] @ x[j]) < 1e-9 for (q, j), score in found.items())
+    assert sum((q, j) in found for q in want for _, j in want[q]) == 20 * len(want)  # the bound is that of the 20 nearest here, so the scan goes on until it has them
+
+
+def test_results_come_from_the_scan_and_not_from_the_sample(spark, monkeypatch):
+    x, fit = np.random.default_rng(9).normal(size=(1500, 12)), ads.fit
+
+    def renamed(*args):
+        index = fit(*args)
+        index.sample_ids = index.sample_ids + 1_000_000
+        return index
+
+    monkeypatch.setattr(ads, "fit", renamed)
+    got = ads.search(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()
+    assert got and all(r.vec_id < 1500 for r in got)
+
+
 def test_search_odd(spark):
     schema = "vec_id long, embedding array<double>, score string"
     rows = [(0, [1.0, 0.0]), (1, [2.0, 1.0]), (2, None), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]), (6, [None, 1.0]), (7, [2.0, 1.0]), (8, [1.0]), (None, [1.0, 1.0]), (20, [-1.0, 3.0]), (7, [2.0, 1.0])]
