@@ -13,7 +13,7 @@ number of lists to probe is the least that finds ``RECALL`` of the sample's true
 Lists are cut and packed into cells of a bounded number of vectors and queries, so equal or crowded vectors do not
 fill a task; a query leaves at most K rows in a cell.
 
-Vectors that are null, of another length than the first, zero, or hold null or non-finite components take no part,
+Vectors that are null, of another length than the most frequent one (of equally frequent ones the least), zero, or hold null or non-finite components take no part,
 neither as query nor as candidate; neither do rows with a null vec_id. Repeated vectors are candidates of their own; ties go
 to the smaller vec_id, and rows that repeat vec_id and vector give one result. An empty table gives an empty result.
 """
@@ -186,10 +186,10 @@ def search(table: DataFrame, column: str = "embedding", every: int = 20, k: int
     spark = table.sparkSession
     small_batches(spark)
     rows = usable(table, column)
-    head = rows.select("vec_id", F.size("v").alias("d")).orderBy("vec_id").limit(1).collect()
-    if not head:
+    lengths = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
+    if not lengths:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dims = head[0].d
+    dims = lengths[0].d
     rows = settle(rows.filter(F.size("v") == dims).dropDuplicates(["vec_id", "v"]))
     index = fit(rows, dims, k, sample)
     sent = spark.sparkContext.broadcast(index)

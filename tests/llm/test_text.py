@@ -506,3 +506,9 @@ def test_search_odd(spark):
     got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in ads.search(table).orderBy("query_id", "rank").collect()]
     assert got == [(0, 1, 1, 2.0), (0, 2, 7, 2.0), (0, 3, 20, -1.0), (20, 1, 1, 1.0), (20, 2, 7, 1.0), (20, 3, 0, -1.0)]
     assert ads.search(table.limit(0)).collect() == []
+
+
+def test_length_of_the_first_vector_does_not_decide(spark):
+    rows = [(0, [1.0]), (1, [2.0, 1.0]), (20, [-1.0, 3.0]), (40, [1.0, 1.0])]
+    got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in ads.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect()]
+    assert got == [(20, 1, 40, 2.0), (20, 2, 1, 1.0), (40, 1, 1, 3.0), (40, 2, 20, 2.0)]
