@@ -17,26 +17,27 @@ from framewright.functions import text as tx
 from framewright.functions.let import let
 from framewright.functions.rng import draw, draw_int, randint, stream
 
-#: What a character may be misread as. The lower-case form of a character is looked up first, then itself.
-MISREADINGS: dict[str, list[str]] = {
-    "0": ["o"],
+#: What a character may be misread as, in the order of the default map that results have to match. The lower-case form of
+#: a character is looked up first, then itself.
+MISREADINGS: dict[str, str | list[str]] = {
+    "l": ["1", "|"],
     "1": ["l", "i"],
-    "5": ["s"],
+    "o": ["0", "()"],
+    "0": "o",
+    "i": ["1", "l", "!"],
+    "s": ["5", "$"],
+    "5": "s",
     "a": ["@", "4"],
-    "B": ["8", "ß"],
-    "c": ["(", "["],
     "e": ["3", "€"],
+    "t": ["7", "+"],
+    "S": ["$", "5"],
     "G": ["6", "&"],
+    "B": ["8", "ß"],
     "g": ["9", "q"],
-    "i": ["1", "l", "!"],
+    "c": ["(", "["],
     "k": ["<"],
-    "l": ["1", "|"],
-    "o": ["0", "()"],
-    "r": ["Я"],
-    "S": ["$", "5"],
-    "s": ["5", "$"],
-    "t": ["7", "+"],
     "z": ["2"],
+    "r": ["Я"],
 }
 
 Op = Callable[..., Column]
@@ -130,7 +131,7 @@ class Noise:
 
         return self._guard(text, probability, tag, body)
 
-    def character_noise(self, text: Column, probability: float, char_map: dict[str, list[str]] | None = None, tag: str = "ch") -> Column:
+    def character_noise(self, text: Column, probability: float, char_map: dict[str, str | list[str]] | None = None, tag: str = "ch") -> Column:
         table = {k: [v] if isinstance(v, str) else list(v) for k, v in (char_map or MISREADINGS).items()}
         misread = F.create_map(*[x for k, v in table.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
 

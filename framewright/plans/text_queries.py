@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framewright.functions import augment, parse, refs, text
 from framewright.operators.assemble import resolve_rows
-from framewright.plans import inputs
+from framewright.plans import inputs, noise_sql
 from framewright.plans.catalogue import query, table
 
-SEED = 7
+SEED = noise_sql.SEED
 
 
 def clean_sql(t: str) -> str:
@@ -23,47 +21,6 @@ def clean_sql(t: str) -> str:
     return f"array_to_string(list_transform({kept}, lambda s: regexp_replace(s, '[ \\t]+', ' ', 'g')), chr(10))"
 
 
-def once_sql(op: str, key: str) -> str:
-    """A single draw per row in SQL."""
-    return f"(('0x' || substr(md5(concat_ws('|', '{SEED}', CAST({key} AS VARCHAR), '{op}', '0')), 1, 8))::BIGINT / 4294967296.0)"
-
-
-def _let_sql(value: str, body) -> str:
-    """``body(name)`` with ``value`` bound to a name, in SQL."""
-    name = f"v{next(_names)}"
-    return f"list_transform([{value}], lambda {name}: {body(name)})[1]"
-
-
-_names = itertools.count()
-M32 = 4294967295
-
-
-def _murmur_sql(parts: list[str], seed: str = "42") -> str:
-    """murmur3 of whole numbers, 32 bits each, one after the other, as an unsigned number; each has the one before as its seed."""
-    mul = lambda x, c: f"((({x})::UBIGINT * {c}::UBIGINT) & {M32}::UBIGINT)"
-    rotl = lambda x, r: _let_sql(x, lambda v: f"((({v} << {r}) | ({v} >> {32 - r})) & {M32}::UBIGINT)")
-    shift = lambda x, r: _let_sql(x, lambda v: f"xor({v}, {v} >> {r})")
-    mixed = lambda h, k: f"(({mul(rotl(f'xor({h}, {mul(rotl(mul(k, 0xCC9E2D51), 15), 0x1B873593)})', 13), 5)} + {0xE6546B64}::UBIGINT) & {M32}::UBIGINT)"
-    final = lambda h, n: shift(mul(shift(mul(shift(f"xor({h}, {n}::UBIGINT)", 16), 0x85EBCA6B), 13), 0xC2B2AE35), 16)
-    first, *rest = parts
-    h = final(mixed(mixed(f"{seed}::UBIGINT", first), "0"), 8)  # a long: its low half, then its high half, which is 0 here
-    for p in rest:
-        h = final(mixed(h, p), 4)
-    return h
-
-
-def u_sql(op: str, i: str, *more: str) -> str:
-    """A draw for a position in SQL; positions count from 0."""
-    start = f"('0x' || substr(md5(concat_ws('|', '{SEED}', CAST(doc_id AS VARCHAR), '{op}')), 1, 8))::UBIGINT"
-    h = _murmur_sql([start, i, *more])
-    return _let_sql(h, lambda v: f"(CASE WHEN {v} >= 2147483648 THEN {v}::BIGINT - 4294967296 ELSE {v}::BIGINT END / 4294967296.0 + 0.5)")
-
-
-WORDS_SQL = "list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')"
-SENTENCES_SQL = "list_filter(list_transform(regexp_extract_all(text, '([^.!?]*[.!?]|[^.!?]+$)', 1), lambda s: trim(s, ' ' || chr(10))), lambda s: s <> '')"
-LINES_SQL = "string_split(regexp_replace(text, '\\n$', ''), chr(10))"
-
-
 @query("clean_ocr_text", f"SELECT doc_id, {clean_sql('text')} AS clean FROM documents")
 def clean_ocr_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.clean_ocr(F.col("text")).alias("clean"))
@@ -74,13 +31,13 @@ def clean_ocr_text_noisy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.noisy(spark, sf_dir).select("doc_id", text.clean_ocr(F.col("t")).alias("clean"))
 
 
-@query("sentence_split", f"SELECT doc_id, len(s) AS n, array_to_string(s, '|') AS sentences FROM (SELECT doc_id, {SENTENCES_SQL} AS s FROM documents)")
+@query("sentence_split", f"SELECT doc_id, len(s) AS n, array_to_string(s, '|') AS sentences FROM (SELECT doc_id, {noise_sql.SENTENCES} AS s FROM documents)")
 def sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = table(spark, sf_dir, "documents").select("doc_id", text.sentences(F.col("text")).alias("s"))
     return split.select("doc_id", F.size("s").cast("long").alias("n"), F.array_join("s", "|").alias("sentences"))
 
 
-@query("word_split", f"SELECT doc_id, len(w) AS n, array_to_string(w, '|') AS words FROM (SELECT doc_id, {WORDS_SQL} AS w FROM documents)")
+@query("word_split", f"SELECT doc_id, len(w) AS n, array_to_string(w, '|') AS words FROM (SELECT doc_id, {noise_sql.WORDS.format(t='text')} AS w FROM documents)")
 def word_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = table(spark, sf_dir, "documents").select("doc_id", text.words(F.col("text")).alias("w"))
     return split.select("doc_id", F.size("w").cast("long").alias("n"), F.array_join("w", "|").alias("words"))
@@ -94,104 +51,58 @@ def noised(spark: SparkSession, sf_dir: str, f) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", f(noise(), F.col("text")).alias("text"))
 
 
-GLUE_SQL = """array_to_string(list_transform(kept, lambda s, i: s || CASE WHEN i < len(kept) AND (NOT regexp_matches(s, '[.!?]$')
-  OR regexp_matches(kept[i + 1], '^[\\p{L}\\p{N}]')) THEN ' ' ELSE '' END), '')"""
-
-
-@query("aug_delete_sentences", f"WITH k AS (SELECT doc_id, text, {SENTENCES_SQL} AS s FROM documents), j AS (SELECT doc_id, list_filter(s, lambda x, i: {u_sql('ds', 'i - 1')} > 0.3) AS kept FROM k) SELECT doc_id, {GLUE_SQL} AS text FROM j")
+@query("aug_delete_sentences", noise_sql.step("ds", (0.3,), "ds", "documents"))
 def aug_delete_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return noised(spark, sf_dir, lambda n, t: n.delete_sentences(t, 0.3))
 
 
-@query("aug_delete_words", f"SELECT doc_id, array_to_string(list_filter({WORDS_SQL}, lambda w, i: {u_sql('dw', 'i - 1')} > 0.15), ' ') AS text FROM documents")
+@query("aug_delete_words", noise_sql.step("dw", (0.15,), "dw", "documents"))
 def aug_delete_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return noised(spark, sf_dir, lambda n, t: n.delete_words(t, 0.15))
 
 
-@query(
-    "aug_duplicate_lines",
-    f"""SELECT doc_id, array_to_string(flatten(list_transform({LINES_SQL}, lambda s, i: list_transform(range(1 + CASE WHEN {u_sql("dl", "i - 1")} < 0.3
-        THEN CAST(1 + floor({u_sql("dl", "i - 1", "1")} * 3) AS INT) ELSE 0 END), lambda r: s))), chr(92) || 'n') AS text FROM documents""",
-)
+@query("aug_duplicate_lines", noise_sql.step("dl", (0.3, 3), "dl", "documents"))
 def aug_duplicate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return noised(spark, sf_dir, lambda n, t: n.duplicate_lines(t, 0.3, 3))
 
 
-@query(
-    "aug_merge_lines",
-    f"""WITH RECURSIVE l AS (SELECT doc_id, text, {LINES_SQL} AS s FROM documents),
-    w AS (SELECT doc_id, 1 AS i, CAST([] AS VARCHAR[]) AS done, s FROM l
-      UNION ALL
-      SELECT doc_id, CASE WHEN i < len(s) AND {u_sql("ml", "i - 1")} < 0.3 THEN i + 2 ELSE i + 1 END,
-        list_append(done, CASE WHEN i < len(s) AND {u_sql("ml", "i - 1")} < 0.3 THEN trim(s[i], ' ') || ' ' || trim(s[i + 1], ' ') ELSE s[i] END), s
-      FROM w WHERE i <= len(s))
-    SELECT w.doc_id, CASE WHEN len(w.s) < 2 THEN l.text ELSE array_to_string(done, chr(92) || 'n') END AS text FROM w JOIN l USING (doc_id) WHERE i > len(w.s)""",
-)
+@query("aug_merge_lines", noise_sql.step("ml", (0.3,), "ml", "documents"))
 def aug_merge_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return noised(spark, sf_dir, lambda n, t: n.merge_lines(t, 0.3))
 
 
-@query(
-    "aug_split_lines",
-    f"""WITH l AS (SELECT doc_id, unnest(list_transform({LINES_SQL}, lambda s, i: {{'s': s, 'i': i - 1}})) AS z FROM documents),
-    w AS (SELECT doc_id, z.s AS s, z.i AS i, list_filter(regexp_split_to_array(z.s, '\\s+'), lambda x: x <> '') AS w FROM l),
-    c AS (SELECT *, CAST(1 + floor({u_sql("sl", "i", "1")} * greatest(len(w) - 1, 1)) AS INT) AS k, {u_sql("sl", "i")} < 0.4 AND len(w) > 1 AS cut FROM w),
-    o AS (SELECT doc_id, i, CASE WHEN cut THEN array_to_string(w[1:k], ' ') || chr(92) || 'n' || array_to_string(w[k + 1:], ' ') ELSE s END AS s FROM c)
-    SELECT doc_id, string_agg(s, chr(92) || 'n' ORDER BY i) AS text FROM o GROUP BY doc_id""",
-)
+@query("aug_split_lines", noise_sql.step("sl", (0.4,), "sl", "documents"))
 def aug_split_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return noised(spark, sf_dir, lambda n, t: n.split_lines(t, 0.4))
 
 
-MISREAD_SQL = "MAP {" + ", ".join(f"'{k}': [{', '.join(repr(x) for x in v)}]" for k, v in augment.MISREADINGS.items()) + "}"
-MISREAD_PAIR_SQL = f"coalesce(({MISREAD_SQL})[lower(c)], ({MISREAD_SQL})[c])"
-
-
-@query(
-    "aug_char_noise",
-    f"""WITH k AS (SELECT doc_id, unnest(list_transform(string_split(text, ''), lambda c, i: {{'c': c, 'i': i - 1}})) AS z FROM documents),
-    m(c, f) AS (SELECT c, {MISREAD_PAIR_SQL} FROM (SELECT DISTINCT z.c AS c FROM k)),
-    o AS (SELECT doc_id, z.i AS i, CASE WHEN f IS NOT NULL AND {u_sql("ch", "z.i")} < 0.1 THEN f[CAST(floor({u_sql("ch", "z.i", "1")} * len(f)) AS INT) + 1] ELSE z.c END AS c
-      FROM k JOIN m ON m.c = z.c)
-    SELECT doc_id, string_agg(c, '' ORDER BY i) AS text FROM o GROUP BY doc_id""",
-)
+@query("aug_char_noise", noise_sql.step("ch", (0.1,), "ch", "documents"))
 def aug_char_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return noised(spark, sf_dir, lambda n, t: n.character_noise(t, 0.1))
 
 
-@query(
-    "aug_whitespace_noise",
-    f"""SELECT doc_id, array_to_string(list_transform(w, lambda x, i: CASE WHEN i = 1 THEN x WHEN w[i - 1] = '' OR x = '' THEN w[i - 1] || x
-      ELSE CASE WHEN {u_sql("ws", "i - 1")} < 0.1 THEN '' WHEN {u_sql("ws", "i - 1")} < 0.1 + 0.2 THEN '  ' ELSE ' ' END || x END), '') AS text
-    FROM (SELECT doc_id, string_split(replace(text, '. ', '.  '), ' ') AS w FROM documents)""",
-)
+@query("aug_whitespace_noise", noise_sql.step("ws", (0.1, 0.2), "ws", "(SELECT doc_id, replace(text, '. ', '.  ') AS text FROM documents)"))
 def aug_whitespace_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return noised(spark, sf_dir, lambda n, t: n.whitespace_noise(F.replace(t, F.lit(". "), F.lit(".  ")), 0.1, 0.2))
 
 
-@query(
-    "aug_partial_lines_start",
-    f"""WITH l AS (SELECT doc_id, unnest(list_transform({LINES_SQL}, lambda s, i: {{'s': s, 'i': i - 1}})) AS z FROM documents),
-    w AS (SELECT doc_id, z.s AS s, z.i AS i, list_filter(regexp_split_to_array(z.s, '\\s+'), lambda x: x <> '') AS w FROM l),
-    c AS (SELECT *, array_to_string(w[1:least(CAST(2 + floor({u_sql("dp", "i", "2", "1")} * 2) AS INT), len(w))], ' ') AS p, len(w) > 0 AND {u_sql("dp", "i")} < 0.5 AS hit FROM w)
-    SELECT doc_id, string_agg(CASE WHEN hit THEN substr(s, 1, length(p)) || ' ' || p || substr(s, length(p) + 1) ELSE s END, chr(92) || 'n' ORDER BY i) AS text FROM c GROUP BY doc_id""",
-)
+@query("aug_partial_lines_start", noise_sql.step("ps", (0.5, 2, 3, 1), "dp", "documents"))
 def aug_partial_lines_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     return noised(spark, sf_dir, lambda n, t: n.partial_lines(t, 0.5, "words_start", 2, 3))
 
 
-@query("aug_partial_lines_end")
+@query("aug_partial_lines_end", noise_sql.step("pe", (0.5, 2, 3, 2), "dp", "documents"))
 def aug_partial_lines_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return noised(spark, sf_dir, lambda n, t: n.partial_lines(t, 0.5, "words_end", 2, 3, 2))
 
 
-@query("aug_partial_lines_ratio")
+@query("aug_partial_lines_ratio", noise_sql.step("pr", (0.5, 0.2, 0.6, 2), "dp", "documents"))
 def aug_partial_lines_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return noised(spark, sf_dir, lambda n, t: n.partial_lines(t, 0.5, "random_ratio", 0.2, 0.6, 2))
 
 
 def _profile_query(k: int, name: str) -> None:
-    @query(f"profile_{k:02d}_{name}")
+    @query(f"profile_{k:02d}_{name}", noise_sql.profile(name))
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return table(spark, sf_dir, "documents").select("doc_id", augment.profile(F.col("text"), F.col("doc_id"), name, SEED).alias("text"))
 
@@ -200,14 +111,17 @@ for _k, _name in enumerate(augment.PROFILES, 1):
     _profile_query(_k, _name)
 
 
-@query("profile_choice")
+_CHOICE, _CHOSEN = noise_sql.choice("keyed")
+
+
+@query("profile_choice", f"WITH {inputs.FRAMES_SQL}, keyed AS (SELECT video_id || '/' || frame_name AS doc_id, raw_text AS text FROM frames), {', '.join(_CHOICE)} SELECT split_part(doc_id, '/', 1) AS video_id, split_part(doc_id, '/', 2) AS frame_name, text FROM {_CHOSEN}")
 def profile_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = inputs.frames(spark, sf_dir)
     key = F.concat_ws("/", "video_id", "frame_name")
     return conv.select("video_id", "frame_name", augment.profile_choice(F.col("raw_text"), key, SEED).alias("text"))
 
 
-@query("profile_chosen", f"WITH {inputs.FRAMES_SQL} SELECT video_id, frame_name, CAST(floor({once_sql('profile', 'key')} * 10) AS INT) AS profile FROM (SELECT *, video_id || '/' || frame_name AS key FROM frames)")
+@query("profile_chosen", f"WITH {inputs.FRAMES_SQL} SELECT video_id, frame_name, {noise_sql.chosen('key')} AS profile FROM (SELECT *, video_id || '/' || frame_name AS key FROM frames)")
 def profile_chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = inputs.frames(spark, sf_dir)
     return conv.select("video_id", "frame_name", augment.chosen_profile(F.concat_ws("/", "video_id", "frame_name"), SEED, 10).alias("profile"))
