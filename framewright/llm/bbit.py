@@ -16,23 +16,27 @@
 
 A pair of similarity 0.85 shares no band with probability (1 - 0.85**5)**25, below 1e-6.
 
+Shingles are 64-bit hashes and a class is named by its number of shingles and two 64-bit sums over them; neither is compared as text.
+
 Nulls and texts without words: an empty set, linked with nothing. A text of fewer than five words has its whole
-sequence as its set. Repeated rows and equal texts fall in one class; rows that share a doc_id are taken to be equal. A null doc_id takes part in nothing
+sequence as its set. Repeated rows and equal texts fall in one class. Rows that share a doc_id are one document: whatever their texts, each of
+their sets links the document, and they have one component_id. A null doc_id takes part in nothing
 and is its own row with a null component_id and kept true. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framewright.llm import tokens as tk
 from framewright.llm.graph import components
+from framewright.llm.sift import maps, sift, tested, unwrapped
 from framewright.llm.store import compact, rows_in, settle, small_batches
 from framewright.llm.url_cascade import Level, fill, shape
 
@@ -68,6 +72,11 @@ def _minima(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
+def _names(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit sums over each set, which name it together with its size."""
+    return np.add.reduceat(tk.mix(values ^ U(0x5851F42D4C957F2D)), starts), np.add.reduceat(tk.mix(values + U(0x14057B7EF767814F)), starts)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set1", pa.int64()), ("set2", pa.int64()), ("bits", pa.list_(pa.int64())), ("bands", pa.list_(pa.int64()))]
@@ -87,8 +96,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     bands[some, b] = tk.mix((low[:, b * ROWS : (b + 1) * ROWS] * _ROW[b]).sum(1, dtype=U) + U(b))
                 two = (low & U(3)).reshape(len(some), 4, 32) << (U(2) * np.arange(32, dtype=U))
                 bits[some] = np.bitwise_or.reduce(two, axis=2)
-                set1[some] = np.add.reduceat(tk.mix(values ^ U(0x5851F42D4C957F2D)), starts)
-                set2[some] = np.add.reduceat(tk.mix(values + U(0x14057B7EF767814F)), starts)
+                set1[some], set2[some] = _names(values, starts)
             counts = np.where(n > 0, BANDS, 0)
             lists = lambda flat, sizes: pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat.view(np.int64))
@@ -112,31 +120,35 @@ def sign(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_sign, SIGNED)
 
 
-def _sets(needed: DataFrame, docs: DataFrame) -> DataFrame:
-    """(rep, shingles) of the texts whose id is in ``needed`` (rep).
+def _sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(cid, shingles) of the classes in ``wanted`` (cid), each from a text of its representative.
 
     A Bloom filter of at most ``MAX_BITS`` lets the scan skip nearly all others, so that no text is shuffled; beyond that size it lets more
     pass, and the join alone decides.
     """
-    needed = compact(needed.distinct())
+    needed = compact(classes.select("cid", "rep", "set1", "set2").join(wanted.select("cid").distinct(), "cid", "left_semi"))
     bits, hashes = shape(max(1, rows_in(needed)), 0.01)
     level = Level(min(bits, MAX_BITS), hashes, np.zeros(0, U))
     level.words = fill(needed.select(F.col("rep").alias("key")), 1, level.bits, hashes)
     sent = docs.sparkSession.sparkContext.broadcast(level)
-    schema = pa.schema([("rep", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    schema = pa.schema([("rep", pa.int64()), ("set1", pa.int64()), ("set2", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             batch = whole.filter(pa.array(sent.value.has(whole.column("rep").to_numpy().view(U), 1)))
             for i, j, data, offsets in tk.blocks(batch.column("text")):
                 sets = tk.shingles(*tk.words(data, offsets))
-                sizes = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-                flat = np.concatenate(sets).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column("rep").slice(i, j - i), pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat))], schema=schema)
+                n = np.array([len(s) for s in sets], np.int64)
+                some = np.flatnonzero(n)
+                if len(some):
+                    flat, ends = np.concatenate([sets[k] for k in some]), np.cumsum(n[some])
+                    names = _names(flat, ends - n[some])
+                    lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(flat.view(np.int64)))
+                    yield pa.RecordBatch.from_arrays([batch.column("rep").slice(i, j - i).take(pa.array(some)), *(pa.array(x.view(np.int64)) for x in names), lists], schema=schema)
 
     texts = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("rep"), F.coalesce("text", F.lit("")).alias("text"))
-    made = texts.mapInArrow(run, "rep long, shingles array<long>").join(needed, "rep", "left_semi")
-    return settle(made.dropDuplicates(["rep"]))
+    made = texts.mapInArrow(run, "rep long, set1 long, set2 long, shingles array<long>").join(needed, ["rep", "set1", "set2"])
+    return settle(made.select("cid", "shingles").dropDuplicates(["cid"]))
 
 
 def agreement(a: str, b: str) -> Column:
@@ -154,11 +166,11 @@ def least_agreement(percent: int = PERCENT) -> float:
     return j - MARGIN * (p * (1 - p) / HASHES) ** 0.5 / 0.75
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose full sets are similar enough."""
-    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("rep")), docs)
-    left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
+    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("cid")), classes, docs)
+    left = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - shared
@@ -169,10 +181,10 @@ def _peel(sets: DataFrame, percent: int) -> DataFrame:
     """``sets`` without the members that share too few of their shingles with any other member to be linked."""
     rows = rows_in(sets)
     while True:
-        alone = sets.select("rep", F.explode("shingles").alias("s")).groupBy("s").agg(F.min("rep").alias("rep"), F.count(F.lit(1)).alias("n")).filter("n = 1")
-        own = alone.groupBy("rep").agg(F.count(F.lit(1)).alias("alone"))
+        alone = sets.select("cid", F.explode("shingles").alias("s")).groupBy("s").agg(F.min("cid").alias("cid"), F.count(F.lit(1)).alias("n")).filter("n = 1")
+        own = alone.groupBy("cid").agg(F.count(F.lit(1)).alias("alone"))
         few = F.coalesce("alone", F.lit(0)) * 100 <= (100 - percent) * F.size("shingles")
-        sets = settle(sets.join(own, "rep", "left").filter(few).select(*sets.columns))
+        sets = settle(sets.join(own, "cid", "left").filter(few).select(*sets.columns))
         left = rows_in(sets)
         if left >= 0.9 * rows or not left:
             return sets
@@ -221,74 +233,88 @@ def _joining_links(sizes: np.ndarray, flat: np.ndarray, component: np.ndarray, s
     return out
 
 
-def _across(keyed: DataFrame, of: DataFrame, docs: DataFrame, percent: int) -> DataFrame | None:
+def _across(keyed: DataFrame, of: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame | None:
     """Links between members of different components that share a band, as far as they join components."""
-    named = F.coalesce("component", "rep").alias("component")
-    placed = compact(keyed.select("key", "rep").join(of, keyed.rep == of.node, "left").select("key", "rep", named))
+    named = F.coalesce("component", "cid").alias("component")
+    placed = compact(keyed.select("key", "cid").join(of, keyed.cid == of.node, "left").select("key", "cid", named))
 
     def still_open(rows: DataFrame) -> DataFrame:
-        torn = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("rep").alias("centre")).filter("lo < hi")
+        torn = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("cid").alias("centre")).filter("lo < hi")
         return compact(rows.join(compact(torn.select("key", "centre")), "key"))
 
     open_ = still_open(placed)
     if open_.isEmpty():
         return None
-    sets = _peel(_sets(open_.select("rep"), docs), percent)
-    left = still_open(open_.drop("centre").join(sets.select("rep"), "rep", "left_semi"))
-    group = components(left.filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct())
+    sets = _peel(_sets(open_.select("cid"), classes, docs), percent)
+    left = still_open(open_.drop("centre").join(sets.select("cid"), "cid", "left_semi"))
+    group = components(left.filter("cid <> centre").select(F.col("centre").alias("a"), F.col("cid").alias("b")).distinct())
     clusters = group.select("node", F.col("component").alias("cluster"))
-    rows = left.select("rep", "component").distinct().join(clusters, F.col("rep") == F.col("node")).join(sets, "rep").select("rep", "component", "cluster", "shingles")
+    rows = left.select("cid", "component").distinct().join(clusters, F.col("cid") == F.col("node")).join(sets, "cid").select("cid", "component", "cluster", "shingles")
     rows = settle(rows)
     weights = rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("shingles")).alias("m"))
     blocks = weights.select("cluster", F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("m") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    mine = rows.join(blocks, "cluster").withColumn("mine", F.pmod(F.xxhash64("rep", F.lit("block")), F.col("blocks")).cast("int"))
+    mine = rows.join(blocks, "cluster").withColumn("mine", F.pmod(F.xxhash64("cid", F.lit("block")), F.col("blocks")).cast("int"))
     # one key of its own per cell: grouping by (cluster, i, j) would leave a whole cluster where the join has put it
     cell = F.xxhash64("cluster", F.least("mine", "other"), F.greatest("mine", "other"))
-    dealt = mine.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(cell.alias("cell"), "mine", "rep", "component", "shingles")
+    dealt = mine.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(cell.alias("cell"), "mine", "cid", "component", "shingles")
 
     def compare(cell: pa.Table) -> pa.Table:
         lists = cell.column("shingles").combine_chunks()
-        rep = cell.column("rep").to_numpy()
+        cid = cell.column("cid").to_numpy()
         found = _joining_links(
             np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy(), cell.column("component").to_numpy(), cell.column("mine").to_numpy(), percent
         )
-        return pa.table({"a": pa.array([rep[x] for x, _ in found], pa.int64()), "b": pa.array([rep[y] for _, y in found], pa.int64())})
+        return pa.table({"a": pa.array([cid[x] for x, _ in found], pa.int64()), "b": pa.array([cid[y] for _, y in found], pa.int64())})
 
     return compact(dealt.groupBy("cell").applyInArrow(compare, "a long, b long"))
 
 
+NAME = ["set1", "set2", "n_shingles"]
+
+
+def _of_one_id(usable: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of documents whose rows have different sets."""
+    several = usable.groupBy("doc_id").agg(*[F.min(c).alias(f"lo_{c}") for c in NAME], *[F.max(c).alias(f"hi_{c}") for c in NAME])
+    several = compact(several.filter(" or ".join(f"lo_{c} <> hi_{c}" for c in NAME)).select("doc_id"))
+    of = settle(usable.select("doc_id", *NAME).join(several, "doc_id", "left_semi").join(classes.select(*NAME, "cid"), NAME).select("doc_id", "cid").distinct())
+    least = of.groupBy("doc_id").agg(F.min("cid").alias("a"))
+    return of.join(least, "doc_id").filter("a < cid").select("a", F.col("cid").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, class_id, component_id, kept."""
     signed = settle(sign(docs))
     usable = signed.filter("doc_id is not null and n_shingles > 0")
-    classes = settle(
-        usable.groupBy("set1", "set2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits"), F.first("bands").alias("bands"))
-    )
-    member = classes.select("rep", F.explode("bands").alias("key"))
-    shared = member.groupBy("key").agg(F.min("rep").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "centre")
+    classes = usable.groupBy(*NAME).agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits"), F.first("bands").alias("bands"))
+    classes = settle(classes.withColumn("cid", F.monotonically_increasing_id()))
+    member = classes.select("cid", F.explode("bands").alias("key"))
+    shared = member.groupBy("key").agg(F.min("cid").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "centre")
     shared = compact(shared)  # the join then has a plain exchange on either side, of which a crowded key's can be split
     keyed = compact(member.join(shared, "key"))  # members of bands that more than one class shares
-    traits = classes.select("rep", "n_shingles", "bits")
+    traits = classes.select("cid", "n_shingles", "bits")
 
     def likely(pairs: DataFrame) -> DataFrame:
-        a = traits.select(F.col("rep").alias("a"), F.col("n_shingles").alias("na"), F.col("bits").alias("ba"))
-        b = traits.select(F.col("rep").alias("b"), F.col("n_shingles").alias("nb"), F.col("bits").alias("bb"))
+        a = traits.select(F.col("cid").alias("a"), F.col("n_shingles").alias("na"), F.col("bits").alias("ba"))
+        b = traits.select(F.col("cid").alias("b"), F.col("n_shingles").alias("nb"), F.col("bits").alias("bb"))
         sized = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
         return pairs.join(a, "a").join(b, "b").filter(sized & (agreement("ba", "bb") >= least_agreement(percent))).select("a", "b")
 
-    stars = keyed.filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+    stars = keyed.filter("cid <> centre").select(F.col("centre").alias("a"), F.col("cid").alias("b")).distinct()
     tried = compact(likely(stars))
-    links = compact(_confirm(tried, docs, percent))
+    links = compact(_confirm(tried, classes, docs, percent).unionByName(_of_one_id(usable, classes)))
     of = components(links)
 
-    more = _across(keyed, of, docs, percent)
+    more = _across(keyed, of, classes, docs, percent)
     if more is not None and not more.isEmpty():
         of = components(links.unionByName(more))
 
-    labelled = classes.select("set1", "set2", "n_shingles", "rep").join(of, F.col("rep") == F.col("node"), "left")
-    labelled = labelled.select(F.col("set1").alias("s1"), F.col("set2").alias("s2"), F.col("n_shingles").alias("sn"), "rep", F.coalesce("component", "rep").alias("component"))
-    same = (F.col("set1") == F.col("s1")) & (F.col("set2") == F.col("s2")) & (F.col("n_shingles") == F.col("sn"))
-    found = usable.select("doc_id", "n_shingles", "set1", "set2").join(labelled, same).select("doc_id", "n_shingles", F.col("rep").alias("class_id"), F.col("component").alias("component_id"))
+    linked = settle(classes.select("cid", "rep").join(of, F.col("cid") == F.col("node")).select("cid", "rep", "component"))
+    least = linked.groupBy("component").agg(F.min("rep").alias("least"))
+    named = linked.join(least, "component").select(F.col("cid").alias("node"), "least")
+    labelled = classes.select(*[F.col(c).alias(f"of_{c}") for c in NAME], "cid", "rep").join(named, F.col("cid") == F.col("node"), "left")
+    labelled = labelled.select(*[f"of_{c}" for c in NAME], "rep", F.coalesce("least", "rep").alias("least"))
+    same = reduce(lambda x, y: x & y, [F.col(c) == F.col(f"of_{c}") for c in NAME])
+    found = usable.select("doc_id", *NAME).join(labelled, same).select("doc_id", "n_shingles", F.col("rep").alias("class_id"), F.col("least").alias("component_id"))
     rest = signed.filter("doc_id is null or n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
     return found.unionByName(rest).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
@@ -296,23 +322,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` without all but one document of each component; all columns stay, rows of a kept id as well.
 
-    Rows that a Bloom filter of the dropped ids rules out stay where they are; only the others are joined with the ids.
+    Rows are decided by doc_id where they lie; only the few that the bit maps can't tell are joined with the ids.
     """
-    dropped = compact(near_duplicates(docs, percent).filter("not kept").select(F.col("doc_id").alias("__id")).distinct())
-    bits, hashes = shape(max(1, rows_in(dropped)), 0.01)
-    level = Level(min(bits, MAX_BITS), hashes, np.zeros(0, U))
-    level.words = fill(dropped.select(F.col("__id").alias("key")), 1, level.bits, hashes)
-    maybe = _member(docs.sparkSession.sparkContext.broadcast(level))(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
-    flagged = docs.withColumn("__maybe", maybe & F.col("doc_id").isNotNull())
-    rest = flagged.filter("__maybe").join(dropped, F.col("doc_id") == F.col("__id"), "left_anti")
-    return flagged.filter("not __maybe").select(*docs.columns).unionByName(rest.select(*docs.columns))
-
-
-def _member(sent):
-    """A function of an id column: whether the Bloom filter may have it."""
-
-    @F.pandas_udf("boolean")
-    def test(ids: pd.Series) -> pd.Series:
-        return pd.Series(sent.value.has(ids.to_numpy(np.int64).view(U), 1))
-
-    return test
+    hashed = lambda c: F.xxhash64(F.coalesce(c.cast("long"), F.lit(-1)), c.isNull())
+    made = near_duplicates(docs, percent).select(F.col("doc_id").alias("id"), "kept").groupBy("id").agg(F.bool_or("kept").alias("kept"))
+    made = compact(made.withColumn("key", hashed(F.col("id"))))
+    both = maps(made.filter("not kept"), made.filter("kept"))
+    stays, unsure = sift(docs, hashed(F.col("doc_id")), both)
+    alive = tested(made.filter("kept and id is not null"), both).filter("in_goes").select("id")
+    some = unsure.join(alive, F.col("row.doc_id") == F.col("id"), "left").filter(F.col("id").isNotNull() | F.col("row.doc_id").isNull())
+    return unwrapped(stays.select("row").unionByName(some.select("row")), docs.columns)

@@ -31,10 +31,19 @@ def scratch_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def writers(spark: SparkSession) -> int:
+    """Tasks that write a narrow table: one per core, and more where a table has very many partitions.
+
+    Narrow tables of many partitions are small files, each of which costs the file system (a local one starts a process per
+    file) far more than its bytes.
+    """
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 16)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of a narrow table: its rows and their partitions no longer change."""
     scratch_dir(df.sparkSession)
-    return df.checkpoint()
+    return df.coalesce(writers(df.sparkSession)).checkpoint()
 
 
 def rows_in(settled: DataFrame) -> int:

@@ -2,27 +2,30 @@
 
 Texts are equal when identical after lower-casing A-Z. Each partition of the input makes a run: its distinct
 digests, sorted, each with its best identifier and its number of rows. Runs are merged in binomial rounds: in a round
-the runs of the same 2**k neighbours meet, and equal digests become one entry that keeps the best identifier.
+the runs of 2**``fan_bits`` neighbours meet, cut by hash of the digest into slices so that no task holds a whole run; the pieces of a
+slice are put in order and merged in one pass, and equal digests become one entry that keeps the best identifier.
 The winner goes back down the same tree, so a digest that a third of all rows share meets at most
-2**k entries in any merge, never its rows.
+2**``fan_bits`` entries in any merge, never its rows.
 
 An entry's key is the whole SHA-256 with the text's length; both are compared at every level.
 
 Nulls: a null text counts as empty, and all empty texts are equal. A null doc_id loses against any other; a
 group of only null ids keeps one row. If several rows have the winning doc_id and equal text, one of them stays.
-An empty table gives an empty result. Columns other than doc_id and text are ignored here.
+An empty table gives an empty result. Columns other than doc_id and text are ignored by ``dedup`` and kept by ``keep_one``, whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from framewright.llm.sift import maps, sift, tested, unwrapped
 from framewright.llm.store import settle
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FAN_BITS = 4
+SLICES = 1024
+"""Slices of a run: many more than tasks, so that these get equal shares."""
 
 
 def normalised(text: Column) -> Column:
@@ -31,6 +34,10 @@ def normalised(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def digest_of(text: Column) -> Column:
+    return F.unhex(F.sha2(normalised(text), 256))
+
+
 def runs_of(docs: DataFrame) -> DataFrame:
     """The narrow table of all rows: doc_id, row, run, digest, bytes. Settled: the runs stay what they are."""
     text = normalised(F.col("text"))
@@ -45,9 +52,9 @@ def runs_of(docs: DataFrame) -> DataFrame:
     )
 
 
-def _best(level: DataFrame) -> DataFrame:
-    """Merge equal digests of a run; the largest (doc_id, row) wins, null ids last."""
-    return level.groupBy("run", "digest", "bytes").agg(F.max("best").alias("best"), F.sum("n").alias("n"))
+def _merged(runs: DataFrame) -> DataFrame:
+    """One entry for equal digests of a run; the largest (doc_id, row) wins, null ids last."""
+    return runs.groupBy("run", "slice", "digest", "bytes").agg(F.max("best").alias("best"), F.sum("n").alias("n"))
 
 
 def dedup(docs: DataFrame, fan_bits: int = FAN_BITS) -> DataFrame:
@@ -55,13 +62,14 @@ def dedup(docs: DataFrame, fan_bits: int = FAN_BITS) -> DataFrame:
     rows = runs_of(docs)
     n_runs = int(rows.agg(F.coalesce(F.max("run"), F.lit(0))).first()[0]) + 1
     best = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "row")
-    sort_key = ["run", "digest"]
-    levels = [settle(_best(rows.select("run", "digest", "bytes", best.alias("best"), F.lit(1).cast("bigint").alias("n"))).sortWithinPartitions(*sort_key))]
+    cut = F.pmod(F.xxhash64("digest"), F.lit(SLICES)).cast("int")
+    key = ["run", "slice", "digest", "bytes"]
+    levels = [settle(_merged(rows.select("run", cut.alias("slice"), "digest", "bytes", best.alias("best"), F.lit(1).cast("bigint").alias("n"))))]
     while n_runs > 1:
-        up = levels[-1].withColumn("run", F.shiftright("run", fan_bits))
-        levels.append(settle(_best(up).sortWithinPartitions(*sort_key)))
+        met = levels[-1].withColumn("run", F.shiftright("run", fan_bits)).repartition("run", "slice").sortWithinPartitions(*key)
+        levels.append(settle(_merged(met)))
         n_runs = ((n_runs - 1) >> fan_bits) + 1
-    won = levels.pop()
+    won = levels.pop().drop("slice")
     while levels:
         below = levels.pop().select("run", "digest", "bytes")
         above = won.select(F.col("run").alias("up"), "digest", "bytes", "best", "n")
@@ -78,11 +86,14 @@ def dedup(docs: DataFrame, fan_bits: int = FAN_BITS) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` without all but one row of each group of equal texts; all columns stay.
 
-    The winners join back on doc_id and digest; the window over the same key needs no further shuffle and
-    leaves one of several rows that have both in common.
+    Rows are decided by doc_id where they lie. Left to an exact join on doc_id and digest are rows of a doc_id of
+    which some rows stay and others go, and the few that the bit maps can't tell; of rows that have both in common, one stays.
     """
-    named = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    won = dedup(docs).filter("kept").select(named.alias("__id"), F.unhex("text_sha256").alias("__sha"))
-    keyed = docs.withColumns({"__id": named, "__sha": F.unhex(F.sha2(normalised(F.col("text")), 256))})
-    one = Window.partitionBy("__id", "__sha").orderBy("__id")
-    return keyed.join(won, ["__id", "__sha"]).withColumn("__n", F.row_number().over(one)).filter("__n = 1").select(*docs.columns)
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    made = settle(dedup(docs).select(F.xxhash64(name).alias("key"), name.alias("id"), F.unhex("text_sha256").alias("digest"), "kept"))
+    both = maps(made.filter("not kept"), made.filter("kept"))
+    stays, unsure = sift(docs, F.xxhash64(name), both)
+    won = tested(made.filter("kept"), both).filter("in_goes").select("id", "digest")
+    asked = unsure.select("row", F.coalesce(F.col("row.doc_id").cast("string"), F.lit("null")).alias("id"), digest_of(F.col("row.text")).alias("digest"))
+    one = asked.join(won, ["id", "digest"], "left_semi").dropDuplicates(["id", "digest"])
+    return unwrapped(stays.select("row").unionByName(one.select("row")), docs.columns)

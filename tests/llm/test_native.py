@@ -48,6 +48,21 @@ def test_dedup_odd(spark, odd, empty):
     assert treemerge.dedup(clash).count() == len(ODD)
 
 
+def test_keep_one_decides_rows(spark, monkeypatch):
+    from tests.llm.conftest import make_docs
+
+    rows = [(k, f"text {k % 40}", "s") for k in range(200)] + [(7, "again", "s")] * 90 + [(None, "none", "s")] * 5 + [(None, "text 3", "s"), (199, "other", "t"), (199, "OTHER", "t")]
+    best = {}
+    for i, t, _ in rows:
+        best.setdefault(t.lower(), []).append(i)
+    want = Counter((max((i for i in ids if i is not None), default=None), t) for t, ids in best.items())
+    docs = make_docs(spark, rows).repartition(6).withColumnsRenamed({"lang": "__id", "n_chars": "__sha"})
+    for words in (1 << 18, 4):  # with four words the maps tell nearly nothing, and the join decides
+        monkeypatch.setattr("framewright.llm.sift.WORDS", words)
+        kept = treemerge.keep_one(docs)
+        assert kept.columns == docs.columns and Counter((r.doc_id, r.text.lower()) for r in kept.collect()) == want
+
+
 def check_shards(got, rows, shards):
     assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter(
         (i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, _ in rows
@@ -139,3 +154,24 @@ def test_apply_mix(spark, docs, odd):
     for r in mixing.mix(docs).select("source", "target").distinct().collect():
         assert abs(per_source.get(r.source, 0) - r.target) <= 150
     assert mixing.apply_mix(odd).columns == odd.columns
+
+
+def test_apply_mix_of_repeated_rows(spark):
+    from tests.llm.conftest import make_docs
+
+    for rows in ([(1, "ten words " * 5, "a")] * 50 + [(k, "a b c", "b") for k in range(10, 20)], [(None, "x y", None)] * 40 + [(k, "a b", "b") for k in range(60)]):
+        docs = make_docs(spark, rows).repartition(4).withColumnsRenamed({"lang": "__id", "n_chars": "copies"})
+        took = mixing.apply_mix(docs)
+        assert took.columns == docs.columns and mixed(docs) == plain_mix(rows)
+        words = Counter()
+        for r in took.collect():
+            words[r.source] += len(r.text.split())
+        for r in mixing.mix(docs).select("source", "target").distinct().collect():
+            assert abs(words[r.source] - r.target) <= 10
+
+
+def test_targets_of_many_sources(spark):
+    from tests.llm.conftest import make_docs
+
+    rows = [(k, "w " * (k % 37), f"site{k % 900}") for k in range(2700)]
+    assert mixed(make_docs(spark, rows)) == plain_mix(rows)
