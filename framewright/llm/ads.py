@@ -8,14 +8,17 @@ bound starts as the K-th distance to the vectors of the fitting sample, which ar
 Survivors get the exact inner product of the original vectors in double precision. Queries with fewer than K results are scanned again
 without the test, four times as many lists each time and all in the end, so that K are found wherever there are K.
 
-Centroids, the number of probed lists and the starting bounds come from at most ``SAMPLE`` vectors (smallest hash of vec_id); the
+There are as many lists as the root of the number of vectors. Centroids, the number of probed lists and the starting bounds come from a sample
+(smallest hash of vec_id) of ``SAMPLE`` vectors, or twice the lists if that is more, and of at most ``SAMPLE_BYTES`` bytes once rotated; the
 number of lists to probe is the least that finds ``RECALL`` of the sample's true neighbours. Every vector is indexed.
-Lists are cut and packed into cells of a bounded number of vectors and queries, so equal or crowded vectors do not
-fill a task; a query leaves at most K rows in a cell.
+Lists are cut and packed into cells of at most ``CELL_BYTES``, so equal or crowded vectors do not fill a task. A cell's vectors meet
+the queries that probe it, ``QUERIES`` at a time: only a cell with more queries than that is sent more than once, so what is
+sent grows with the vectors and with the probes of the queries, not with their product. A query leaves at most K rows in a cell.
 
 Vectors that are null, of another length than the most frequent one (of equally frequent ones the least), zero, or hold null or non-finite components take no part,
 neither as query nor as candidate; neither do rows with a null vec_id. Repeated vectors are candidates of their own; ties go
-to the smaller vec_id, and rows that repeat vec_id and vector give one result. An empty table gives an empty result.
+to the smaller vec_id. A vec_id names a row: rows that repeat vec_id and vector count as one, as query and as candidate, and a query never
+finds a row of its own vec_id, even if that holds another vector. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,11 +37,12 @@ from framewright.llm.store import settle, small_batches
 
 K = 20
 SAMPLE = 20_000
+SAMPLE_BYTES = 64 << 20
 RECALL = 0.97
 COLUMNS = 16
 EPSILON = 2.1
-MOST_LISTS = 4096
-QUERIES = 4096
+CELL_BYTES = 8 << 20
+QUERIES = 16_384
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -52,9 +56,22 @@ class Index:
     probes: int
     sample_ids: np.ndarray
     sample: np.ndarray
+    """Rotated."""
     first_cell: np.ndarray
     cells: np.ndarray
 
+    @property
+    def all_cells(self) -> int:
+        return int((self.first_cell + self.cells).max())
+
+    def reached(self, r: np.ndarray, probes: int) -> np.ndarray:
+        """Which cells rotated queries look into."""
+        out = np.zeros((len(r), self.all_cells), bool)
+        for row, lists in enumerate(self.lists(r, probes)):
+            for first, n in zip(self.first_cell[lists].tolist(), self.cells[lists].tolist(), strict=True):
+                out[row, first : first + n] = True
+        return out
+
     def rotated(self, x: np.ndarray, query: bool) -> np.ndarray:
         extra = np.zeros(len(x)) if query else np.sqrt(np.maximum(0, self.top - (x**2).sum(1)))
         return (np.column_stack([x, extra]) @ self.rotation).astype(np.float32)
@@ -64,9 +81,9 @@ class Index:
         d = (self.centroids**2).sum(1) - 2 * r @ self.centroids.T
         return np.argpartition(d, probes - 1, axis=1)[:, :probes] if probes < len(self.centroids) else np.tile(np.arange(len(self.centroids)), (len(r), 1))
 
-    def bounds(self, ids: np.ndarray, x: np.ndarray, r: np.ndarray, k: int) -> np.ndarray:
+    def bounds(self, ids: np.ndarray, r: np.ndarray, k: int) -> np.ndarray:
         """Squared distance to the k-th nearest other vector of the sample."""
-        s = self.rotated(self.sample, False)
+        s = self.sample
         d = (s**2).sum(1) - 2 * r @ s.T + (r**2).sum(1)[:, None]
         d[self.sample_ids[None, :] == ids[:, None]] = np.inf
         return np.partition(d, k - 1, axis=1)[:, k - 1] if d.shape[1] >= k else np.full(len(r), np.inf)
@@ -98,12 +115,14 @@ def usable(table: DataFrame, column: str) -> DataFrame:
 def fit(rows: DataFrame, dims: int, k: int = K, sample: int = SAMPLE, recall: float = RECALL) -> Index:
     """Centroids, probes and cells; the driver sees the sample and one row per list."""
     n, top = rows.agg(F.count("vec_id"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()
+    lists = max(1, round(n**0.5))
+    sample = max(1, min(max(sample, 2 * lists), SAMPLE_BYTES // (4 * (dims + 1))))
     picked = rows.orderBy(F.xxhash64("vec_id", F.lit("ads")), "vec_id").limit(sample).select("vec_id", "v").toArrow().combine_chunks()
     ids, x = picked.column("vec_id").to_numpy(), _vectors(picked.column("v").combine_chunks(), dims)
     rotation = np.linalg.qr(np.random.default_rng(11).normal(size=(dims + 1, dims + 1)))[0]
-    count = int(min(MOST_LISTS, max(1, round(n**0.5)), len(x)))
+    count = min(lists, len(x))
     index = Index(dims, float(top), rotation, np.zeros((1, dims + 1), np.float32), 1, ids, x, np.zeros(1, int), np.ones(1, int))
-    r = index.rotated(x, False)
+    index.sample = r = index.rotated(x, False)
     index.centroids = _centroids(r, count)
     own = index.lists(r, 1)[:, 0]
     asked = np.random.default_rng(13).choice(len(x), min(200, len(x)), replace=False)
@@ -115,7 +134,7 @@ def fit(rows: DataFrame, dims: int, k: int = K, sample: int = SAMPLE, recall: fl
     rank = np.empty_like(order)
     np.put_along_axis(rank, order, np.arange(count)[None, :].repeat(len(q), 0), 1)
     depth = np.sort(np.take_along_axis(rank, own[true], 1).ravel())
-    index.probes = count if n <= 50 * k or not len(depth) else int(depth[min(len(depth) - 1, int(np.ceil(recall * len(depth))))]) + 1
+    index.probes = count if not len(depth) else int(depth[min(len(depth) - 1, int(np.ceil(recall * len(depth))))]) + 1
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,7 +145,7 @@ def fit(rows: DataFrame, dims: int, k: int = K, sample: int = SAMPLE, recall: fl
     sizes = np.zeros(count, int)
     for row in rows.select("v").mapInArrow(assign, "list long, n long").groupBy("list").agg(F.sum("n").alias("n")).collect():
         sizes[row.list] = row.n
-    room = min(16_384, max(512, n // 128))
+    room = max(1, min(CELL_BYTES // (8 * dims), max(512, n // 128)))
     index.first_cell, index.cells = np.zeros(count, int), np.maximum(1, -(-sizes // room))
     cell, used = 0, 0
     for k_, s in enumerate(sizes.tolist()):
@@ -139,13 +158,12 @@ def fit(rows: DataFrame, dims: int, k: int = K, sample: int = SAMPLE, recall: fl
     return index
 
 
-def _scan(index: Index, qid: np.ndarray, q: np.ndarray, bound: np.ndarray, xid: np.ndarray, x: np.ndarray, k: int, probes: int, tested: bool) -> tuple[np.ndarray, ...]:
-    """The adaptive scan of a cell: (query, vector, score) of each query's best k survivors.
+def _scan(index: Index, qid: np.ndarray, q: np.ndarray, bound: np.ndarray, xid: np.ndarray, x: np.ndarray, rx: np.ndarray, own: np.ndarray, k: int, probes: int, tested: bool) -> tuple[np.ndarray, ...]:
+    """The adaptive scan of a cell, whose vectors are ``x``, rotated ``rx``, of the lists ``own``: (query, vector, score) of each query's best k survivors.
 
     Unless ``tested``, a candidate is abandoned only when its partial distance itself exceeds the bound.
     """
-    rq, rx = index.rotated(q, True), index.rotated(x, False)
-    own = index.lists(rx, 1)[:, 0]
+    rq = index.rotated(q, True)
     probed = np.zeros((len(q), len(index.centroids)), bool)
     np.put_along_axis(probed, index.lists(rq, probes), True, 1)
     alive = probed[:, own] & (qid[:, None] != xid[None, :])
@@ -210,10 +228,26 @@ def search(table: DataFrame, column: str = "embedding", every: int = 20, k: int
 
 def _pass(rows: DataFrame, asked: DataFrame, index: Index, sent: Broadcast, every: int, k: int, probes: int, tested: bool) -> DataFrame:
     """(query_id, vec_id, score) of a scan of each query's ``probes`` nearest lists: its best k of every cell."""
-    dims = index.dims
-    splits = max(1, -(-asked.count() // QUERIES))
+    dims, cells = index.dims, index.all_cells
     schema = pa.schema([("cell", pa.int64()), ("part", pa.int64()), ("asks", pa.bool_()), ("vec_id", pa.int64()), ("bound", pa.float64()), ("v", pa.list_(pa.float64()))])
 
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for a in range(0, whole.num_rows, 256):
+                yield whole.slice(a, 256)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(cells, np.int64)
+        for batch in pieces(batches):
+            n += sent.value.reached(sent.value.rotated(_vectors(batch.column("v"), dims), True), probes).sum(0)
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["cell", "n"])
+
+    parts = np.zeros(cells, np.int64)
+    """How often a cell is sent: 0 without queries."""
+    for row in asked.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # a row per cell
+        parts[row.cell] = -(-row.n // QUERIES)
+
     def deal(batch: pa.RecordBatch, at: np.ndarray, cell: np.ndarray, part: np.ndarray, asks: bool, bound: np.ndarray) -> pa.RecordBatch:
         n = len(at)
         take = pa.array(at)
@@ -224,37 +258,34 @@ def _pass(rows: DataFrame, asked: DataFrame, index: Index, sent: Broadcast, ever
             ix, ids = sent.value, batch.column("vec_id").to_numpy()
             own = ix.lists(ix.rotated(_vectors(batch.column("v"), dims), False), 1)[:, 0]
             cell = ix.first_cell[own] + ids % ix.cells[own]
-            for part in range(splits):
-                yield deal(batch, np.arange(len(ids)), cell, np.full(len(ids), part), False, np.zeros(len(ids)))
+            at = np.repeat(np.arange(len(ids)), parts[cell])
+            part = np.arange(len(at)) - np.searchsorted(at, at)
+            yield deal(batch, at, cell[at], part, False, np.zeros(len(at)))
 
     def queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for a in range(0, whole.num_rows, 256):
-                batch = whole.slice(a, 256)
-                ix, ids = sent.value, batch.column("vec_id").to_numpy()
-                x = _vectors(batch.column("v"), dims)
-                r = ix.rotated(x, True)
-                bound = ix.bounds(ids, x, r, k)
-                reach = np.zeros((len(ids), int((ix.first_cell + ix.cells).max())), bool)
-                for row, lists in enumerate(ix.lists(r, probes)):
-                    for first, n in zip(ix.first_cell[lists].tolist(), ix.cells[lists].tolist(), strict=True):
-                        reach[row, first : first + n] = True
-                at, cell = np.nonzero(reach)
-                yield deal(batch, at, cell, ids[at] // every % splits, True, bound[at])
+        for batch in pieces(batches):
+            ix, ids = sent.value, batch.column("vec_id").to_numpy()
+            r = ix.rotated(_vectors(batch.column("v"), dims), True)
+            bound = ix.bounds(ids, r, k)
+            at, cell = np.nonzero(ix.reached(r, probes))
+            yield deal(batch, at, cell, ids[at] // every % parts[cell], True, bound[at])
 
     dealt = "cell long, part long, asks boolean, vec_id long, bound double, v array<double>"
-    cells = rows.mapInArrow(candidates, dealt).unionByName(asked.mapInArrow(queries, dealt))
+    met = rows.mapInArrow(candidates, dealt).unionByName(asked.mapInArrow(queries, dealt))
 
     def scan(group: pa.Table) -> pa.Table:
-        asks = group.column("asks").to_numpy()
+        ix, asks = sent.value, group.column("asks").to_numpy()
         ids, v = group.column("vec_id").to_numpy(), _vectors(group.column("v").combine_chunks(), dims)
         bound = group.column("bound").to_numpy()
         got = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         mine, others = np.flatnonzero(asks), np.flatnonzero(~asks)
-        for a in range(0, len(mine), 512):
-            if len(others):
-                m = mine[a : a + 512]
-                got.append(_scan(sent.value, ids[m], v[m], bound[m], ids[others], v[others], k, probes, tested))
+        if len(others):
+            x, xid = v[others], ids[others]
+            rx = ix.rotated(x, False)
+            own = ix.lists(rx, 1)[:, 0]
+        for a in range(0, len(mine) if len(others) else 0, 512):
+            m = mine[a : a + 512]
+            got.append(_scan(ix, ids[m], v[m], bound[m], xid, x, rx, own, k, probes, tested))
         return pa.table({n: pa.array(np.concatenate([g[c] for g in got])) for c, n in enumerate(("query_id", "vec_id", "score"))})
 
-    return settle(cells.groupBy("cell", "part").applyInArrow(scan, FOUND).dropDuplicates(["query_id", "vec_id", "score"]))
+    return settle(met.groupBy("cell", "part").applyInArrow(scan, FOUND).dropDuplicates(["query_id", "vec_id", "score"]))

@@ -119,6 +119,18 @@ def test_many_similar_texts_that_are_no_links(spark):
     assert got == plain_components(rows)
 
 
+def test_a_doc_id_with_several_texts_is_one_document(spark):
+    words = [f"v{k}" for k in range(60)]
+    near = lambda at: " ".join(["z", *words[1:]] if at else words)
+    other = " ".join(f"q{k}" for k in range(40))
+    rows = [(1, near(0), "s"), (2, near(1), "s"), (2, other, "s"), (3, other + " more", "s"), (4, "alone here", "s"), *[(9, f"t{k} " * 7, "s") for k in range(30)], (10, "t5 " * 7, "s")]
+    docs = make_docs(spark, rows)
+    got = {(r.doc_id, r.component_id, r.kept) for r in bbit.near_duplicates(docs).collect()}
+    assert got == {(1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (9, 9, True), (10, 9, False)}
+    kept = bbit.keep_one(docs.withColumnsRenamed({"lang": "__id", "n_chars": "key"}))
+    assert Counter(r.doc_id for r in kept.collect()) == {1: 1, 4: 1, 9: 30} and kept.columns == ["doc_id", "text", "__id", "source", "key"]
+
+
 def test_near_duplicates_odd(spark, odd, empty):
     got = bbit.near_duplicates(odd).collect()
     assert len(got) == len(ODD)
@@ -424,6 +436,24 @@ def test_urls(spark):
     assert url_cascade.judge(pages, [], keys.limit(0)).filter("verdict = 'block'").count() == 0
 
 
+def test_hosts_of_very_many_labels(spark):
+    import time
+
+    host = "a." * 60_000 + "bad.net"
+    pages = spark.createDataFrame([(1, f"http://{host}/x"), (2, f"http://{host}.com/y")], "page_id long, url string")
+    began = time.time()
+    rules = [url_cascade.Rule("block", "com", "/"), url_cascade.Rule("allow", "a.bad.net", "/x/")]
+    got = {r.page_id: (r.rule, r.verdict, r.listed) for r in url_cascade.judge(pages, rules, spark.createDataFrame([("BAD.net",)], "key string")).collect()}
+    assert got == {1: (None, "block", True), 2: ("com/", "block", False)} and time.time() - began < 60
+
+
+def test_many_rules(spark):
+    rules = [url_cascade.Rule("block" if k % 2 else "allow", f"h{k}.org", f"/p{k % 3}") for k in range(3000)]
+    pages = spark.createDataFrame([(k, f"http://x.h{k}.org/p{k % 3}/q") for k in range(0, 3000, 7)], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_cascade.judge(pages, rules, spark.createDataFrame([], "key string")).collect()}
+    assert got == {k: (rules[k].text, rules[k].verdict) for k in range(0, 3000, 7)}
+
+
 def test_cascade_in_shards(spark):
     hosts = spark.range(300).select(F.concat(F.lit("m.h"), F.col("id").cast("string"), F.lit(".net")).alias("host"))
     keys = spark.range(0, 300, 3).select(F.concat(F.lit("h"), F.col("id").cast("string"), F.lit(".net")).alias("key"))
@@ -499,6 +529,23 @@ def test_results_come_from_the_scan_and_not_from_the_sample(spark, monkeypatch):
     assert got and all(r.vec_id < 1500 for r in got)
 
 
+def test_what_is_sent_grows_with_the_vectors(spark, monkeypatch):
+    monkeypatch.setattr(ads, "QUERIES", 40)
+    monkeypatch.setattr(ads, "CELL_BYTES", 40 * 8 * 8)  # as many vectors
+    sent = {}
+    for n in (2000, 8000):
+        x = np.random.default_rng(3).normal(size=(n, 8))
+        table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        index = ads.fit(ads.usable(table, "embedding"), 8)
+        own = index.lists(index.rotated(x, False), 1)[:, 0]
+        cell = index.first_cell[own] + np.arange(n) % index.cells[own]
+        asked = index.reached(index.rotated(x[::20], True), index.probes).sum(0)
+        sent[n] = (-(-asked // 40))[cell].sum() / (n + asked.sum())
+        got = ads.search(table).groupBy("query_id").count().collect()
+        assert len(got) == n // 20 and all(r["count"] == 20 for r in got)
+    assert max(sent.values()) <= 2
+
+
 def test_search_odd(spark):
     schema = "vec_id long, embedding array<double>, score string"
     rows = [(0, [1.0, 0.0]), (1, [2.0, 1.0]), (2, None), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]), (6, [None, 1.0]), (7, [2.0, 1.0]), (8, [1.0]), (None, [1.0, 1.0]), (20, [-1.0, 3.0]), (7, [2.0, 1.0])]
