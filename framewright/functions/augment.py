@@ -43,6 +43,22 @@ MISREADINGS: dict[str, str | list[str]] = {
 Op = Callable[..., Column]
 
 
+def every_second(hits: Column) -> Column:
+    """Of each run of hits the first, third and so on: a boolean for every element, in one pass over the run's ends."""
+
+    def runs(ends: Column) -> Column:
+        def run(end: Column, k: Column) -> Column:
+            own = F.when(end < 0, F.array().cast("array<boolean>")).otherwise(F.array(F.lit(False)))
+            until = F.coalesce(F.get(ends, k + 1), F.size(hits))
+            return F.concat(own, F.transform(F.array_repeat(F.lit(True), until - end - 1), lambda x, j: j % 2 == 0))
+
+        return F.flatten(F.transform(ends, run))
+
+    misses = F.filter(F.transform(hits, lambda h, i: F.when(h, F.lit(None)).otherwise(i)), lambda i: i.isNotNull())
+    return let(F.concat(F.array(F.lit(-1)), misses), runs)
+
+
+
 class Noise:
     """The eight operators for one seed and row key."""
 
@@ -96,23 +112,24 @@ class Noise:
         return self._guard(text, probability, tag, body)
 
     def merge_lines(self, text: Column, probability: float, tag: str = "ml") -> Column:
-        """A line that is merged takes the next one with it, so whether a line is free to merge depends on the one before."""
+        """A line that is merged takes the next one with it, so of a run of lines that are hit every second one merges."""
 
         def body(t: Column, start: Column) -> Column:
-            def step(acc: Column, item: Column) -> Column:
-                joined = F.concat(tx.strip(F.element_at(acc["out"], -1)), F.lit(" "), tx.strip(item["line"]))
-                done = F.slice(acc["out"], 1, F.size(acc["out"]) - 1)
-                merged = F.struct(F.concat(done, F.array(joined)).alias("out"), F.lit(False).alias("open"))
-                own = F.struct(F.concat(acc["out"], F.array(item["line"])).alias("out"), (item["u"] < probability).alias("open"))
-                return F.when(acc["open"], merged).otherwise(own)
-
-            def fold(split: Column) -> Column:
-                items = F.transform(split, lambda line, i: F.struct(line.alias("line"), draw(start, i).alias("u")))
-                nothing = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("open"))
-                out = F.aggregate(items, nothing, step, lambda acc: acc["out"])
-                return F.when(F.size(split) < 2, t).otherwise(F.array_join(out, self.line_join))
-
-            return let(tx.lines(t), fold)
+            def merged(split: Column, opens: Column) -> Column:
+                last = F.size(split) - 1
+
+                def one(line: Column, i: Column) -> Column:
+                    both = F.concat(tx.strip(line), F.lit(" "), tx.strip(F.get(split, i + 1)))
+                    return F.when(F.get(opens, i - 1), F.lit(None)).when(F.get(opens, i) & (i < last), both).otherwise(line)
+
+                return F.array_join(F.filter(F.transform(split, one), lambda x: x.isNotNull()), self.line_join)
+
+            def whole(split: Column) -> Column:
+                hits = F.transform(split, lambda line, i: draw(start, i) < probability)
+                out = let(let(hits, every_second), lambda opens: merged(split, opens))
+                return F.when(F.size(split) < 2, t).otherwise(out)
+
+            return let(tx.lines(t), whole)
 
         return self._guard(text, probability, tag, body)
 

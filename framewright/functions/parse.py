@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,9 +21,12 @@ LAYOUTS = {
     "v5": ("task1_raw_ocr", "task2_augmented", "task3_cleaned", "task4_markdown", "task5_summary"),
     "v3": ("task1_cleaned_ocr", "task2_structured_markdown", "task3_narrative_summary"),
 }
+#: The grammar of headers and marks.
 HEADER = r"(?imd)^====\s*TASK \d+:[^=]+?\s*====$"
 MARKER = r"(?imd)^--\s*Frame (\d+)\s*--$"
 NO_TEXTS = "array<string>"
+MOST_FRAMES = 100_000
+"""Frame numbers of a response from here on are no frames of a batch."""
 
 
 def text_response(response: Column) -> Column:
@@ -60,43 +66,65 @@ def text_response(response: Column) -> Column:
 def fill_same(texts: Column) -> Column:
     """Each mark for an unchanged frame replaced by the frame before; '' where there is none."""
 
-    def step(done: Column, c: Column) -> Column:
-        before = F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(""))
-        return F.concat(done, F.array(F.when(c == SAME, before).otherwise(c)))
+    def runs(own: Column) -> Column:
+        until = lambda k: F.coalesce(F.get(own, k + 1), F.size(texts))
+        filled = F.flatten(F.transform(own, lambda i, k: F.array_repeat(F.get(texts, i), until(k) - i)))
+        return F.concat(F.array_repeat(F.lit(""), F.coalesce(F.get(own, F.lit(0)), F.size(texts))), filled)
 
-    return F.aggregate(texts, F.array().cast(NO_TEXTS), step)
+    texts_that_are = F.filter(F.transform(texts, lambda c, i: F.when(c.eqNullSafe(F.lit(SAME)), F.lit(None)).otherwise(i)), lambda i: i.isNotNull())
+    return let(texts_that_are, runs)
 
 
-def frame_list(block: Column) -> Column:
-    """Frame texts by number from 0: the last of equal numbers counts, missing ones are '', marks are filled."""
+def _numbered(block: Column) -> Column:
+    """The marks of a block in order, as struct<n, k, body>: a frame's number, its mark's place, and what follows it."""
+    numbers = F.transform(F.regexp_extract_all(block, F.lit(MARKER), F.lit(1)), lambda n: n.try_cast("int"))
 
-    def collect(block: Column) -> Column:
-        numbers = F.transform(F.regexp_extract_all(block, F.lit(MARKER), F.lit(1)), lambda n: n.try_cast("int"))
-        rest = F.split(block, MARKER, -1)
-        bodies = F.slice(rest, 2, F.greatest(F.size(rest) - 1, F.lit(0)))
-        pairs = F.filter(
-            F.transform(numbers, lambda n, i: F.struct(n.alias("n"), F.get(bodies, i).alias("body"))),
-            lambda p: p["n"].isNotNull() & p["body"].startswith("\n"),
-        )
+    def pairs(bodies: Column) -> Column:
+        return F.transform(numbers, lambda n, k: F.struct(n.alias("n"), k.alias("k"), F.get(bodies, k + 1).alias("body")))
+
+    return F.filter(let(F.split(block, MARKER, -1), pairs), lambda p: p["n"].isNotNull() & p["body"].startswith("\n"))
+
+
+def frame_list(block: Column, most: int = MOST_FRAMES) -> Column:
+    """Frame texts by number from 0: the last of equal numbers counts, missing ones are '', marks are filled.
+
+    Null if a number reaches ``most``: the list would be as long as the number.
+    """
 
-        def dense(found: Column) -> Column:
-            at = lambda i: F.coalesce(F.try_element_at(F.filter(found, lambda p: p["n"] == i), F.lit(-1))["body"], F.lit(""))
-            top = F.array_max(F.transform(found, lambda p: p["n"]))
-            texts = F.transform(F.sequence(F.lit(0), top), lambda i: tx.strip(at(i)))
-            return F.when(F.size(found) == 0, F.array().cast(NO_TEXTS)).otherwise(fill_same(texts))
+    def dense(found: Column) -> Column:
+        last = F.filter(found, lambda p, i: F.coalesce(F.get(found, i + 1)["n"] != p["n"], F.lit(True)))
 
-        return let(pairs, dense)
+        def gaps(one: Column) -> Column:
+            before = lambda i: F.coalesce(F.get(one, i - 1)["n"], F.lit(-1))
+            return F.flatten(F.transform(one, lambda p, i: F.concat(F.array_repeat(F.lit(""), p["n"] - before(i) - 1), F.array(tx.strip(p["body"])))))
 
-    return let(block, collect)
+        top = F.element_at(found, -1)["n"]
+        return F.when(F.size(found) == 0, F.array().cast(NO_TEXTS)).when(top < most, let(let(last, gaps), fill_same))
 
+    return let(block, lambda b: let(F.array_sort(_numbered(b)), dense))
 
-def image_response(response: Column, layout: str = "v5") -> Column:
-    """struct of the layout's keys: the k-th header opens the k-th block, whatever its number; null for an empty response."""
+
+def image_response(response: Column, layout: str = "v5", most: int = MOST_FRAMES) -> Column:
+    """struct of the layout's keys: the k-th header opens the k-th block, whatever its number; null for an empty response.
+
+    A response with a frame number of ``most`` or more is null as well: it failed (see ``too_many_frames``).
+    """
     keys = LAYOUTS[layout]
 
     def blocks(parts: Column) -> Column:
         block = lambda k: tx.strip(F.coalesce(F.get(parts, F.lit(k)), F.lit("")))
-        lists = [frame_list(block(k)).alias(key) for k, key in enumerate(keys[:-1], 1)]
+        lists = [frame_list(block(k), most).alias(key) for k, key in enumerate(keys[:-1], 1)]
         return F.struct(*lists, block(len(keys)).alias(keys[-1]))
 
-    return F.when(F.coalesce(response, F.lit("")) != "", let(F.split(response, HEADER, -1), blocks))
+    def whole(found: Column) -> Column:
+        bad = [found[key].isNull() for key in keys[:-1]]
+        return F.when(~reduce(or_, bad), found)
+
+    return F.when(F.coalesce(response, F.lit("")) != "", let(let(F.split(response, HEADER, -1), blocks), whole))
+
+
+def too_many_frames(response: Column, most: int = MOST_FRAMES) -> Column:
+    """An error for a response with a frame number of ``most`` or more, else null."""
+    digits = F.transform(F.regexp_extract_all(F.coalesce(response, F.lit("")), F.lit(MARKER), F.lit(1)), lambda n: n.try_cast("int"))
+    top = F.array_max(digits)
+    return F.when(top >= most, F.concat(F.lit("a frame number is "), top.cast("string")))

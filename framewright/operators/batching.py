@@ -31,6 +31,13 @@ def image_batch_file(batch: Column) -> Column:
     return F.format_string("llm_output_batch_%04d.json", batch.cast("int"))
 
 
+def image_batches(frames: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
+    """One row per batch of image files (video_id, frame_idx, frame_name): their names in order and the file name; contents are not touched."""
+    items = F.array_sort(F.collect_list(F.struct("frame_idx", "frame_name")))
+    grouped = with_batches(frames, size).groupBy("video_id", "batch").agg(items.alias("items"))
+    return grouped.select("video_id", "batch", F.size("items").alias("num_frames"), F.transform("items", lambda f: f["frame_name"]).alias("frame_names"), image_batch_file(F.col("batch")).alias("file_name"))
+
+
 def batches(frames: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
     """One row per batch: its frames in order, their numbers, their texts, the joined text and the file name."""
     items = F.array_sort(F.collect_list(F.struct("frame_idx", "frame_name", "raw_text")))

@@ -7,8 +7,12 @@ evaluated twice would call the engine twice.
 
 from __future__ import annotations
 
+import inspect
+import os
 import shutil
+import subprocess
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -16,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framewright.functions import parse
-from framewright.functions.frames import second_label
+from framewright.functions.frames import frame_name, media_type, second_label
 from framewright.session import ship
 
 #: The texts that stand for a failed OCR.
@@ -24,20 +28,57 @@ OCR_EMPTY, OCR_ERROR = "<<< OCR_FAILED_EMPTY_TEXT >>>", "<<< OCR_EXCEPTION: {} >
 
 OcrEngine = Callable[[bytes], "str | None"]
 ModelEngine = Callable[[str, str], "tuple[str, int, int]"]
-Decoder = Callable[[bytes], "tuple[float, Iterator[bytes | None]]"]
+Image = tuple[str, str, bytes]
+"""Name, media type, bytes."""
+ImageEngine = Callable[[str, "list[Image]"], "tuple[str, int, int]"]
+Frame = bytes | tuple[int, int, bytes]
+"""Bytes, or width, height and bytes."""
+Decoder = Callable[[bytes], "tuple[float, Iterator[Frame | None]]"]
+"""A decoder whose frames have a size may have an attribute ``resize``: (bytes, width, height) -> bytes."""
+
+
+@dataclass(frozen=True)
+class Sampling:
+    """How a model is asked. The defaults."""
+
+    model: str = "gemini-2.5-pro-preview-05-06"
+    temperature: float = 0.7
+    top_p: float = 1.0
+    max_output_tokens: int = 65_000
+
+
+def made(factory: Callable, **options: object) -> Callable:
+    """An engine from its factory, which gets those of the options that it asks for."""
+    asked = inspect.signature(factory).parameters
+    return factory(**{k: v for k, v in options.items() if k in asked})
+
+
+def ocr_command() -> str:
+    return os.environ.get("TESSERACT_CMD", "tesseract")
 
 
 def tesseract_installed() -> bool:
-    """Whether an OCR program is on the path; asked on the driver before a run."""
-    return shutil.which("tesseract") is not None
+    """Whether the OCR program is there; asked on the driver before a run."""
+    return shutil.which(ocr_command()) is not None
 
 
-def ocr(frames: DataFrame, factory: Callable[[], OcrEngine]) -> DataFrame:
+def tesseract(language: str = "eng") -> OcrEngine:
+    """The OCR program, a process per image; an image that it can't read has no text."""
+    command = [ocr_command(), "stdin", "stdout", "-l", language]
+
+    def read(content: bytes) -> str | None:
+        done = subprocess.run(command, input=content, capture_output=True, check=False)
+        return done.stdout.decode("utf-8", "replace") if done.returncode == 0 else None
+
+    return read
+
+
+def ocr(frames: DataFrame, factory: Callable[..., OcrEngine], language: str = "eng") -> DataFrame:
     """(video_id, frame_name, content) -> (video_id, frame_name, raw_text, ocr_failed); failures are texts of their own."""
     ship(frames.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        engine = factory()
+        engine = made(factory, language=language)
         for batch in batches:
             texts, failed = [], []
             for content in batch["content"]:
@@ -53,35 +94,135 @@ def ocr(frames: DataFrame, factory: Callable[[], OcrEngine]) -> DataFrame:
     return frames.select("video_id", "frame_name", "content").mapInPandas(run, "video_id string, frame_name string, raw_text string, ocr_failed boolean")
 
 
-def call_model(batches: DataFrame, prompt: str, factory: Callable[[], ModelEngine]) -> DataFrame:
-    """Adds response, input_tokens, output_tokens, error to rows with video_id, batch, batch_text. A blank text is not sent."""
-    ship(batches.sparkSession)
+ANSWER = "video_id string, batch int, response string, input_tokens long, output_tokens long, error string"
+
+
+def _asked(rows: DataFrame, factory: Callable, sampling: Sampling, call: Callable[[Callable, tuple], tuple | None]) -> DataFrame:
+    """``call(engine, row)`` for every row (video_id, batch, ...): the answer, or the error that it raised; None is an empty answer."""
+    ship(rows.sparkSession)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        engine = factory()
+        engine = made(factory, sampling=sampling)
         for part in parts:
             out: list[tuple] = []
-            for text in part["batch_text"]:
-                if not (text or "").strip():
-                    out.append(("", 0, 0, None))
-                    continue
+            for row in part.itertuples(index=False):
                 try:
-                    response, n_in, n_out = engine(prompt, text)
-                    out.append((response if isinstance(response, str) else "".join(response), n_in, n_out, None))
-                except Exception as problem:  # noqa: BLE001
-                    out.append((None, None, None, str(problem)))
-            frame = pd.DataFrame(out, columns=["response", "input_tokens", "output_tokens", "error"]).astype({"input_tokens": "Int64", "output_tokens": "Int64"})
-            yield pd.concat([part[["video_id", "batch"]].reset_index(drop=True), frame], axis=1)
+                    response, n_in, n_out = call(engine, row) or ("", 0, 0)
+                    out.append((row.video_id, row.batch, response if isinstance(response, str) else "".join(response), n_in, n_out, None))
+                except Exception as problem:  # noqa: BLE001  an engine may raise anything
+                    out.append((row.video_id, row.batch, None, None, None, str(problem) or type(problem).__name__))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in ANSWER.split(", ")]).astype({"input_tokens": "Int64", "output_tokens": "Int64"})
+
+    return rows.mapInPandas(run, ANSWER)
+
+
+def call_model(batches: DataFrame, prompt: str, factory: Callable[..., ModelEngine], sampling: Sampling = Sampling()) -> DataFrame:  # noqa: B008
+    """(video_id, batch, response, input_tokens, output_tokens, error) of rows with video_id, batch, batch_text. A blank text is not sent."""
+    return _asked(batches.select("video_id", "batch", "batch_text"), factory, sampling, lambda engine, row: engine(prompt, row.batch_text) if (row.batch_text or "").strip() else None)
+
+
+def with_images(batches: DataFrame, contents: DataFrame) -> DataFrame:
+    """``batches`` (video_id, batch, frame_names in order) with images: array of (place, name, mime, content); content is null where the file is missing.
+
+    ``contents``: (video_id, frame_name, content).
+    """
+    listed = batches.select("video_id", "batch", F.posexplode("frame_names").alias("place", "frame_name"))
+    image = F.struct("place", F.col("frame_name").alias("name"), media_type(F.col("frame_name")).alias("mime"), "content")
+    found = listed.join(contents.select("video_id", "frame_name", "content"), ["video_id", "frame_name"], "left")
+    return batches.join(found.groupBy("video_id", "batch").agg(F.array_sort(F.collect_list(image)).alias("images")), ["video_id", "batch"])
+
+
+def call_image_model(batches: DataFrame, prompt: str, factory: Callable[..., ImageEngine], sampling: Sampling = Sampling(max_output_tokens=65_535)) -> DataFrame:  # noqa: B008
+    """The same for rows with video_id, batch, images (see ``with_images``), sent in order.
+
+    One missing file fails the batch; files that are no images are left out, and a batch without images fails.
+    """
+
+    def call(engine: ImageEngine, row: tuple) -> tuple:
+        images = [(i["name"], i["mime"], i["content"]) for i in row.images]
+        missing = [name for name, _, content in images if content is None]
+        if missing:
+            raise FileNotFoundError(f"no file {missing[0]}")
+        images = [(name, mime, bytes(content)) for name, mime, content in images if mime is not None]
+        if not images:
+            raise ValueError("no images")
+        return engine(prompt, images)
+
+    return _asked(batches.select("video_id", "batch", "images"), factory, sampling, call)
 
-    return batches.select("video_id", "batch", "batch_text").mapInPandas(run, "video_id string, batch int, response string, input_tokens long, output_tokens long, error string")
 
+def genai_client():
+    """A model client for the project and place that the environment names."""
+    try:
+        from google import genai
+    except ImportError as missing:
+        raise RuntimeError("the google-genai package is not installed") from missing
+    project, location = os.environ.get("GOOGLE_CLOUD_PROJECT"), os.environ.get("GOOGLE_CLOUD_LOCATION")
+    if not project or not location:
+        raise RuntimeError("GOOGLE_CLOUD_PROJECT and GOOGLE_CLOUD_LOCATION are not set")
+    return genai.Client(vertexai=True, project=project, location=location)
 
-def decode(videos: DataFrame, factory: Callable[[], Decoder], target_fps: float = 1.0) -> DataFrame:
-    """(video_id, content) -> (video_id, frame_count, native_fps, content): kept frames only; empty ones are counted but dropped."""
+
+def _generated(sampling: Sampling, more: dict) -> Callable[[list], tuple[str, int, int]]:
+    """One request: its parts counted, the answer's pieces joined and counted."""
+    client = genai_client()
+    config = {"temperature": sampling.temperature, "top_p": sampling.top_p, "max_output_tokens": sampling.max_output_tokens} | more
+    count = lambda parts: client.models.count_tokens(model=sampling.model, contents=parts).total_tokens
+
+    def ask(parts: list) -> tuple[str, int, int]:
+        pieces = client.models.generate_content_stream(model=sampling.model, contents=parts, config=config)
+        before, text = count(parts), "".join(p.text for p in pieces if p.text)
+        return text, before, count([text])
+
+    return ask
+
+
+#: Categories of content that a model of images is not to hold back.
+UNFILTERED = ("HARM_CATEGORY_HATE_SPEECH", "HARM_CATEGORY_DANGEROUS_CONTENT", "HARM_CATEGORY_SEXUALLY_EXPLICIT", "HARM_CATEGORY_HARASSMENT")
+
+
+def genai_text(sampling: Sampling) -> ModelEngine:
+    """A hosted model for texts."""
+    ask = _generated(sampling, {})
+    return lambda prompt, text: ask([prompt, text])
+
+
+def genai_images(sampling: Sampling) -> ImageEngine:
+    """A hosted model for images, each sent as bytes with its media type."""
+    safety = [{"category": c, "threshold": "OFF"} for c in UNFILTERED]
+    ask = _generated(sampling, {"safety_settings": safety, "response_modalities": ["TEXT"], "thinking_config": {"include_thoughts": True}})
+    return lambda prompt, images: ask([prompt, *({"inline_data": {"data": content, "mime_type": mime}} for _, mime, content in images)])
+
+
+def scaled(width: int, height: int, most: int) -> tuple[int, int]:
+    """A size that fits a square of ``most``; 0 leaves it."""
+    longest = max(width, height)
+    return (width, height) if most <= 0 or longest <= most else (int(width * (most / longest)), int(height * (most / longest)))
+
+
+def decode(videos: DataFrame, factory: Callable[..., Decoder], target_fps: float = 1.0, max_dimension: int = 0) -> DataFrame:
+    """(video_id, content) -> (video_id, frame_count, native_fps, content, second, frame_name): kept frames only; empty ones are counted but dropped.
+
+    Frames larger than ``max_dimension`` (0: no limit) are resized by the decoder; one that fails to stays as it is.
+    """
     ship(videos.sparkSession)
+    columns = ["video_id", "frame_count", "native_fps", "content"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         decoder = factory()
+
+        def fitted(frame: Frame) -> bytes:
+            if isinstance(frame, bytes):
+                return frame
+            width, height, content = frame
+            to = scaled(width, height, max_dimension)
+            if to == (width, height) or not hasattr(decoder, "resize"):
+                return content
+            try:
+                return decoder.resize(content, *to)
+            except Exception:  # noqa: BLE001
+                return content
+
         for batch in batches:
             for video_id, content in zip(batch["video_id"], batch["content"], strict=True):
                 fps, frames = decoder(bytes(content))
@@ -89,15 +230,22 @@ def decode(videos: DataFrame, factory: Callable[[], Decoder], target_fps: float
                 interval = max(1, round(fps / target_fps)) if 0 < target_fps < fps else 1
                 held: list[tuple] = []
                 for k, frame in enumerate(frames):
-                    if k % interval == 0 and frame:
-                        held.append((video_id, k, fps, frame))
+                    if k % interval == 0 and frame and (isinstance(frame, bytes) or frame[2]):
+                        held.append((video_id, k, fps, fitted(frame)))
                     if len(held) >= 64:
-                        yield pd.DataFrame(held, columns=["video_id", "frame_count", "native_fps", "content"])
+                        yield pd.DataFrame(held, columns=columns)
                         held = []
-                yield pd.DataFrame(held, columns=["video_id", "frame_count", "native_fps", "content"])
+                yield pd.DataFrame(held, columns=columns)
 
     decoded = videos.select("video_id", "content").mapInPandas(run, "video_id string, frame_count long, native_fps double, content binary")
-    return decoded.withColumn("second", second_label(F.col("frame_count"), F.col("native_fps")))
+    labelled = decoded.withColumn("second", second_label(F.col("frame_count"), F.col("native_fps")))
+    return labelled.withColumn("frame_name", frame_name(F.col("second")))
+
+
+def last_of_names(frames: DataFrame) -> DataFrame:
+    """Of the frames of a video that have one name (one second) the last: the one that a file would hold in the end."""
+    last = frames.groupBy("video_id", "frame_name").agg(F.max("frame_count").alias("frame_count"))
+    return frames.join(last, ["video_id", "frame_name", "frame_count"], "left_semi")
 
 
 def echo_model() -> ModelEngine:
@@ -124,14 +272,38 @@ def byte_ocr() -> OcrEngine:
     return read
 
 
+class LineDecoder:
+    """A deterministic stand-in for a decoder: the first line is the frame rate, every other line a frame, ``WxH|bytes`` one of a size."""
+
+    def __call__(self, content: bytes) -> tuple[float, Iterator[Frame | None]]:
+        rate, *lines = content.split(b"\n")
+        return float(rate), map(self.frame, lines)
+
+    @staticmethod
+    def frame(line: bytes) -> Frame:
+        size, bar, _ = line.partition(b"|")
+        width, x, height = size.partition(b"x")
+        return (int(width), int(height), line) if bar and x and width.isdigit() and height.isdigit() else line
+
+    @staticmethod
+    def resize(content: bytes, width: int, height: int) -> bytes:
+        return b"%dx%d|" % (width, height) + content.partition(b"|")[2]
+
+
 def line_decoder() -> Decoder:
-    """A deterministic stand-in for a decoder: the first line is the frame rate, every other line a frame."""
+    return LineDecoder()
 
-    def read(content: bytes) -> tuple[float, Iterator[bytes | None]]:
-        rate, *frames = content.split(b"\n")
-        return float(rate), iter(frames)
 
-    return read
+def caption_model() -> ImageEngine:
+    """A deterministic stand-in for a model of images: an image's bytes are its text, the same in every task."""
+
+    def answer(prompt: str, images: list[Image]) -> tuple[str, int, int]:
+        block = "\n".join(f"-- Frame {k} --\n{content.decode()}" for k, (_, _, content) in enumerate(images))
+        parts = [f"==== TASK {k}: Frames ====\n{block}" for k in (1, 2, 3, 4)]
+        response = "\n".join([*parts, f"==== TASK 5: Summary ====\n{len(images)} images"])
+        return response, sum(len(content) for _, _, content in images), len(response.split())
+
+    return answer
 
 
 def sample_frames(frames: DataFrame, most: int, seed: int = 0, key: str = "video_id", position: str = "frame_count") -> DataFrame:

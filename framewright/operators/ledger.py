@@ -70,7 +70,7 @@ def requested(videos: DataFrame, wanted: list[str] | None, key: str = "video_id"
         return videos.select(key)
     spark = videos.sparkSession
     asked = spark.createDataFrame([(k, v) for k, v in enumerate(wanted)], f"pos int, {key} string")
-    found = F.broadcast(asked).join(videos.select(key).distinct(), key).orderBy("pos").select(key)
+    found = asked.join(videos.select(key).distinct(), key).orderBy("pos").select(key)
     return found if not found.isEmpty() else videos.select(key)
 
 

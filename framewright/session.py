@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +45,42 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+_own: dict[str, str] = {}
+
+
+def scratch(spark: SparkSession) -> str:
+    """A folder that driver and executors share: that of ``spark.checkpoint.dir``, or in local mode, where none is set, one of our own."""
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if configured:
+        return configured.rstrip("/")
+    if not (sc.master or "").startswith("local") or (sc.master or "").startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if sc.applicationId not in _own:
+        _own[sc.applicationId] = tempfile.mkdtemp(prefix="framewright-")
+        atexit.register(shutil.rmtree, _own[sc.applicationId], ignore_errors=True)
+    return _own[sc.applicationId]
+
+
+def pinned(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the scratch folder and read from there, so that engines behind it are called once whatever is derived from it."""
+    path = f"{scratch(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """At most ``rows`` rows go to Python at a time while a job with wide rows runs."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over at least as many partitions as there are cores, for work that costs far more than a shuffle of its input.
 

@@ -24,11 +24,16 @@ def unescaped(text: Column) -> Column:
 
 
 def subdirectories(spark: SparkSession, root: str) -> DataFrame:
-    """(rel_path) of the direct sub-directories, empty ones too: the file system is asked, no file is opened."""
+    """(rel_path) of the direct sub-directories, empty ones too: the file system is asked, no file is opened.
+
+    In a folder of documents that ``sinks.write_documents`` made, the directories are the videos'.
+    """
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(root)
     found = [s.getPath().getName() for s in path.getFileSystem(conf).listStatus(path) if s.isDirectory()]
-    return spark.createDataFrame([(n,) for n in sorted(found)], "rel_path string")
+    plain = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    names = {plain(n.removeprefix("video_id=")) if n.startswith("video_id=") else n for n in found}
+    return spark.createDataFrame([(n,) for n in sorted(names)], "rel_path string")
 
 
 def video_of(path: Column) -> Column:
@@ -51,6 +56,11 @@ def contents(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     return found.select(video_of(F.col("path")).alias("video_id"), name_of(F.col("path")).alias("frame_name"), "content")
 
 
+def written_frames(spark: SparkSession, root: str) -> DataFrame:
+    """(video_id, frame_name, content) of the table that ``sinks.write_frames`` makes."""
+    return spark.read.schema("frame_name string, content binary, video_id string").parquet(root).select("video_id", "frame_name", "content")
+
+
 def extension_rank(name: Column) -> Column:
     """Place of a video's extension in the order of preference; null for other files. Case matters."""
     out = F.lit(None).cast("int")

@@ -218,10 +218,156 @@ def test_command_line(spark, tree, tmp_path):
     assert spark.read.json(f"{tmp_path}/e").count() == 7
     put(tree / "video" / "v1" / "a.mp4", "1\nf0\nf1\nf2")
     done = run("frames", "--input", tree / "video", "--out", tmp_path / "f", "--ledger", tmp_path / "l3", "--max-frames", 2)
-    assert done.first().status == "Success (2)"
+    assert done.first().status == "Success (2) (metadata not copied)"
     assert run("frames", "--input", tree / "video", "--out", tmp_path / "g", "--ledger", tmp_path / "l4", "--dry-run").first().status == "Success (dry run)"
 
 
+def flaky(flag, answer):
+    """An engine that fails once on a text with ``boom``; ``flag`` remembers that it did."""
+
+    def factory():
+        def ask(prompt, given):
+            import os
+
+            if "boom" in str(given) and not os.path.exists(flag):
+                open(flag, "w").close()
+                raise RuntimeError("busy")
+            return answer()(prompt, given)
+
+        return ask
+
+    return factory
+
+
+def test_a_failed_call_is_repaired_by_the_next_pass(spark, tmp_path, monkeypatch):
+    put(tmp_path / "in" / "a" / "tesseract_ocr.json", {f"frame_{k:06d}.png": f"text {k}" + " boom" * (k == 3) for k in range(4)})
+    put(tmp_path / "in" / "b" / "tesseract_ocr.json", {"frame_000000.png": "other"})
+    put(tmp_path / "prompt.md", "Clean.")
+    monkeypatch.setattr(cli, "engine", lambda name: flaky(f"{tmp_path}/flag", engines.echo_model))
+    args = ["text-model", "--input", f"{tmp_path}/in", "--out", f"{tmp_path}/out", "--ledger", f"{tmp_path}/ledger", "--prompt", f"{tmp_path}/prompt.md", "--batch-size", "2"]
+    told = []
+    for _ in range(3):
+        cli.main(args, spark)
+        rows = spark.read.parquet(f"{tmp_path}/ledger").orderBy("ts", "rel_path").collect()
+        told.append([(r.rel_path, r.status, r.n_items) for r in rows])
+    assert told[0] == [("a", "Failed (1 of 2)", 2), ("b", "Success (1)", 1)]
+    assert told[1] == told[2] == [*told[0], ("a", "Success (4)", 4)]
+    half, whole = (r.cost_usd for r in rows if r.rel_path == "a")
+    assert 0 < half < whole < 3 * half
+    batches = {(r.video_id, r.batch_file) for r in trees.text_batches(spark, f"{tmp_path}/out/documents").collect()}
+    assert batches == {("a", "batch_000000_000001.json"), ("a", "batch_000002_000003.json"), ("b", "batch_000000_000000.json")}
+    assert trees.text_batches(spark, f"{tmp_path}/out/documents").count() == 3
+    assert sinks.plain_files(spark, f"{tmp_path}/out/documents", f"{tmp_path}/plain") == 3
+    assert json.loads((tmp_path / "plain" / "b" / "batch_000000_000000.json").read_text())["llm_output"]["task3_cleaned_text"] == ["other"]
+
+
+def test_image_stage_sends_bytes_in_order(spark, tmp_path, monkeypatch):
+    for k in range(5):
+        put(tmp_path / "in" / "v" / f"frame_{k:06d}.png", f"image {k}".encode())
+    put(tmp_path / "in" / "w" / "note.txt", "no frames")
+    put(tmp_path / "prompt.md", "Look.")
+    run = lambda *a: cli.main(["image-model", "--input", f"{tmp_path}/in", "--out", f"{tmp_path}/out", "--ledger", f"{tmp_path}/ledger", "--prompt", f"{tmp_path}/prompt.md", "--batch-size", "3", *a], spark)
+    assert {r.rel_path: (r.status, r.n_items) for r in run().collect()} == {"v": ("Success (5)", 5), "w": ("No frame_*.png or frame_*.jpg", 0)}
+    made = trees.batch_files(spark, f"{tmp_path}/out/documents").orderBy("batch_file").collect()
+    assert [r.batch_file for r in made] == ["llm_output_batch_0000.json", "llm_output_batch_0001.json"]
+    assert [r.task1_raw_ocr for r in made] == [["image 0", "image 1", "image 2"], ["image 3", "image 4"]]
+    monkeypatch.setattr(cli, "engine", lambda name: lambda: lambda prompt, images: ("==== TASK 1: x ====\n-- Frame 2000000000 --\ny", 1, 1))
+    again = cli.main(["image-model", "--input", f"{tmp_path}/in", "--out", f"{tmp_path}/out2", "--ledger", f"{tmp_path}/ledger2", "--prompt", f"{tmp_path}/prompt.md"], spark)
+    assert {r.rel_path: r.status for r in again.collect()}["v"] == "Failed (0 of 1)"
+
+
+def test_a_missing_image_fails_its_batch(spark):
+    batches = spark.createDataFrame([("v", 0, ["frame_0.png", "frame_1.png"]), ("v", 1, ["frame_2.png", "x.txt"]), ("v", 2, ["y.txt"])], "video_id string, batch int, frame_names array<string>")
+    contents = spark.createDataFrame([("v", n, bytearray(n.encode())) for n in ("frame_0.png", "frame_2.png", "x.txt", "y.txt")], "video_id string, frame_name string, content binary")
+    got = {r.batch: r for r in engines.call_image_model(engines.with_images(batches, contents), "p", engines.caption_model).collect()}
+    assert got[0].response is None and got[0].error == "no file frame_1.png" and got[2].error == "no images"
+    assert "1 images" in got[1].response and got[1].input_tokens == len("frame_2.png")
+
+
+def test_frames_are_resized_named_and_kept_once_a_second(spark, tmp_path):
+    put(tmp_path / "in" / "v" / "a.mp4", "4\n" + "\n".join(f"2000x1000|f{k}" for k in range(8)))
+    put(tmp_path / "in" / "v" / "x.info.json", '{"id": "é"}')
+    run = lambda *a: cli.main(["frames", "--input", f"{tmp_path}/in", *a], spark)
+    assert run("--out", f"{tmp_path}/o", "--ledger", f"{tmp_path}/l", "--fps", "2", "--max-dimension", "500").first().status == "Success (4)"
+    got = {r.frame_name: bytes(r.content) for r in trees.written_frames(spark, f"{tmp_path}/o/frames").collect()}
+    assert got == {"frame_000000.jpg": b"500x250|f2", "frame_000001.jpg": b"500x250|f4", "frame_000002.jpg": b"500x250|f6"}
+    assert [r.value for r in trees.documents(spark, f"{tmp_path}/o/metadata", "*.info.json").collect()] == ['{"id": "é"}']
+    run("--out", f"{tmp_path}/p", "--ledger", f"{tmp_path}/l2", "--max-dimension", "0")
+    assert {bytes(r.content)[:9] for r in trees.written_frames(spark, f"{tmp_path}/p/frames").collect()} == {b"2000x1000"}
+    read = cli.main(["ocr", "--frames-table", "--input", f"{tmp_path}/o/frames", "--out", f"{tmp_path}/q", "--ledger", f"{tmp_path}/l3"], spark)
+    assert [(r.rel_path, r.status) for r in read.collect()] == [("v", "Success (3)")]
+
+
+def test_missing_ocr_program_stops_the_stage(spark, tmp_path, monkeypatch):
+    monkeypatch.setenv("TESSERACT_CMD", f"{tmp_path}/none")
+    with pytest.raises(SystemExit, match="no OCR program"):
+        cli.main(["ocr", "--input", "x", "--out", "y", "--ledger", "z", "--engine", "tesseract"], spark)
+    program = tmp_path / "reader"
+    program.write_text('#!/bin/sh\n[ "$4" = eng ] && cat || exit 1\n')
+    program.chmod(0o755)
+    monkeypatch.setenv("TESSERACT_CMD", str(program))
+    assert engines.tesseract_installed() and engines.tesseract()(b" text ") == " text " and engines.tesseract("xx")(b"a") is None
+
+
+def test_hosted_model(monkeypatch):
+    import sys
+    from types import ModuleType, SimpleNamespace
+
+    seen = []
+
+    class Models:
+        def count_tokens(self, model, contents):
+            return SimpleNamespace(total_tokens=len(contents))
+
+        def generate_content_stream(self, model, contents, config):
+            seen.append((model, contents, config))
+            return iter([SimpleNamespace(text="a"), SimpleNamespace(text=None), SimpleNamespace(text="b")])
+
+    with pytest.raises(RuntimeError):
+        engines.genai_text(engines.Sampling())
+    google, genai = ModuleType("google"), ModuleType("google.genai")
+    google.genai, genai.Client = genai, lambda **k: SimpleNamespace(models=Models(), **k)
+    monkeypatch.setitem(sys.modules, "google", google)
+    monkeypatch.setitem(sys.modules, "google.genai", genai)
+    with pytest.raises(RuntimeError, match="are not set"):
+        engines.genai_text(engines.Sampling())
+    monkeypatch.setenv("GOOGLE_CLOUD_PROJECT", "p")
+    monkeypatch.setenv("GOOGLE_CLOUD_LOCATION", "l")
+    assert engines.genai_text(engines.Sampling("m", 0.1))("prompt", "text") == ("ab", 2, 1)
+    assert engines.made(engines.genai_images, sampling=engines.Sampling("m"))("prompt", [("n", "image/png", b"x")]) == ("ab", 2, 1)
+    assert seen[0][2]["temperature"] == 0.1 and seen[1][1][1] == {"inline_data": {"data": b"x", "mime_type": "image/png"}} and len(seen[1][2]["safety_settings"]) == 4
+
+
+def test_daemon_passes_without_arrivals(spark, tmp_path):
+    from datetime import datetime, timezone
+
+    dirs = lambda: spark.createDataFrame([(f"d{k}",) for k in range(4)], "rel_path string")
+    seen: list[list[str]] = []
+
+    def work(todo):
+        names = sorted(r.rel_path for r in todo.collect())
+        seen.append(names)
+        return spark.createDataFrame([(n, "Failed" if n == "d1" and len(seen) < 3 else "Success", 2, 0.5) for n in names], "rel_path string, status string, n_items int, cost_usd double")
+
+    since = datetime.now(timezone.utc)
+
+    def until(passes, **more):
+        query = daemon.watch(daemon.ticks(spark), dirs, f"{tmp_path}/l", f"{tmp_path}/state", "s", work, "1 second", **more)
+        for _ in range(600):
+            if len(seen) >= passes or not query.isActive:
+                break
+            query.awaitTermination(0.1)
+        daemon.stop(query)
+
+    until(3, start=1, end=3)
+    assert seen[0] == ["d1", "d2"] and seen[1] == ["d0", "d1", "d3"] and seen[2] == ["d1"]
+    told = daemon.summary(spark, f"{tmp_path}/l", "s", since).first()
+    assert (told.attempted, told.successful, told.failed, told.frames) == (6, 4, 2, 8) and told.cost_usd == 3.0
+    del seen[:]
+    until(1, start=9, end=10, clamp=False)  # a strict range that is out of range, after a restart
+    assert seen[0] == []
+
+
 def test_cleaned_text_survives_the_model_chain(spark):
     import __spark_entry__ as entry
 
