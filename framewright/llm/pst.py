@@ -9,12 +9,18 @@ differs from that after its longest retained suffix by more than the description
 sum n * ln(P(x | context) / P(x | suffix)) > entries / 2 * ln(n(context)). Distributions are smoothed by taking a discount from
 each entry; the mass of all that has no entry is divided as the suffix's distribution divides it; the root is the add-one
 unigram model, so that probabilities over all words (and one unseen) sum to one. A token is scored in the state of the longest retained suffix.
-``theta`` adds a least share of the tokens to ``LEAST``; it is 0 unless given, so the tree grows with the corpus.
+``LEAST`` is a count, not a share, and nothing else bounds the tree, so it grows with the corpus.
 
-Counting: symbols and sequences are 64-bit hashes. Each block of texts asks for its distinct sequences of a width, cut by hash into
-parts as binary columns; a part sums its blocks' counts and answers each block which sequences are frequent. Both parts of a
-frequent sequence that are one symbol shorter are frequent, so only such are asked for. Frequent sequences, retained contexts and their
-probabilities are tables, joined per depth, and go back to the blocks in the same way; the driver receives sums only.
+1. Each block of texts (``BLOCK`` bytes) sends its distinct words with their counts, cut by hash into parts. A part numbers its
+   symbols and answers each block with the numbers and whole counts of its words.
+2. Each block sends every position with its ``DEPTH`` symbols before, dealt by the symbol just before. All contexts that end in a symbol, and all that
+   follows them, so meet in one part, with the whole branch of the tree below that symbol: it counts, tests from the shortest context to the longest, and scores its positions, and
+   sends each block the sums of its texts.
+3. A symbol with over ``HOT`` times the positions of a part is dealt by the two symbols before. Its own followers are then counted
+   beforehand: blocks send their pairs, which are dealt by both symbols, and a row of sums per such symbol decides its test.
+
+A part so holds a bounded number of positions, unless one pair of words has more; ``PART`` is that bound. Counts are exact at any size. Words and
+numbers are 64-bit hashes. Blocks are cut twice in the same way; if they differ (a source that changes between two reads), the job fails.
 
 Nulls: a null text is empty and has the end as its only token; a null doc_id counts as the empty text for the fold.
 Repeated rows count as often as they occur. Without training rows every token is unseen. An empty table gives an empty result.
@@ -25,11 +31,11 @@ from __future__ import annotations
 import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
-from dataclasses import dataclass
-from functools import cached_property, reduce
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,47 +48,67 @@ LEAST = 2
 DEPTH = 3
 DISCOUNT = 0.75
 BLOCK = 8 << 20
+PART = 2_000_000
+HOT = 2
 END = U(0x454E44)
-END_KEY = int(END)
-RARE = 0
-PART = 1 << 21
+NONE, RARE, END_NUMBER, FIRST = 0, 1, 2, 3
+"""Numbers of symbols: none before a text's first word, rare words, the end; words have those from FIRST."""
+
+ASKED = "block long, part long, hashes binary, n binary, tokens long"
+ANSWER = "block long, part long, numbers binary, n binary, tokens long, total long, distinct long, ends long, rare long, rare_words long, top long, most long"
+BLOCKS = "block long, docs array<long>, train binary, lens binary, words binary, keys binary"
+PAIRS = "block long, part long, last binary, symbol binary, n binary, mass binary"
+PAIRED = "block long, part long, n binary, symbol long, entries long, held double, mass double, gain double"
+DEALT = "block long, part long, docs array<long>, train binary, sums binary, positions binary, n long"
+SCORED = "block long, docs array<long>, train binary, sums binary, places binary"
+RESULT = "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double"
+ENTRIES = "context array<long>, symbol long, n long, ln double"
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _table(schema: str, columns: list) -> pa.Table:
+    return pa.Table.from_arrays([c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c) for c in columns], names=_names(schema))
+
 
-BLOCKS = "block long, docs array<long>, train binary, lens binary, words binary, keys binary, own binary, trained long, ends long"
-STATE = "block long, docs array<long>, train binary, lens binary, words binary, keys binary, counts binary, seen binary, rare long, gram long, context long, suffix long, n long"
-ASKED = "block long, part long, hashes binary, n binary"
-ANSWER = "block long, part long, level binary, n binary"
-VALUES = "part long, grams binary, v binary, slack binary"
+def _binary(values: list) -> pa.Array:
+    return pa.array(values, pa.binary())
+
+
+def _longs(values) -> pa.Array:
+    return pa.array(values, pa.int64())
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """All first bytes, then all second ones and so on, which compresses sorted or small numbers."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+
+
+def _numbers(raw: bytes, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
 def _pack(ids: np.ndarray) -> bytes:
-    """Word numbers as 16 low bits each, then 8 high bits each: the second half is nearly all zero."""
-    return (ids & 0xFFFF).astype("<u2").tobytes() + (ids >> 16).astype(np.uint8).tobytes()
+    """Small numbers as planes of as many bytes as the largest needs, after that number of bytes."""
+    width = max(1, (int(ids.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + b"".join(((ids >> (8 * k)) & 255).astype(np.uint8).tobytes() for k in range(width))
 
 
 def _unpack(raw: bytes) -> np.ndarray:
-    n = len(raw) // 3
-    return np.frombuffer(raw, "<u2", n).astype(np.int64) | np.frombuffer(raw, np.uint8, n, 2 * n).astype(np.int64) << 16
+    width = raw[0]
+    planes = np.frombuffer(raw, np.uint8, offset=1).reshape(width, -1).astype(np.int64)
+    return sum(planes[k] << (8 * k) for k in range(width))
 
 
-def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per block of texts: word numbers, the block's words and how often its training texts have them."""
-    block, held, size = TaskContext.get().partitionId() << 24, [], 0
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, np.ndarray, list[np.ndarray]]]:
+    """Blocks of texts: number, doc_ids, whether each is for training, and each one's word hashes with the end."""
+    block, size, held = TaskContext.get().partitionId() << 24, 0, []
 
-    def flush() -> pa.RecordBatch:
-        nonlocal block, held, size
-        ids, train, lists = [i for h in held for i in h[0]], np.array([t for h in held for t in h[1]], bool), [w for h in held for w in h[2]]
-        lens = np.array([len(w) for w in lists], np.int64)
-        key, back = np.unique(np.concatenate(lists), return_inverse=True)
-        order = np.argsort(-np.bincount(back), kind="stable")
-        number = np.empty(len(key), np.int64)
-        number[order] = np.arange(len(key))
-        local = number[back]
-        assert len(key) < 1 << 24
-        own = np.bincount(local, np.repeat(train, lens), len(key)).astype("<u4")
-        row = (block, ids, train.tobytes(), lens.tobytes(), _pack(local), key[order].tobytes(), own.tobytes(), int(lens[train].sum()), int(train.sum()))
-        held, size, block = [], 0, block + 1
-        kinds = (pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 5, pa.int64(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], names=[c.split()[0] for c in BLOCKS.split(", ")])
+    def flush() -> tuple[int, list, np.ndarray, list[np.ndarray]]:
+        return block, [i for h in held for i in h[0]], np.array([t for h in held for t in h[1]], bool), [w for h in held for w in h[2]]
 
     for batch in batches:
         ids, train = batch.column("doc_id").cast(pa.int64()).to_pylist(), batch.column("train").to_pylist()
@@ -92,12 +118,33 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size += len(data) + j - i
             if size >= BLOCK:
                 yield flush()
+                block, size, held = block + 1, 0, []
     if held:
         yield flush()
 
 
+def _cut(part: np.ndarray, parts: int, columns: list[np.ndarray]) -> Iterator[tuple[int, list[bytes]]]:
+    """Rows dealt to parts: each part that has some, with its columns as bytes."""
+    order = np.argsort(part, kind="stable")
+    ends = np.searchsorted(part[order], np.arange(parts + 1))
+    columns = [c[order] for c in columns]
+    for k in np.flatnonzero(np.diff(ends)).tolist():
+        yield k, [_planes(c[ends[k] : ends[k + 1]]) for c in columns]
+
+
+def _pasted(pieces: list[tuple[int, np.ndarray]], part: np.ndarray, kind: type) -> np.ndarray:
+    """The answers of the parts, (part, values), back in the order of what was dealt."""
+    out = np.empty(len(part), kind)
+    values = [v for _, v in sorted(pieces, key=lambda p: p[0])]
+    joined = np.concatenate([np.zeros(0, kind), *values])
+    if len(joined) != len(part):
+        raise ValueError("the texts are not those that were counted; write them to a table first")
+    out[np.argsort(part, kind="stable")] = joined
+    return out
+
+
 @contextmanager
-def _whole_blocks(spark: SparkSession) -> Iterator[None]:
+def _whole_groups(spark: SparkSession) -> Iterator[None]:
     """Rows of whole blocks go to Python a few at a time, small ones many."""
     limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": "65536", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
     before = {key: spark.conf.get(key) for key in limits}
@@ -120,389 +167,419 @@ def _forget(spark: SparkSession, *tables: DataFrame) -> None:
     spark._jvm.System.gc()
 
 
-class Block:
-    """A block's tokens as arrays."""
+@dataclass
+class Hot:
+    """Symbols that are spread over parts, sorted, with what their test decided."""
 
-    def __init__(self, row: dict, floor: float):
-        self.lens = np.frombuffer(row["lens"], np.int64)
-        self.train = np.repeat(np.frombuffer(row["train"], bool), self.lens)
-        self.first = np.repeat(np.cumsum(self.lens) - self.lens, self.lens)
-        self.local = _unpack(row["words"])
-        self.keys = np.frombuffer(row["keys"], U)
-        self.counts = np.frombuffer(row["counts"], np.int64)
-        self.symbols = np.where((self.counts >= floor) | (self.keys == END), self.keys, U(RARE))[self.local]
-        self.seen = np.frombuffer(row["seen"], np.uint8)
-
-    def grams(self, width: int) -> np.ndarray:
-        """Hash of the ``width`` symbols that end at each position; a single symbol is its own."""
-        if width == 1:
-            return self.symbols
-        code = self.symbols * tk._PLACE[0]
-        for k in range(1, width):
-            code[k:] += self.symbols[:-k] * tk._PLACE[k]
-        return tk.mix(code + U(width))
-
-    def frequent(self, width: int) -> np.ndarray:
-        """Where a frequent sequence of ``width`` symbols ends."""
-        return self.seen >= width
-
-    def possible(self, width: int) -> np.ndarray:
-        """Positions of sequences of which both shorter parts are frequent."""
-        ok = self.frequent(width - 1) & (np.arange(len(self.first)) - self.first >= width - 1)
-        ok[1:] &= self.frequent(width - 1)[:-1]
-        return np.flatnonzero(ok)
+    symbol: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    kept: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))
+    size: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    off: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    slack: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
+    def at(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``symbol`` are hot, and where they are here."""
+        if not len(self.symbol):
+            return np.zeros(len(symbol), bool), np.zeros(len(symbol), np.int64)
+        place = np.minimum(np.searchsorted(self.symbol, symbol), len(self.symbol) - 1)
+        return self.symbol[place] == symbol, place
 
-def _planes(x: np.ndarray) -> bytes:
-    """All first bytes, then all second ones and so on, which compresses sorted or small numbers."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
 
+@dataclass
+class Corpus:
+    """The corpus-wide sums, and where positions are dealt."""
 
-def _numbers(raw: bytes, kind: str) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
+    tokens: int
+    total: int
+    distinct: int
+    rare: int
+    rare_words: int
+    word_parts: int
+    parts: int
+    kind: str
+    least: int
+    depth: int
+    discount: float
+    hot: Hot = field(default_factory=Hot)
 
+    @property
+    def norm(self) -> float:
+        return float(self.total + self.distinct + 1)
 
-def _cut(block: int, hashes: np.ndarray, n: np.ndarray, parts: int) -> pa.RecordBatch:
-    """Sorted distinct hashes as one row per part."""
-    part = hashes.view(np.int64) % parts
-    order = np.argsort(part, kind="stable")
-    ends = np.searchsorted(part[order], np.arange(parts + 1))
-    hashes, n = hashes[order], n.astype("<u4")[order]
-    pieces = [(k, a, b) for k, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)) if b > a]
-    columns = [pa.array([block] * len(pieces), pa.int64()), pa.array([k for k, _, _ in pieces], pa.int64()), *(pa.array([_planes(x[a:b]) for _, a, b in pieces], pa.binary()) for x in (hashes, n))]
-    return pa.RecordBatch.from_arrays(columns, names=["block", "part", "hashes", "n"])
 
+class Block:
+    """A block's tokens with their symbols and counts."""
 
-def _pasted(answers: pa.Table, column: str, kind: type, parts: np.ndarray) -> np.ndarray:
-    """The answers to sorted distinct hashes, in their order."""
-    rows = answers.select(["part", column]).sort_by("part").column(column).to_pylist()
-    out = np.zeros(len(parts), kind)
-    out[np.argsort(parts, kind="stable")] = np.frombuffer(b"".join(rows), kind)
-    return out
+    def __init__(self, left: pa.Table, right: pa.Table, corpus: Corpus) -> None:
+        row = left.to_pylist()[0]
+        self.block, self.docs, self.train = row["block"], row["docs"], np.frombuffer(row["train"], bool)
+        self.lens = np.frombuffer(row["lens"], np.int64)
+        keys, local = np.frombuffer(row["keys"], U), _unpack(row["words"])
+        order = np.argsort(keys)  # as they were asked for
+        part, back = (keys[order] % U(corpus.word_parts)).astype(np.int64), np.argsort(order)
+        pieces = [(p["part"], _numbers(p["numbers"], "<i8"), _numbers(p["n"], "<i8")) for p in right.to_pylist() if p["numbers"] is not None]
+        number = _pasted([(p, v) for p, v, _ in pieces], part, np.int64)[back]
+        count = _pasted([(p, v) for p, _, v in pieces], part, np.int64)[back]
+        rare = number == RARE
+        mass = np.where(rare, corpus.rare + corpus.rare_words, count)
+        inside = np.where(rare, np.log10((count + 1) / (corpus.rare + corpus.rare_words + 1.0)), 0.0)
+        self.symbol, self.mass = number[local], mass[local]
+        self.count, self.inside = count[local], inside[local]
+        self.first = np.cumsum(self.lens) - self.lens
+        self.text = np.repeat(np.arange(len(self.lens)), self.lens)
+        self.place = np.arange(len(local)) - self.first[self.text]
+        self.trained = self.train[self.text]
+
+    def sums(self, corpus: Corpus) -> np.ndarray:
+        """Per text: tokens, known tokens, base score, and the score of what needs no context (all shares inside RARE, and the first token)."""
+        base = np.log10((self.count + 1) / corpus.norm)
+        known = (self.count > 0).astype(float)
+        own = np.add.reduceat(self.inside, self.first) + np.log10((self.mass[self.first] + 1) / corpus.norm)
+        return np.stack([self.lens.astype(float), np.add.reduceat(known, self.first), np.add.reduceat(base, self.first), own])
+
+
+def _ask_words(parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, _, train, lists in _texts(batches):
+            lens = np.array([len(w) for w in lists], np.int64)
+            keys, back = np.unique(np.concatenate(lists), return_inverse=True)
+            n = np.bincount(back, np.repeat(train, lens), len(keys)).astype("<u4")
+            pieces = list(_cut((keys % U(parts)).astype(np.int64), parts, [keys, n]))
+            tokens = [int(lens.sum()), *[0] * (len(pieces) - 1)]
+            columns = [_longs([block] * len(pieces)), _longs([k for k, _ in pieces]), *(_binary([c[i] for _, c in pieces]) for i in (0, 1)), _longs(tokens)]
+            yield pa.RecordBatch.from_arrays(columns, names=_names(ASKED))
+
+    return run
 
 
-def _sum(floor: float, words: bool):
-    """For a part: the whole count of each hash. A block learns whether a sequence is frequent (1), and of one block's (2) the count as well; of a word the count."""
+def _number_words(parts: int, least: int):
+    """Of a part: the number and whole count of each word, for every block that asked; frequent words have small numbers."""
 
     def run(group: pa.Table) -> pa.Table:
+        part = group.column("part")[0].as_py()
         hashes = [_numbers(x.as_py(), "<u8") for x in group.column("hashes")]
         times = np.concatenate([_numbers(x.as_py(), "<u4") for x in group.column("n")])
-        _, first, back = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-        total = np.bincount(back, times).astype(np.int64)[back]
-        level = (total >= (1 if words else floor)).astype(np.uint8)
-        chosen = np.zeros(len(level), bool)
-        chosen[first] = True
-        level[chosen & (level > 0)] = 2
-        ends = np.cumsum([len(h) for h in hashes])
-        cut = [slice(e - len(h), e) for e, h in zip(ends.tolist(), hashes, strict=True)]
-        n = [total[c].tobytes() if words else total[c][level[c] == 2].tobytes() for c in cut]
-        return pa.Table.from_arrays([group.column("block"), group.column("part"), pa.array([level[c].tobytes() for c in cut], pa.binary()), pa.array(n, pa.binary())], names=["block", "part", "level", "n"])
+        word, back = np.unique(np.concatenate(hashes), return_inverse=True)
+        total = np.bincount(back, times, len(word)).astype(np.int64)
+        end = word == END
+        named = (total >= least) & ~end
+        order = np.lexsort((word, -total))
+        order = order[named[order]]
+        number = np.full(len(word), RARE, np.int64)
+        number[order] = FIRST + np.arange(len(order)) * parts + part
+        number[end] = END_NUMBER
+        seldom = total[(total > 0) & ~named & ~end]
+        tokens = sum(group.column("tokens").to_pylist())
+        facts = [tokens, int(total.sum()), int((total > 0).sum()), int(total[end].sum()), int(seldom.sum()), len(seldom), int(number.max()), int(total[~end].max(initial=0))]
+        n, ends = len(hashes), np.cumsum([len(h) for h in hashes])
+        cut = [back[e - len(h) : e] for e, h in zip(ends.tolist(), hashes, strict=True)]
+        answers = [_binary([_planes(x[c]) for c in cut]) for x in (number, total)]
+        return _table(ANSWER, [group.column("block"), group.column("part"), *answers, *(_longs([f, *[None] * (n - 1)]) for f in facts)])
 
     return run
 
 
-def _state(row: dict, counts: np.ndarray | None, seen: np.ndarray, rare: int, described: tuple[np.ndarray, ...]) -> pa.Table:
-    """The block's row, then a row per frequent sequence that it describes: (sequence, context, suffix, count)."""
-    m = len(described[0])
-    values = (row["block"], row["docs"], row["train"], row["lens"], row["words"], row["keys"], row["counts"] if counts is None else counts.tobytes(), seen.tobytes(), rare)
-    kinds = (pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 6, pa.int64())
-    head = [pa.chunked_array([pa.array([v], k), pa.nulls(m, k)]) for v, k in zip(values, kinds, strict=True)]
-    tail = [pa.chunked_array([pa.nulls(1, pa.int64()), pa.array(d.view(np.int64))]) for d in described]
-    return pa.Table.from_arrays(head + tail, names=[c.split()[0] for c in STATE.split(", ")])
+def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same blocks again, whole: word numbers and the block's words."""
+    for block, docs, train, lists in _texts(batches):
+        lens = np.array([len(w) for w in lists], np.int64)
+        keys, back = np.unique(np.concatenate(lists), return_inverse=True)
+        order = np.argsort(-np.bincount(back), kind="stable")
+        place = np.empty(len(keys), np.int64)
+        place[order] = np.arange(len(keys))
+        row = (train.tobytes(), lens.tobytes(), _pack(place[back]), keys[order].tobytes())
+        yield pa.RecordBatch.from_arrays([_longs([block]), pa.array([docs], pa.list_(pa.int64())), *(_binary([x]) for x in row)], names=_names(BLOCKS))
+
+
+def _decisions(m: np.ndarray, held: np.ndarray, mass: np.ndarray, gain: np.ndarray, size: np.ndarray, discount: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of contexts with ``m`` entries of ``held`` together, whose suffix gives them ``mass``: kept, the discount, ln of what the suffix's other probabilities are multiplied by."""
+    size = np.maximum(size, 1.0)
+    rest, rest_up = size - held, np.maximum(1e-12, 1 - mass)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = gain - held * np.log(size) + np.where(rest > 0.5, rest * np.log(rest / size / rest_up), 0.0)
+        everything = rest_up < 1e-9  # every symbol has an entry: nothing to set aside
+        off = np.where(everything, 0.0, discount)
+        free = np.where(everything, 1.0, (1 - (held - m * off) / size) / rest_up)
+        return (m > 0) & (gain > m / 2 * np.log(np.maximum(size, 2.0))), off, np.log(free)
 
 
-_NO_STATE = pa.schema([("block", pa.int64()), ("docs", pa.list_(pa.int64())), *((c, pa.binary()) for c in ("train", "lens", "words", "keys", "counts", "seen")), *((c, pa.int64()) for c in ("rare", "gram", "context", "suffix", "n"))])
+def _pairs(group_key: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Distinct pairs: where each is first, each row's pair, and how many."""
+    if symbol.max(initial=0) >> 32:
+        symbol = np.unique(symbol, return_inverse=True)[1]
+    _, first, back = np.unique((group_key.astype(U) << U(32)) | symbol.astype(U), return_index=True, return_inverse=True)
+    return first, back, len(first)
 
 
-@dataclass
-class Corpus:
-    """The encoded texts and the corpus-wide sums."""
+def _branch(before: list[np.ndarray], symbol: np.ndarray, mass: np.ndarray, train: np.ndarray, paired: np.ndarray, corpus: Corpus, entries: list | None = None) -> np.ndarray:
+    """ln of the probability of each position's symbol, given all positions after the same symbols.
 
-    texts: DataFrame
-    words: DataFrame
-    """(gram, n): every symbol and its training count; that of RARE is of all its words together."""
-    total: int
-    distinct: int
-    symbols: int
-    rare: int
-    rare_words: int
-    floor: float
-    parts: int
+    ``paired``: how often a hot symbol is followed by the position's symbol in all. ``entries``: gets the retained contexts' entries.
+    """
+    value = np.log((mass + 1) / corpus.norm)
+    alive = np.arange(len(symbol))
+    entry = np.unique(symbol, return_inverse=True)[1]
+    context = np.zeros(len(symbol), np.int64)
+    for length, last in enumerate(before, 1):
+        there = last[alive] != NONE
+        alive, entry, context = alive[there], entry[there], context[there]
+        if not len(alive):
+            break
+        own, weight, now = last[alive], train[alive], value[alive]
+        first_of, context, contexts = _pairs(context, own)
+        first, entry, n_entries = _pairs(entry, own)
+        n, size = np.bincount(entry, weight, n_entries), np.bincount(context, weight, contexts)
+        hot, place = corpus.hot.at(own[first_of]) if length == 1 else (np.zeros(contexts, bool), None)
+        above = context[first]
+        if hot.any():
+            n = np.where(hot[above], paired[alive[first]], n)
+        frequent, up = n >= corpus.least, now[first]
+        sums = lambda x: np.bincount(above[frequent], x, contexts)
+        some, above_up = n[frequent], up[frequent]
+        m, held, shared, gain = sums(None), sums(some), sums(np.exp(above_up)), sums(some * (np.log(some) - above_up))
+        kept, off, slack = _decisions(m, held, shared, gain, size, corpus.discount)
+        if hot.any():
+            at = place[hot]
+            kept[hot], off[hot], slack[hot], size[hot] = corpus.hot.kept[at], corpus.hot.off[at], corpus.hot.slack[at], corpus.hot.size[at]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            chance = np.log((n - off[above]) / size[above])
+        value[alive] = np.where(kept[context], np.where(frequent[entry], chance[entry], now + slack[context]), now)
+        if entries is not None:
+            names = np.stack([b[alive] for b in before[:length][::-1]], axis=1)
+            for e in np.flatnonzero(frequent & kept[above]).tolist():
+                entries.append((names[first[e]].tolist(), int(symbol[alive[first[e]]]), int(n[e]), float(chance[e])))
+            for c in np.flatnonzero(kept).tolist():
+                entries.append((names[first_of[c]].tolist(), None, int(size[c]), float(slack[c])))
+        more = m[context] > 0  # a longer context can have frequent entries only where its suffix has
+        alive, entry, context = alive[more], entry[more], context[more]
+    return value
+
+
+def _part_of(last: np.ndarray, second: np.ndarray, corpus: Corpus) -> np.ndarray:
+    """Positions are dealt by the symbol before; by the two before if that is hot."""
+    key = last.astype(U) + U(1)
+    hot, _ = corpus.hot.at(last)
+    key = np.where(hot, key + tk.mix(second.astype(U) + U(7)), key)
+    return (tk.mix(key) % U(corpus.parts)).astype(np.int64)
+
+
+def _deal(corpus: Corpus):
+    """A block's positions for the parts, and its texts' sums."""
 
-    def root(self, gram: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Probability of symbols without context."""
-        return np.where(gram == RARE, self.rare + self.rare_words + 1.0, n + 1.0) / (self.total + self.distinct + 1)
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            raise ValueError("the texts are not those that were counted; write them to a table first")
+        b = Block(left, right, corpus)
+        at = np.flatnonzero(b.place > 0)
+        before = [np.where(b.place[at] >= k, b.symbol[at - np.minimum(k, at)], NONE) for k in range(1, corpus.depth + 1)]
+        symbol, mass = b.symbol[at], b.mass[at]
+        paired = np.zeros(len(at), np.int64)
+        hot, _ = corpus.hot.at(before[0])
+        if hot.any():
+            where = np.flatnonzero(hot)
+            found = [(p["part"], _numbers(p["n"], "<i8")) for p in right.to_pylist() if p["numbers"] is None]
+            first, back, part = _hot_pairs(before[0][where], symbol[where], corpus)
+            paired[where] = _pasted(found, part, np.int64)[back]
+        place = b.text[at] << 1 | b.trained[at]
+        part = _part_of(before[0], before[1] if corpus.depth > 1 else before[0], corpus)
+        order = np.lexsort((*before[1:2], before[0], part))
+        ends = np.searchsorted(part[order], np.arange(corpus.parts + 1))
+        squeeze, rows = zstandard.ZstdCompressor(level=1), []
+        columns = [*(x.astype(corpus.kind)[order] for x in (*before, symbol)), mass[order], place.astype("<u4")[order], paired[order]]
+        for k in np.flatnonzero(np.diff(ends)).tolist():
+            piece = [c[ends[k] : ends[k + 1]] for c in columns]
+            for c in range(min(2, corpus.depth)):  # sorted, so their differences are small
+                piece[c] = np.diff(piece[c], prepend=piece[c].dtype.type(0))
+            rows.append((k, squeeze.compress(b"".join(map(_planes, piece))), len(piece[0])))
+        n = len(rows)
+        head = [_longs([b.block] * (n + 1)), _longs([int(tk.mix(np.array([b.block], U))[0] % U(corpus.parts)), *[k for k, _, _ in rows]]), pa.array([b.docs, *[None] * n], pa.list_(pa.int64()))]
+        tail = [_binary([b.train.tobytes(), *[None] * n]), _binary([b.sums(corpus).tobytes(), *[None] * n]), _binary([None, *[x for _, x, _ in rows]]), _longs([0, *[m for _, _, m in rows]])]
+        return _table(DEALT, head + tail)
 
+    return run
 
-def encode(docs: DataFrame, train: Column, theta: float = 0.0) -> Corpus:
-    """Count the words of the training rows and rewrite every text as symbols."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    blocks = table(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), train.alias("train")).mapInArrow(_encode, BLOCKS), "blocks")
-    total, ends, tokens = blocks.agg(F.coalesce(F.sum("trained"), F.lit(0)), F.coalesce(F.sum("ends"), F.lit(0)), F.coalesce(F.sum(F.octet_length("words")), F.lit(0))).first()
-    floor, parts = max(LEAST, theta * total), max(64, tokens // 3 // PART)
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                keys = np.frombuffer(row["keys"], U)
-                order = np.argsort(keys)
-                yield _cut(row["block"], keys[order], np.frombuffer(row["own"], "<u4")[order], parts)
+def _opened(group: pa.Table, corpus: Corpus) -> tuple[list[dict], list[np.ndarray]]:
+    """A part's pieces and the columns of all their positions."""
+    kinds = [*[corpus.kind] * (corpus.depth + 1), "<i8", "<u4", "<i8"]
+    pieces, columns = [], [[] for _ in kinds]
+    expand = zstandard.ZstdDecompressor()
+    for row in group.select(["block", "positions", "n"]).to_pylist():
+        if row["positions"] is None:
+            continue
+        raw, at = expand.decompress(row["positions"]), 0
+        for c, kind in enumerate(kinds):
+            size = np.dtype(kind).itemsize * row["n"]
+            x = _numbers(raw[at : at + size], kind)
+            columns[c].append(np.cumsum(x, dtype=x.dtype) if c < min(2, corpus.depth) else x)
+            at += size
+        pieces.append({"block": row["block"], "n": row["n"]})
+    return pieces, [np.concatenate(c) if c else np.zeros(0, k) for c, k in zip(columns, kinds, strict=True)]
 
-    def resolve(left: pa.Table, right: pa.Table) -> pa.Table:
-        row = left.to_pylist()[0]
-        keys = np.frombuffer(row["keys"], U)
-        order = np.argsort(keys)
-        part = keys[order].view(np.int64) % parts
-        counts, level = np.empty(len(keys), np.int64), np.empty(len(keys), np.uint8)
-        counts[order], level[order] = _pasted(right, "n", np.int64, part), _pasted(right, "level", np.uint8, part)
-        chosen = (level == 2) & (keys != END)
-        named = chosen & (counts >= floor)
-        nothing = np.zeros(int(named.sum()), np.int64)
-        return _state(row, counts, np.ones(len(row["words"]) // 3, np.uint8), int((chosen & ~named).sum()), (keys[named], nothing, nothing, counts[named]))
-
-    with _whole_blocks(spark):
-        answers = blocks.select("block", "keys", "own").mapInArrow(ask, ASKED).groupBy("part").applyInArrow(_sum(floor, True), ANSWER)
-        whole = blocks.drop("own", "trained", "ends").groupBy("block").cogroup(answers.groupBy("block"))
-        texts = table(whole.applyInArrow(resolve, STATE), "symbols")
-    del answers, whole
-    _forget(spark, blocks)
-    rare_words = texts.agg(F.coalesce(F.sum("rare"), F.lit(0))).first()[0]
-    named = texts.filter("gram is not null").select("gram", "n")
-    symbols, known = named.agg(F.count("n"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    rare = total - known - ends
-    words = named.unionByName(spark.createDataFrame([(RARE, int(rare)), (END_KEY, int(ends))], "gram long, n long"))
-    return Corpus(texts, words, total, symbols + rare_words + (ends > 0), symbols + 2, int(rare), int(rare_words), floor, parts)
-
-
-def _count(corpus: Corpus, width: int) -> tuple[DataFrame, DataFrame]:
-    """Blocks that know their frequent sequences of ``width`` symbols, and these: (gram, context, suffix, n)."""
-    floor, parts, texts = corpus.floor, corpus.parts, corpus.texts.filter("docs is not null")
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row, floor)
-                at = block.possible(width)
-                hashes, back = np.unique(block.grams(width)[at], return_inverse=True)
-                yield _cut(row["block"], hashes, np.bincount(back, block.train[at], len(hashes)), parts)
 
-    def resolve(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return _NO_STATE.empty_table()
-        row = left.to_pylist()[0]
-        block = Block(row, floor)
-        at = block.possible(width)
-        hashes, where, back = np.unique(block.grams(width)[at], return_index=True, return_inverse=True)
-        part = hashes.view(np.int64) % parts
-        level = _pasted(right, "level", np.uint8, part)
-        seen = block.seen.copy()
-        seen[at[level[back] > 0]] = width
-        order = np.argsort(part, kind="stable")
-        mine = order[level[order] == 2]  # as the counts come
-        n = np.frombuffer(b"".join(right.sort_by("part").column("n").to_pylist()), np.int64)
-        shorter, end = block.grams(width - 1), at[where[mine]]
-        return _state(row, None, seen, 0, (hashes[mine], shorter[end - 1], shorter[end], n))
-
-    with _whole_blocks(texts.sparkSession):
-        answers = table(texts.mapInArrow(ask, ASKED).groupBy("part").applyInArrow(_sum(floor, False), ANSWER), f"answers-{width}")
-        _forget(texts.sparkSession)
-        found = table(texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(resolve, STATE), f"grams-{width}")
-    _forget(texts.sparkSession, answers)
-    return found, found.filter("gram is not null").select("gram", "context", "suffix", "n")
+def _score_part(corpus: Corpus):
+    """A part's sums for the texts of each block; the texts' own sums pass through."""
 
+    def run(group: pa.Table) -> pa.Table:
+        pieces, (*before, symbol, mass, place, paired) = _opened(group, corpus)
+        value = _branch(before, symbol, mass, (place & 1).astype(float), paired, corpus) / np.log(10)
+        out, at = [(r["block"], r["docs"], r["train"], r["sums"], None) for r in group.select(["block", "docs", "train", "sums"]).to_pylist() if r["docs"] is not None], 0
+        for p in pieces:
+            text = place[at : at + p["n"]] >> 1
+            some = np.unique(text)
+            sums = np.bincount(np.searchsorted(some, text), value[at : at + p["n"]])
+            out.append((p["block"], None, None, sums.tobytes(), some.astype("<u4").tobytes()))
+            at += p["n"]
+        kinds = (pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary())
+        return _table(SCORED, [pa.array([r[c] for r in out], kind) for c, kind in enumerate(kinds)])
 
-@dataclass
-class Tree:
-    """The tree as tables; ``parent`` and ``log10`` gather it, for small ones only."""
-
-    corpus: Corpus
-    levels: list[DataFrame]
-    """Per width from 2: gram, context, suffix, n and v, the ln of the last symbol's probability after the context's longest retained suffix."""
-    contexts: list[DataFrame]
-    """Per width from 1: gram of a retained context and its slack, ln of what the suffix's probabilities of symbols without entry are multiplied by."""
-
-    def values(self) -> DataFrame:
-        """gram, v, slack of all sequences."""
-        none = F.lit(None).cast("double")
-        entries = [level.select("gram", F.col("v").cast("double").alias("v"), none.alias("slack")) for level in self.levels]
-        kept = [c.select("gram", none.alias("v"), "slack") for c in self.contexts]
-        return reduce(DataFrame.unionByName, entries + kept)
-
-    @cached_property
-    def _gathered(self) -> tuple[list[int], list[float], dict, np.ndarray]:
-        words = self.corpus.words.collect()
-        order = {RARE: 0, END_KEY: 1}
-        for r in sorted((r for r in words if r.gram not in order), key=lambda r: (-r.n, r.gram)):
-            order[r.gram] = len(order)
-        root = np.zeros(len(order))
-        for r in words:
-            root[order[r.gram]] = np.log10(self.corpus.root(np.array([r.gram]), np.array([r.n]))[0])
-        suffix, last, parent, slack, state, chance = {}, dict(order), [0], [0.0], {}, {}
-        for level, kept in zip(self.levels, self.contexts, strict=True):
-            for r in kept.collect():
-                up = suffix.get(r.gram)
-                while up is not None and up not in state:
-                    up = suffix.get(up)
-                state[r.gram] = len(parent)
-                parent.append(state[up] if up is not None else 0), slack.append(r.slack / np.log(10))
-            for r in level.collect():
-                suffix[r.gram], last[r.gram] = r.suffix, last[r.suffix]
-                if r.context in state:
-                    chance[state[r.context], last[r.gram]] = r.v / np.log(10)
-        return parent, slack, chance, root
+    return run
 
-    @property
-    def parent(self) -> list[int]:
-        return self._gathered[0]
 
-    def log10(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """log10 P(symbol | state); symbols are numbered RARE, end, words by falling count."""
-        parent, slack, chance, root = self._gathered
+def _sum_block(group: pa.Table) -> pa.Table:
+    rows = group.to_pylist()
+    own = next(r for r in rows if r["docs"] is not None)
+    tokens, known, base, score = np.frombuffer(own["sums"], np.float64).reshape(4, -1).copy()
+    for r in rows:
+        if r["places"] is not None:
+            score[np.frombuffer(r["places"], "<u4")] += np.frombuffer(r["sums"], np.float64)
+    columns = [_longs(own["docs"]), pa.array(np.frombuffer(own["train"], bool)), _longs(tokens.astype(np.int64)), _longs(known.astype(np.int64)), pa.array(base), pa.array(score)]
+    return _table(RESULT, columns)
 
-        def one(s: int, x: int) -> float:
-            if s == 0:
-                return root[x]
-            return chance[s, x] if (s, x) in chance else slack[s] + one(parent[s], x)
 
-        return np.array([one(s, x) for s, x in zip(state.tolist(), symbol.tolist(), strict=True)])
+def _hot_pairs(last: np.ndarray, symbol: np.ndarray, corpus: Corpus) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of a hot symbol and its follower: where each is first, each row's pair, and the part it is dealt to."""
+    order = np.unique(last, return_inverse=True)[1]
+    first, back, _ = _pairs(order, symbol)
+    part = (tk.mix(last[first].astype(U) * U(0x9E3779B97F4A7C15) + symbol[first].astype(U)) % U(corpus.parts)).astype(np.int64)
+    return first, back, part
 
 
-def grow(corpus: Corpus, depth: int = DEPTH, theta: float = 0.0, discount: float = DISCOUNT, links: bool = True) -> Tree:
-    """Count the sequences, test every context against its suffix, and smooth the retained ones.
+def _ask_pairs(corpus: Corpus):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        b = Block(left, right, corpus)
+        at = np.flatnonzero(b.place > 0)
+        at = at[corpus.hot.at(b.symbol[at - 1])[0]]
+        last, symbol = b.symbol[at - 1], b.symbol[at]
+        first, back, part = _hot_pairs(last, symbol, corpus)
+        n = np.bincount(back, b.trained[at], len(first)).astype(np.int64)
+        pieces = list(_cut(part, corpus.parts, [last[first], symbol[first], n, b.mass[at][first]]))
+        return _table(PAIRS, [_longs([b.block] * len(pieces)), _longs([k for k, _ in pieces]), *(_binary([c[i] for _, c in pieces]) for i in range(4))])
 
-    The blocks of ``corpus`` know their frequent sequences afterwards. Without ``links`` the tree can't be gathered.
-    """
-    spark = corpus.texts.sparkSession
-    corpus.floor = max(corpus.floor, theta * corpus.total)
-    norm = float(corpus.total + corpus.distinct + 1)
-    mass = F.when(F.col("gram") == RARE, F.lit(corpus.rare + corpus.rare_words + 1.0)).otherwise(F.col("n") + 1.0)
-    corpus.words = table(corpus.words, "words")
-    before = corpus.words.select("gram", "n", F.log(mass / norm).alias("v"))
-    tree = Tree(corpus, [], [])
-    for width in range(2, depth + 2):
-        texts, grams = _count(corpus, width)
-        _forget(spark, corpus.texts)
-        corpus.texts, chain = texts, ["suffix"] if links else []
-        joined = grams.join(before.select(F.col("gram").alias("suffix"), F.col("v").alias("up")), "suffix")
-        joined = table(joined.select("gram", "context", *chain, "n", "up"), f"joined-{width}")
-        _forget(spark)
-        sums = joined.groupBy("context").agg(F.count("n").alias("m"), F.sum("n").cast("double").alias("held"), F.sum(F.exp("up")).alias("mass"), F.sum(F.col("n") * (F.log("n") - F.col("up"))).alias("g"))
-        tests = sums.join(before.select(F.col("gram").alias("context"), F.col("n").cast("double").alias("size")), "context")
-        tests = tests.withColumn("rest", F.col("size") - F.col("held")).withColumn("rest_up", F.greatest(F.lit(1e-12), 1 - F.col("mass")))
-        gain = F.col("g") - F.col("held") * F.log("size") + F.when(F.col("rest") > 0.5, F.col("rest") * F.log(F.col("rest") / F.col("size") / F.col("rest_up"))).otherwise(0.0)
-        off = F.when(F.col("rest_up") < 1e-9, 0.0).otherwise(discount)  # else every symbol has an entry: nothing to set aside
-        free = F.when(F.col("rest_up") < 1e-9, 1.0).otherwise((1 - (F.col("held") - F.col("m") * discount) / F.col("size")) / F.col("rest_up"))
-        kept = table(tests.filter(gain > F.col("m") / 2 * F.log(F.greatest("size", F.lit(2.0)))).select(F.col("context").alias("gram"), "size", off.alias("off"), F.log(free).alias("slack")), f"contexts-{width}")
-        del sums, tests
-        _forget(spark)
-        own = joined.join(kept.withColumnRenamed("gram", "context"), "context", "left")
-        v = F.when(F.col("size").isNull(), F.col("up")).otherwise(F.log((F.col("n") - F.col("off")) / F.col("size")))
-        level = table(own.select("gram", *(["context", "suffix"] if links else []), "n", v.cast("float").alias("v")), f"level-{width}")
-        tree.levels.append(level), tree.contexts.append(kept.select("gram", "slack"))
-        del own
-        _forget(spark, joined)
-        before = level.select("gram", "n", F.col("v").cast("double").alias("v"))
-    return tree
-
-
-def score(docs: DataFrame, train: Column, depth: int = DEPTH, theta: float = 0.0) -> DataFrame:
-    """doc_id, train, n_tokens, n_known, train_tokens, base_score, score of every whole text."""
+    return run
+
+
+def _sum_pairs(corpus: Corpus):
+    """The whole count of each pair for the blocks that have it, and per hot symbol the sums of its test."""
+
+    def run(group: pa.Table) -> pa.Table:
+        columns = [[_numbers(x.as_py(), "<i8") for x in group.column(c)] for c in ("last", "symbol", "n", "mass")]
+        lens = [len(x) for x in columns[0]]
+        last, symbol, times, mass = (np.concatenate(c) for c in columns)
+        names, order = np.unique(last, return_inverse=True)
+        first, back, pairs = _pairs(order, symbol)
+        n = np.bincount(back, times, pairs)
+        above, up = order[first], np.log((mass[first] + 1) / corpus.norm)
+        frequent = n >= corpus.least
+        sums = lambda x: np.bincount(above[frequent], x, len(names))
+        some, above_up = n[frequent], up[frequent]
+        facts = [sums(None).astype(np.int64), sums(some), sums(np.exp(above_up)), sums(some * (np.log(some) - above_up))]
+        total = n.astype(np.int64)[back]
+        ends, k = np.cumsum(lens), len(names)
+        answers = [_planes(total[e - m : e]) for e, m in zip(ends.tolist(), lens, strict=True)]
+        nothing = [None] * len(answers)
+        stated = [_longs([*nothing, *names.tolist()]), _longs([*nothing, *facts[0].tolist()]), *(pa.array([*nothing, *f.tolist()], pa.float64()) for f in facts[1:])]
+        part = group.column("part").to_pylist()
+        return _table(PAIRED, [_longs([*group.column("block").to_pylist(), *[None] * k]), _longs([*part, *part[:1] * k]), _binary([*answers, *[None] * k]), *stated])
+
+    return run
+
+
+def _prepared(docs: DataFrame, train: Column, depth: int, least: int, discount: float, part: int) -> tuple[Corpus, DataFrame, DataFrame, list[DataFrame]] | None:
+    """The corpus, its blocks (not yet made), the answers that they need, and the tables to delete in the end; None without texts."""
     spark = docs.sparkSession
-    corpus = encode(docs, train, theta)
-    tree = grow(corpus, depth, theta, links=False)
-    texts = corpus.texts.filter("docs is not null")
-    floor, parts, total, distinct, rare, rare_words = corpus.floor, corpus.parts, corpus.total, corpus.distinct, corpus.rare, corpus.rare_words
-
-    def wanted(block: Block) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-        """Each token's longest frequent sequence and the frequent contexts longer than its own: positions and hashes."""
-        longest, contexts = np.zeros(len(block.seen), U), []
-        for width in range(2, depth + 2):
-            hashes = block.grams(width)
-            at = block.seen == width
-            longest[at] = hashes[at]
-        for length in range(1, depth + 1):
-            at = np.flatnonzero((block.seen <= length) & (np.arange(len(block.first)) - block.first >= length))
-            at = at[block.frequent(length)[at - 1]]
-            contexts.append((at, block.grams(length)[at - 1]))
-        at = np.flatnonzero(block.seen > 1)
-        return at, longest[at], contexts
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                _, longest, contexts = wanted(Block(row, floor))
-                hashes = np.unique(np.concatenate([longest, *(h for _, h in contexts)]))
-                yield _cut(row["block"], hashes, np.zeros(len(hashes)), parts)
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def flush() -> pa.RecordBatch:
-            rows = pa.Table.from_batches(held)
-            held.clear()
-            gram = rows.column("gram").to_numpy()
-            order = np.lexsort((gram.view(U), gram % parts))
-            part, columns = (gram % parts)[order], [gram.view(U)[order], *(rows.column(c).to_numpy()[order].astype(np.float32) for c in ("v", "slack"))]
-            begin = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-            cut = list(zip(begin.tolist(), [*begin.tolist()[1:], len(part)], strict=True))
-            return pa.RecordBatch.from_arrays([pa.array(part[begin]), *(pa.array([_planes(x[a:b]) for a, b in cut], pa.binary()) for x in columns)], names=["part", "grams", "v", "slack"])
+    small_batches(spark)
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), train.alias("train"))
+    word_parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    asked = texts.mapInArrow(_ask_words(word_parts), ASKED)
+    with _whole_groups(spark):
+        answers = table(asked.groupBy("part").applyInArrow(_number_words(word_parts, least), ANSWER), "words")
+    _forget(spark)
+    facts = [F.sum(c) for c in ("tokens", "total", "distinct", "ends", "rare", "rare_words")]
+    tokens, total, distinct, _, rare, rare_words, top, most = answers.agg(*facts, F.max("top"), F.max("most")).first()
+    if tokens is None:
+        return None
+    kind = "<u4" if top < 1 << 32 else "<u8"
+    corpus = Corpus(tokens, total, distinct, rare, rare_words, word_parts, max(1, -(-tokens // part)), kind, least, depth, discount)
+    blocks, needed, made = texts.mapInArrow(_encode, BLOCKS), answers.select("block", "part", "numbers", "n"), [answers]
+    if max(most, rare) > HOT * part:
+        corpus.hot = _hot_symbols(answers, HOT * part, rare)
+        with _whole_groups(spark):
+            pairs = blocks.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(_ask_pairs(corpus), PAIRS)
+            paired = table(pairs.groupBy("part").applyInArrow(_sum_pairs(corpus), PAIRED), "pairs")
+        _forget(spark)
+        made.append(paired)
+        sums = paired.filter("symbol is not null").groupBy("symbol").agg(F.sum("entries"), F.sum("held"), F.sum("mass"), F.sum("gain")).toPandas()  # a row per hot symbol
+        place = np.searchsorted(corpus.hot.symbol, sums["symbol"].to_numpy())
+        columns = np.zeros((4, len(corpus.hot.symbol)))
+        columns[:, place] = sums.iloc[:, 1:].to_numpy(float).T
+        corpus.hot.kept, corpus.hot.off, corpus.hot.slack = _decisions(*columns, corpus.hot.size, discount)
+        numbers = F.lit(None).cast("binary").alias("numbers")
+        needed = needed.unionByName(paired.filter("symbol is null").select("block", "part", numbers, "n"))
+    return corpus, blocks, needed, made
 
+
+def _hot_symbols(answers: DataFrame, least: int, rare: int) -> Hot:
+    """Symbols with more than ``least`` training tokens, RARE included: at most tokens / ``least`` of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                held.append(batch)
-            if sum(h.num_rows for h in held) > 1_000_000:
-                yield flush()
-        if held:
-            yield flush()
-
-    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-        joined = lambda c, kind: np.concatenate([np.zeros(0, kind), *(_numbers(x.as_py(), kind) for x in right.column(c))])
-        gram = joined("grams", "<u8")
-        out: list[list[bytes]] = [[], []]
-        tables = []
-        for name, default in (("v", np.nan), ("slack", 0.0)):
-            value = joined(name, "<f4")
-            has = np.flatnonzero(~np.isnan(value))
-            has = has[np.argsort(gram[has])]
-            tables.append((gram[has], value[has], default))
-        for raw in left.column("hashes"):
-            hashes = _numbers(raw.as_py(), "<u8")
-            for column, (keys, value, default) in zip(out, tables, strict=True):
-                got = np.full(len(hashes), default, np.float32)
-                if len(keys):
-                    at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-                    got = np.where(keys[at] == hashes, value[at], got).astype(np.float32)
-                column.append(got.tobytes())
-        return pa.Table.from_arrays([left.column("block"), left.column("part"), *(pa.array(c, pa.binary()) for c in out)], names=["block", "part", "level", "n"])
+            for numbers, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                number, count = _numbers(numbers, "<i8"), _numbers(n, "<i8")
+                some = np.flatnonzero((count > least) & (number >= FIRST))
+                yield pa.RecordBatch.from_arrays([_longs(number[some]), _longs(count[some])], names=["symbol", "n"])
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        row = left.to_pylist()[0]
-        block = Block(row, floor)
-        at, longest, contexts = wanted(block)
-        hashes = np.unique(np.concatenate([longest, *(h for _, h in contexts)]))
-        part = hashes.view(np.int64) % parts
-        v, slack = (_pasted(right, c, np.float32, part).astype(float) for c in ("level", "n"))
-        norm = float(total + distinct + 1)
-        base = np.log10((block.counts + 1) / norm)
-        is_rare = (block.counts < floor) & (block.keys != END)
-        rooted = np.where(is_rare, np.log10((rare + rare_words + 1) / norm), base)[block.local]
-        value = rooted * np.log(10)
-        value[at] = v[np.searchsorted(hashes, longest)]
-        for where, h in contexts:
-            value[where] += slack[np.searchsorted(hashes, h)]
-        inside = np.where(is_rare, np.log10((block.counts + 1) / (rare + rare_words + 1.0)), 0.0)[block.local]
-        starts = np.cumsum(block.lens) - block.lens
-        sums = [np.add.reduceat(x, starts) for x in ((block.counts > 0)[block.local].astype(np.int64), base[block.local], value / np.log(10) + inside)]
-        return pa.table({"doc_id": pa.array(row["docs"], pa.int64()), "train": pa.array(np.frombuffer(row["train"], bool)), "n_tokens": pa.array(block.lens), "n_known": pa.array(sums[0]), "base_score": pa.array(sums[1]), "score": pa.array(sums[2])})
-
-    with _whole_blocks(spark):
-        values = tree.values().mapInArrow(pack, VALUES)
-        answers = table(texts.mapInArrow(ask, ASKED).groupBy("part").cogroup(values.groupBy("part")).applyInArrow(answer, ANSWER), "answers")
-        del values
-        _forget(spark, *tree.levels, *tree.contexts)
-        whole = texts.groupBy("block").cogroup(answers.groupBy("block"))
-        scored = table(whole.applyInArrow(run, "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double"), "scores")
-    _forget(spark, corpus.texts, answers)
-    return scored.withColumn("train_tokens", F.lit(int(total)).cast("long"))
+    found = [tuple(r) for r in answers.select("numbers", "n").mapInArrow(run, "symbol long, n long").distinct().collect()]
+    found = np.array(sorted(found + [(RARE, rare)] * (rare > least)), np.int64).reshape(-1, 2)
+    k = len(found)
+    return Hot(found[:, 0], np.zeros(k, bool), found[:, 1].astype(float), np.zeros(k), np.zeros(k))
+
+
+def _dealt(corpus: Corpus, blocks: DataFrame, needed: DataFrame) -> DataFrame:
+    return blocks.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(_deal(corpus), DEALT)
+
+
+def score(docs: DataFrame, train: Column, depth: int = DEPTH, least: int = LEAST, discount: float = DISCOUNT, part: int = PART) -> DataFrame:
+    """doc_id, train, n_tokens, n_known, base_score, score, train_tokens of every whole text."""
+    spark = docs.sparkSession
+    ready = _prepared(docs, train, depth, least, discount, part)
+    if ready is None:
+        return spark.createDataFrame([], RESULT).withColumn("train_tokens", F.lit(0).cast("long"))
+    corpus, blocks, needed, made = ready
+    with _whole_groups(spark):
+        sums = _dealt(corpus, blocks, needed).groupBy("part").applyInArrow(_score_part(corpus), SCORED)
+        scored = table(sums.groupBy("block").applyInArrow(_sum_block, RESULT), "scores")
+    _forget(spark, *made)
+    return scored.withColumn("train_tokens", F.lit(int(corpus.total)).cast("long"))
+
+
+def tree(docs: DataFrame, train: Column, depth: int = DEPTH, least: int = LEAST, discount: float = DISCOUNT, part: int = PART) -> DataFrame:
+    """The tree as a table: context (symbols' numbers, oldest first), symbol, n, ln of its probability; without a symbol, n is
+    the context's count and ln that of what its suffix's probabilities of symbols without entry are multiplied by."""
+    spark = docs.sparkSession
+    ready = _prepared(docs, train, depth, least, discount, part)
+    if ready is None:
+        return spark.createDataFrame([], ENTRIES)
+    corpus, blocks, needed, made = ready
+
+    def run(group: pa.Table) -> pa.Table:
+        _, (*before, symbol, mass, place, paired) = _opened(group, corpus)
+        found: list[tuple] = []
+        _branch(before, symbol, mass, (place & 1).astype(float), paired, corpus, found)
+        kinds = (pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.float64())
+        return _table(ENTRIES, [pa.array([f[c] for f in found], kind) for c, kind in enumerate(kinds)])
+
+    with _whole_groups(spark):
+        grown = table(_dealt(corpus, blocks, needed).groupBy("part").applyInArrow(run, ENTRIES).distinct(), "tree")
+    _forget(spark, *made)
+    return grown
