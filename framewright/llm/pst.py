@@ -16,10 +16,10 @@ unigram model, so that probabilities over all words (and one unseen) sum to one.
 2. Each block sends every position with its ``DEPTH`` symbols before, dealt by the symbol just before. All contexts that end in a symbol, and all that
    follows them, so meet in one part, with the whole branch of the tree below that symbol: it counts, tests from the shortest context to the longest, and scores its positions, and
    sends each block the sums of its texts.
-3. A symbol with over ``HOT`` times the positions of a part is dealt by the two symbols before. Its own followers are then counted
+3. A symbol with over half the positions of a part has a part of its own. One with over ``HOT`` times as many is dealt by the two symbols before. Its own followers are then counted
    beforehand: blocks send their pairs, which are dealt by both symbols, and a row of sums per such symbol decides its test.
 
-A part so holds a bounded number of positions, unless one pair of words has more; ``PART`` is that bound. Counts are exact at any size. Words and
+A part so holds a bounded number of positions (about ``PART``, or ``HOT`` times as many of one symbol), unless one pair of words has more. Counts are exact at any size. Words and
 numbers are 64-bit hashes. Blocks are cut twice in the same way; if they differ (a source that changes between two reads), the job fails.
 
 Nulls: a null text is empty and has the end as its only token; a null doc_id counts as the empty text for the fold.
@@ -28,7 +28,6 @@ Repeated rows count as often as they occur. Without training rows every token is
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -41,13 +40,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framewright.llm import tokens as tk
-from framewright.llm.store import small_batches, table
+from framewright.llm.store import forget, small_batches, table, writers
 
 U = np.uint64
 LEAST = 2
 DEPTH = 3
 DISCOUNT = 0.75
-BLOCK = 8 << 20
+BLOCK = 12 << 20
 PART = 2_000_000
 HOT = 2
 END = U(0x454E44)
@@ -55,7 +54,7 @@ NONE, RARE, END_NUMBER, FIRST = 0, 1, 2, 3
 """Numbers of symbols: none before a text's first word, rare words, the end; words have those from FIRST."""
 
 ASKED = "block long, part long, hashes binary, n binary, tokens long"
-ANSWER = "block long, part long, numbers binary, n binary, tokens long, total long, distinct long, ends long, rare long, rare_words long, top long, most long"
+ANSWER = "block long, part long, numbers binary, n binary, tokens long, total long, distinct long, ends long, rare long, rare_words long, top long"
 BLOCKS = "block long, docs array<long>, train binary, lens binary, words binary, keys binary"
 PAIRS = "block long, part long, last binary, symbol binary, n binary, mass binary"
 PAIRED = "block long, part long, n binary, symbol long, entries long, held double, mass double, gain double"
@@ -91,16 +90,28 @@ def _numbers(raw: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
+def _squeeze(raw: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(raw)
+
+
+def _expand(raw: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(raw)
+
+
 def _pack(ids: np.ndarray) -> bytes:
-    """Small numbers as planes of as many bytes as the largest needs, after that number of bytes."""
+    """Small numbers as planes of as many bytes as the largest needs, after that number of bytes; compressed."""
     width = max(1, (int(ids.max(initial=0)).bit_length() + 7) // 8)
-    return bytes([width]) + b"".join(((ids >> (8 * k)) & 255).astype(np.uint8).tobytes() for k in range(width))
+    return _squeeze(bytes([width]) + b"".join(((ids >> (8 * k)) & 255).astype(np.uint8).tobytes() for k in range(width)))
 
 
-def _unpack(raw: bytes) -> np.ndarray:
+def _unpack(packed: bytes) -> np.ndarray:
+    raw = _expand(packed)
     width = raw[0]
-    planes = np.frombuffer(raw, np.uint8, offset=1).reshape(width, -1).astype(np.int64)
-    return sum(planes[k] << (8 * k) for k in range(width))
+    planes = np.frombuffer(raw, np.uint8, offset=1).reshape(width, -1)
+    out = planes[0].astype(np.int64)
+    for k in range(1, width):
+        out |= planes[k].astype(np.int64) << (8 * k)
+    return out
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, np.ndarray, list[np.ndarray]]]:
@@ -157,16 +168,6 @@ def _whole_groups(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(key, value)
 
 
-def _forget(spark: SparkSession, *tables: DataFrame) -> None:
-    """Delete tables of the scratch folder that no later step reads, and let Spark drop the exchanges of steps that ended."""
-    for df in tables:
-        for name in df.inputFiles()[:1]:
-            path = spark._jvm.org.apache.hadoop.fs.Path(name).getParent()
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 @dataclass
 class Hot:
     """Symbols that are spread over parts, sorted, with what their test decided."""
@@ -201,6 +202,8 @@ class Corpus:
     depth: int
     discount: float
     hot: Hot = field(default_factory=Hot)
+    large: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    """Symbols, sorted, that have a part of their own after the ``parts`` of all others."""
 
     @property
     def norm(self) -> float:
@@ -217,7 +220,7 @@ class Block:
         keys, local = np.frombuffer(row["keys"], U), _unpack(row["words"])
         order = np.argsort(keys)  # as they were asked for
         part, back = (keys[order] % U(corpus.word_parts)).astype(np.int64), np.argsort(order)
-        pieces = [(p["part"], _numbers(p["numbers"], "<i8"), _numbers(p["n"], "<i8")) for p in right.to_pylist() if p["numbers"] is not None]
+        pieces = [(p["part"], _unpack(p["numbers"]), _unpack(p["n"])) for p in right.to_pylist() if p["numbers"] is not None]
         number = _pasted([(p, v) for p, v, _ in pieces], part, np.int64)[back]
         count = _pasted([(p, v) for p, _, v in pieces], part, np.int64)[back]
         rare = number == RARE
@@ -270,10 +273,10 @@ def _number_words(parts: int, least: int):
         number[end] = END_NUMBER
         seldom = total[(total > 0) & ~named & ~end]
         tokens = sum(group.column("tokens").to_pylist())
-        facts = [tokens, int(total.sum()), int((total > 0).sum()), int(total[end].sum()), int(seldom.sum()), len(seldom), int(number.max()), int(total[~end].max(initial=0))]
+        facts = [tokens, int(total.sum()), int((total > 0).sum()), int(total[end].sum()), int(seldom.sum()), len(seldom), int(number.max())]
         n, ends = len(hashes), np.cumsum([len(h) for h in hashes])
         cut = [back[e - len(h) : e] for e, h in zip(ends.tolist(), hashes, strict=True)]
-        answers = [_binary([_planes(x[c]) for c in cut]) for x in (number, total)]
+        answers = [_binary([_pack(x[c]) for c in cut]) for x in (number, total)]
         return _table(ANSWER, [group.column("block"), group.column("part"), *answers, *(_longs([f, *[None] * (n - 1)]) for f in facts)])
 
     return run
@@ -303,54 +306,70 @@ def _decisions(m: np.ndarray, held: np.ndarray, mass: np.ndarray, gain: np.ndarr
         return (m > 0) & (gain > m / 2 * np.log(np.maximum(size, 2.0))), off, np.log(free)
 
 
-def _pairs(group_key: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Distinct pairs: where each is first, each row's pair, and how many."""
+def _pairs(group: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Distinct pairs, in order: where one of each is, each row's pair, and how many."""
     if symbol.max(initial=0) >> 32:
         symbol = np.unique(symbol, return_inverse=True)[1]
-    _, first, back = np.unique((group_key.astype(U) << U(32)) | symbol.astype(U), return_index=True, return_inverse=True)
-    return first, back, len(first)
-
-
-def _branch(before: list[np.ndarray], symbol: np.ndarray, mass: np.ndarray, train: np.ndarray, paired: np.ndarray, corpus: Corpus, entries: list | None = None) -> np.ndarray:
-    """ln of the probability of each position's symbol, given all positions after the same symbols.
+    key = group.astype(U)
+    key <<= U(32)
+    key |= symbol.astype(U)
+    order = np.argsort(key)
+    key = key[order]
+    begins = np.ones(len(key), bool)
+    np.not_equal(key[1:], key[:-1], out=begins[1:])
+    del key
+    at = order[begins]
+    back = np.empty(len(order), np.int32)
+    back[order] = np.cumsum(begins, dtype=np.int32) - np.int32(1)
+    return at, back, len(at)
+
+
+def _branch(before: list[np.ndarray], symbol: np.ndarray, value: np.ndarray, train: np.ndarray, paired: np.ndarray | None, corpus: Corpus, entries: list | None = None) -> np.ndarray:
+    """ln of the probability of each position's symbol, given all positions after the same symbols; ``value`` has it without context, and is changed.
 
     ``paired``: how often a hot symbol is followed by the position's symbol in all. ``entries``: gets the retained contexts' entries.
     """
-    value = np.log((mass + 1) / corpus.norm)
-    alive = np.arange(len(symbol))
-    entry = np.unique(symbol, return_inverse=True)[1]
-    context = np.zeros(len(symbol), np.int64)
+    alive = np.arange(len(symbol), dtype=np.int32)
+    entry = _pairs(np.zeros(len(symbol), np.int8), symbol)[1]
+    context = np.zeros(len(symbol), np.int32)
     for length, last in enumerate(before, 1):
         there = last[alive] != NONE
-        alive, entry, context = alive[there], entry[there], context[there]
+        if not there.all():
+            alive, entry, context = alive[there], entry[there], context[there]
+        del there
         if not len(alive):
             break
-        own, weight, now = last[alive], train[alive], value[alive]
-        first_of, context, contexts = _pairs(context, own)
-        first, entry, n_entries = _pairs(entry, own)
+        own = last[alive]
+        some_of, context, contexts = _pairs(context, own)
+        some, entry, n_entries = _pairs(entry, own)
+        hot, place = corpus.hot.at(own[some_of]) if length == 1 else (np.zeros(contexts, bool), None)
+        del own
+        weight = train[alive]
         n, size = np.bincount(entry, weight, n_entries), np.bincount(context, weight, contexts)
-        hot, place = corpus.hot.at(own[first_of]) if length == 1 else (np.zeros(contexts, bool), None)
-        above = context[first]
+        del weight
+        above = context[some]
         if hot.any():
-            n = np.where(hot[above], paired[alive[first]], n)
-        frequent, up = n >= corpus.least, now[first]
+            n = np.where(hot[above], paired[alive[some]], n)
+        frequent, up = n >= corpus.least, value[alive[some]]
         sums = lambda x: np.bincount(above[frequent], x, contexts)
-        some, above_up = n[frequent], up[frequent]
-        m, held, shared, gain = sums(None), sums(some), sums(np.exp(above_up)), sums(some * (np.log(some) - above_up))
+        times, above_up = n[frequent], up[frequent]
+        m, held, shared, gain = sums(None), sums(times), sums(np.exp(above_up)), sums(times * (np.log(times) - above_up))
         kept, off, slack = _decisions(m, held, shared, gain, size, corpus.discount)
         if hot.any():
             at = place[hot]
             kept[hot], off[hot], slack[hot], size[hot] = corpus.hot.kept[at], corpus.hot.off[at], corpus.hot.slack[at], corpus.hot.size[at]
         with np.errstate(divide="ignore", invalid="ignore"):
             chance = np.log((n - off[above]) / size[above])
-        value[alive] = np.where(kept[context], np.where(frequent[entry], chance[entry], now + slack[context]), now)
+        inside = kept[context]
+        at, e, c = alive[inside], entry[inside], context[inside]
+        value[at] = np.where(frequent[e], chance[e], value[at] + slack[c])
         if entries is not None:
-            names = np.stack([b[alive] for b in before[:length][::-1]], axis=1)
+            names = lambda p: [int(b[alive[p]]) for b in before[:length][::-1]]  # noqa: B023, E731
             for e in np.flatnonzero(frequent & kept[above]).tolist():
-                entries.append((names[first[e]].tolist(), int(symbol[alive[first[e]]]), int(n[e]), float(chance[e])))
+                entries.append((names(some[e]), int(symbol[alive[some[e]]]), int(n[e]), float(chance[e])))
             for c in np.flatnonzero(kept).tolist():
-                entries.append((names[first_of[c]].tolist(), None, int(size[c]), float(slack[c])))
-        more = m[context] > 0  # a longer context can have frequent entries only where its suffix has
+                entries.append((names(some_of[c]), None, int(size[c]), float(slack[c])))
+        more = (m > 0)[context]  # a longer context can have frequent entries only where its suffix has
         alive, entry, context = alive[more], entry[more], context[more]
     return value
 
@@ -360,7 +379,11 @@ def _part_of(last: np.ndarray, second: np.ndarray, corpus: Corpus) -> np.ndarray
     key = last.astype(U) + U(1)
     hot, _ = corpus.hot.at(last)
     key = np.where(hot, key + tk.mix(second.astype(U) + U(7)), key)
-    return (tk.mix(key) % U(corpus.parts)).astype(np.int64)
+    part = (tk.mix(key) % U(corpus.parts)).astype(np.int64)
+    if len(corpus.large):
+        place = np.minimum(np.searchsorted(corpus.large, last), len(corpus.large) - 1)
+        part = np.where(corpus.large[place] == last, corpus.parts + place, part)
+    return part
 
 
 def _deal(corpus: Corpus):
@@ -373,8 +396,8 @@ def _deal(corpus: Corpus):
         at = np.flatnonzero(b.place > 0)
         before = [np.where(b.place[at] >= k, b.symbol[at - np.minimum(k, at)], NONE) for k in range(1, corpus.depth + 1)]
         symbol, mass = b.symbol[at], b.mass[at]
-        paired = np.zeros(len(at), np.int64)
         hot, _ = corpus.hot.at(before[0])
+        paired = np.zeros(len(at) if len(corpus.hot.symbol) else 0, np.int64)
         if hot.any():
             where = np.flatnonzero(hot)
             found = [(p["part"], _numbers(p["n"], "<i8")) for p in right.to_pylist() if p["numbers"] is None]
@@ -382,15 +405,20 @@ def _deal(corpus: Corpus):
             paired[where] = _pasted(found, part, np.int64)[back]
         place = b.text[at] << 1 | b.trained[at]
         part = _part_of(before[0], before[1] if corpus.depth > 1 else before[0], corpus)
-        order = np.lexsort((*before[1:2], before[0], part))
-        ends = np.searchsorted(part[order], np.arange(corpus.parts + 1))
-        squeeze, rows = zstandard.ZstdCompressor(level=1), []
-        columns = [*(x.astype(corpus.kind)[order] for x in (*before, symbol)), mass[order], place.astype("<u4")[order], paired[order]]
+        order = np.lexsort((symbol, before[0], part))
+        ends = np.searchsorted(part[order], np.arange(corpus.parts + len(corpus.large) + 1))
+        rows = []
+        del hot
+        columns = [x[order].astype(kind) for x, kind in zip((*before, symbol, mass, place, paired), _kinds(corpus), strict=False)]
+        del before, symbol, mass, place, paired, order
         for k in np.flatnonzero(np.diff(ends)).tolist():
             piece = [c[ends[k] : ends[k + 1]] for c in columns]
-            for c in range(min(2, corpus.depth)):  # sorted, so their differences are small
+            mass = corpus.depth + 1
+            piece[mass] = piece[mass][np.unique(piece[corpus.depth], return_index=True)[1]]  # once per symbol
+            for c in (0, corpus.depth):  # sorted, so their differences are small
                 piece[c] = np.diff(piece[c], prepend=piece[c].dtype.type(0))
-            rows.append((k, squeeze.compress(b"".join(map(_planes, piece))), len(piece[0])))
+            order = [*range(mass), *range(mass + 1, len(piece)), mass]
+            rows.append((k, _squeeze(b"".join(_planes(piece[c]) for c in order)), len(piece[0])))
         n = len(rows)
         head = [_longs([b.block] * (n + 1)), _longs([int(tk.mix(np.array([b.block], U))[0] % U(corpus.parts)), *[k for k, _, _ in rows]]), pa.array([b.docs, *[None] * n], pa.list_(pa.int64()))]
         tail = [_binary([b.train.tobytes(), *[None] * n]), _binary([b.sums(corpus).tobytes(), *[None] * n]), _binary([None, *[x for _, x, _ in rows]]), _longs([0, *[m for _, _, m in rows]])]
@@ -399,30 +427,44 @@ def _deal(corpus: Corpus):
     return run
 
 
-def _opened(group: pa.Table, corpus: Corpus) -> tuple[list[dict], list[np.ndarray]]:
-    """A part's pieces and the columns of all their positions."""
-    kinds = [*[corpus.kind] * (corpus.depth + 1), "<i8", "<u4", "<i8"]
-    pieces, columns = [], [[] for _ in kinds]
-    expand = zstandard.ZstdDecompressor()
-    for row in group.select(["block", "positions", "n"]).to_pylist():
-        if row["positions"] is None:
-            continue
-        raw, at = expand.decompress(row["positions"]), 0
+def _kinds(corpus: Corpus) -> list[str]:
+    """The columns of dealt positions: symbols before, symbol, its count for the root, text and fold; the pair's count if any symbol is hot.
+
+    A piece has the count for the root last, once for each distinct symbol.
+    """
+    return [*[corpus.kind] * (corpus.depth + 1), "<i8", "<u4", *["<i8"] * bool(len(corpus.hot.symbol))]
+
+
+def _opened(group: pa.Table, corpus: Corpus) -> tuple[list[dict], list[np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
+    """A part's pieces, and all their positions: symbols before, symbol, ln of its probability without context, text and fold, count of the pair."""
+    kinds = _kinds(corpus)
+    pieces = [{"row": k, "block": b, "n": n} for k, (b, n) in enumerate(zip(group.column("block").to_pylist(), group.column("n").to_pylist(), strict=True)) if n]
+    total, done = sum(p["n"] for p in pieces), 0
+    columns = [np.empty(total, float if c == corpus.depth + 1 else kind) for c, kind in enumerate(kinds)]
+    for p in pieces:
+        raw, at = _expand(group.column("positions")[p["row"]].as_py()), 0
         for c, kind in enumerate(kinds):
-            size = np.dtype(kind).itemsize * row["n"]
+            if c == corpus.depth + 1:
+                continue
+            size = np.dtype(kind).itemsize * p["n"]
             x = _numbers(raw[at : at + size], kind)
-            columns[c].append(np.cumsum(x, dtype=x.dtype) if c < min(2, corpus.depth) else x)
+            columns[c][done : done + p["n"]] = np.cumsum(x, dtype=x.dtype) if c in (0, corpus.depth) else x
             at += size
-        pieces.append({"block": row["block"], "n": row["n"]})
-    return pieces, [np.concatenate(c) if c else np.zeros(0, k) for c, k in zip(columns, kinds, strict=True)]
+        _, back = np.unique(columns[corpus.depth][done : done + p["n"]], return_inverse=True)
+        columns[corpus.depth + 1][done : done + p["n"]] = np.log((_numbers(raw[at:], "<i8") + 1) / corpus.norm)[back]
+        done += p["n"]
+    *before, symbol = columns[: corpus.depth + 1]
+    return pieces, before, symbol, *columns[corpus.depth + 1 : corpus.depth + 3], columns[corpus.depth + 3] if len(columns) > corpus.depth + 3 else None
 
 
 def _score_part(corpus: Corpus):
     """A part's sums for the texts of each block; the texts' own sums pass through."""
 
     def run(group: pa.Table) -> pa.Table:
-        pieces, (*before, symbol, mass, place, paired) = _opened(group, corpus)
-        value = _branch(before, symbol, mass, (place & 1).astype(float), paired, corpus) / np.log(10)
+        pieces, before, symbol, value, place, paired = _opened(group, corpus)
+        value = _branch(before, symbol, value, (place & 1).astype(bool), paired, corpus)
+        value /= np.log(10)
+        del before, symbol, paired
         out, at = [(r["block"], r["docs"], r["train"], r["sums"], None) for r in group.select(["block", "docs", "train", "sums"]).to_pylist() if r["docs"] is not None], 0
         for p in pieces:
             text = place[at : at + p["n"]] >> 1
@@ -503,21 +545,25 @@ def _prepared(docs: DataFrame, train: Column, depth: int, least: int, discount:
     word_parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     asked = texts.mapInArrow(_ask_words(word_parts), ASKED)
     with _whole_groups(spark):
-        answers = table(asked.groupBy("part").applyInArrow(_number_words(word_parts, least), ANSWER), "words")
-    _forget(spark)
+        answers = table(asked.groupBy("part").applyInArrow(_number_words(word_parts, least), ANSWER).coalesce(writers(spark)), "words")
+    forget(spark)
     facts = [F.sum(c) for c in ("tokens", "total", "distinct", "ends", "rare", "rare_words")]
-    tokens, total, distinct, _, rare, rare_words, top, most = answers.agg(*facts, F.max("top"), F.max("most")).first()
+    tokens, total, distinct, _, rare, rare_words, top = answers.agg(*facts, F.max("top")).first()
     if tokens is None:
         return None
     kind = "<u4" if top < 1 << 32 else "<u8"
-    corpus = Corpus(tokens, total, distinct, rare, rare_words, word_parts, max(1, -(-tokens // part)), kind, least, depth, discount)
+    frequent = _frequent_symbols(answers, part // 2, rare)
+    hot = frequent[:, 1] > HOT * part
+    large, spread = frequent[~hot, 0], tokens - int(frequent[~hot, 1].sum())
+    corpus = Corpus(tokens, total, distinct, rare, rare_words, word_parts, max(1, -(-spread // part)), kind, least, depth, discount, large=large)
     blocks, needed, made = texts.mapInArrow(_encode, BLOCKS), answers.select("block", "part", "numbers", "n"), [answers]
-    if max(most, rare) > HOT * part:
-        corpus.hot = _hot_symbols(answers, HOT * part, rare)
+    if hot.any():
+        n = int(hot.sum())
+        corpus.hot = Hot(frequent[hot, 0], np.zeros(n, bool), frequent[hot, 1].astype(float), np.zeros(n), np.zeros(n))
         with _whole_groups(spark):
             pairs = blocks.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(_ask_pairs(corpus), PAIRS)
             paired = table(pairs.groupBy("part").applyInArrow(_sum_pairs(corpus), PAIRED), "pairs")
-        _forget(spark)
+        forget(spark)
         made.append(paired)
         sums = paired.filter("symbol is not null").groupBy("symbol").agg(F.sum("entries"), F.sum("held"), F.sum("mass"), F.sum("gain")).toPandas()  # a row per hot symbol
         place = np.searchsorted(corpus.hot.symbol, sums["symbol"].to_numpy())
@@ -529,20 +575,18 @@ def _prepared(docs: DataFrame, train: Column, depth: int, least: int, discount:
     return corpus, blocks, needed, made
 
 
-def _hot_symbols(answers: DataFrame, least: int, rare: int) -> Hot:
-    """Symbols with more than ``least`` training tokens, RARE included: at most tokens / ``least`` of them."""
+def _frequent_symbols(answers: DataFrame, least: int, rare: int) -> np.ndarray:
+    """Numbers and counts of the symbols with more than ``least`` training tokens, RARE included: at most tokens / ``least`` of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for numbers, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                number, count = _numbers(numbers, "<i8"), _numbers(n, "<i8")
+                number, count = _unpack(numbers), _unpack(n)
                 some = np.flatnonzero((count > least) & (number >= FIRST))
                 yield pa.RecordBatch.from_arrays([_longs(number[some]), _longs(count[some])], names=["symbol", "n"])
 
     found = [tuple(r) for r in answers.select("numbers", "n").mapInArrow(run, "symbol long, n long").distinct().collect()]
-    found = np.array(sorted(found + [(RARE, rare)] * (rare > least)), np.int64).reshape(-1, 2)
-    k = len(found)
-    return Hot(found[:, 0], np.zeros(k, bool), found[:, 1].astype(float), np.zeros(k), np.zeros(k))
+    return np.array(sorted(found + [(RARE, rare)] * (rare > least)), np.int64).reshape(-1, 2)
 
 
 def _dealt(corpus: Corpus, blocks: DataFrame, needed: DataFrame) -> DataFrame:
@@ -558,8 +602,8 @@ def score(docs: DataFrame, train: Column, depth: int = DEPTH, least: int = LEAST
     corpus, blocks, needed, made = ready
     with _whole_groups(spark):
         sums = _dealt(corpus, blocks, needed).groupBy("part").applyInArrow(_score_part(corpus), SCORED)
-        scored = table(sums.groupBy("block").applyInArrow(_sum_block, RESULT), "scores")
-    _forget(spark, *made)
+        scored = table(sums.groupBy("block").applyInArrow(_sum_block, RESULT).coalesce(writers(spark)), "scores")
+    forget(spark, *made)
     return scored.withColumn("train_tokens", F.lit(int(corpus.total)).cast("long"))
 
 
@@ -573,13 +617,13 @@ def tree(docs: DataFrame, train: Column, depth: int = DEPTH, least: int = LEAST,
     corpus, blocks, needed, made = ready
 
     def run(group: pa.Table) -> pa.Table:
-        _, (*before, symbol, mass, place, paired) = _opened(group, corpus)
+        _, before, symbol, value, place, paired = _opened(group, corpus)
         found: list[tuple] = []
-        _branch(before, symbol, mass, (place & 1).astype(float), paired, corpus, found)
+        _branch(before, symbol, value, (place & 1).astype(bool), paired, corpus, found)
         kinds = (pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.float64())
         return _table(ENTRIES, [pa.array([f[c] for f in found], kind) for c, kind in enumerate(kinds)])
 
     with _whole_groups(spark):
         grown = table(_dealt(corpus, blocks, needed).groupBy("part").applyInArrow(run, ENTRIES).distinct(), "tree")
-    _forget(spark, *made)
+    forget(spark, *made)
     return grown
