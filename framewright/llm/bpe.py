@@ -184,7 +184,7 @@ def _broadcast_spec(df: DataFrame, path: str):
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
-    """``docs`` with ids (array of int) and decoded (text of those ids) appended."""
+    """doc_id, ids (array of int) and decoded (text of those ids) of every whole text."""
     small_batches(docs.sparkSession)
     spec, key = _broadcast_spec(docs, path)
 

@@ -200,12 +200,13 @@ def fold(doc_id: Column, parts: int) -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, kept: Column, limit: int) -> DataFrame:
-    """(doc_id, text, y) of at most ``limit`` labelled documents, the smallest hashes of doc_id first."""
+    """(doc_id, text, y) of at most ``limit`` labelled documents, the smallest hashes of doc_id first; of a doc_id's several texts the least."""
     marks = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("int").alias("y"))
     marks = marks.filter(kept).groupBy("doc_id").agg(F.max("y").alias("y"))
     marks = marks.orderBy(F.xxhash64("doc_id", F.lit("sample")), "doc_id").limit(limit)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(F.broadcast(marks), "doc_id")  # at most `limit` rows of 12 bytes
+    met = texts.join(F.broadcast(marks), "doc_id")  # at most `limit` rows of 12 bytes
+    return met.groupBy("doc_id", "y").agg(F.min("text").alias("text"))
 
 
 def train(docs: DataFrame, labels: DataFrame, kept: Column, limit: int = SAMPLE) -> Gam:

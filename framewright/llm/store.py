@@ -6,28 +6,22 @@ Parquet table in that folder; both can be read again by any executor.
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.session import ship
+from framewright.session import scratch, ship
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a folder of our own only where none is set (tests)."""
+    """The session's ``spark.checkpoint.dir``; a folder of our own only in local mode where none is set (tests)."""
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if configured:
+    if sc.getCheckpointDir() is None or spark.conf.get("spark.checkpoint.dir", None):
+        folder = scratch(spark)
         if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(configured)
-        return configured.rstrip("/")
-    if sc.getCheckpointDir() is None:
-        own = tempfile.mkdtemp(prefix="framewright-")
-        atexit.register(shutil.rmtree, own, ignore_errors=True)
-        sc.setCheckpointDir(own)
+            sc.setCheckpointDir(folder)
+        return folder
     return sc.getCheckpointDir().rstrip("/")
 
 
@@ -65,6 +59,16 @@ def table(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete tables of the scratch folder that no later step reads, and let Spark drop the exchanges of steps that ended."""
+    for df in tables:
+        for name in df.inputFiles()[:1]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name).getParent()
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def small_batches(spark: SparkSession, rows: int = 1024) -> None:
     """Before an operator runs Python: send the modules, and bound the rows of an Arrow batch, as whole texts make wide rows."""
     ship(spark)

@@ -2,12 +2,12 @@
 
 A text's features are which words, and which beginnings of longer words (``HEADS`` bytes, so that a stem counts in all its
 forms), of the model's vocabulary it has (words: runs of letters, digits and non-ASCII characters, lower-cased). The vocabulary is chosen on the labelled sample: the words whose presence tells the
-two labels apart by more than the best of so many words would by chance, and all identity terms. In every labelled text that names a group, each identity
+two labels apart by more than the best of so many words would by chance (that test alone decides, however many pass it), and all identity terms. In every labelled text that names a group, each identity
 term is swapped for the other terms of its set; besides the logistic loss, training penalises the squared
 change of the score under those swaps, so that naming a group carries no weight of its own. A swap changes all features
 of a term, its beginnings included, but for those that other words of the text have as well.
 
-Fitting takes at most ``SAMPLE`` labelled rows and ``VOCABULARY`` words, both parameters.
+Fitting takes at most ``SAMPLE`` labelled rows, a parameter; the vocabulary is a part of their words.
 
 Nulls: a null text counts as empty and gets the score of a text without any word of the vocabulary; null labels are
 left out, and of a doc_id's several labels the largest counts. Without labels of both kinds every text gets the same
@@ -30,7 +30,6 @@ from framewright.llm.gam import labelled
 from framewright.llm.store import settle, small_batches, table
 
 SAMPLE = 20_000
-VOCABULARY = 2048
 HEADS = (4, 5, 6)
 #: Sets of identity terms whose members are swapped for one another.
 IDENTITY = (
@@ -168,7 +167,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(bad.astype(np.int64))], names=["key", "n", "bad"])
 
 
-def train(docs: DataFrame, labels: DataFrame, kept: Column, limit: int = SAMPLE, vocabulary: int = VOCABULARY, fairness: float = 10.0) -> Model:
+def train(docs: DataFrame, labels: DataFrame, kept: Column, limit: int = SAMPLE, fairness: float = 10.0) -> Model:
     """Choose the vocabulary on the sample, then fit its weights."""
     small_batches(docs.sparkSession)
     sample = table(labelled(docs, labels, "toxic", kept, limit).select("doc_id", "y", "text"), "toxic-sample")
@@ -180,7 +179,7 @@ def train(docs: DataFrame, labels: DataFrame, kept: Column, limit: int = SAMPLE,
     z = F.abs(F.col("bad") - F.col("n") * rate) / F.sqrt(F.col("n") * rate * (1 - rate) + 1)
     counts = settle(counts)
     least = max(4.0, (2 * np.log(max(2, counts.count()))) ** 0.5)  # what the best of so many words reaches by chance
-    chosen = counts.filter(z >= least).orderBy(z.desc(), "key").limit(vocabulary).select("key")
+    chosen = counts.filter(z >= least).select("key")
     groups = identity_keys()
     keys = np.unique(np.array([r.key for r in chosen.collect()] + [k - 2**64 if k >= 2**63 else k for g in groups for k in g], np.int64).view(U))
 
@@ -194,10 +193,10 @@ def train(docs: DataFrame, labels: DataFrame, kept: Column, limit: int = SAMPLE,
                 rows, cols = _present(hashes, at, keys)
                 named, others = _named(hashes, at, keys, terms, watched)
                 ends = np.searchsorted(rows, np.arange(j - i + 1)).astype(np.int32)
-                x = pa.ListArray.from_arrays(pa.array(ends), pa.array(cols.astype(np.int16)))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i).cast(pa.int64()), batch.column("y").slice(i, j - i), x, pa.array(named, pa.list_(pa.int64())), pa.array(others, pa.list_(pa.list_(pa.int16())))], names=["doc_id", "y", "x", "named", "others"])
+                x = pa.ListArray.from_arrays(pa.array(ends), pa.array(cols.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i).cast(pa.int64()), batch.column("y").slice(i, j - i), x, pa.array(named, pa.list_(pa.int64())), pa.array(others, pa.list_(pa.list_(pa.int32())))], names=["doc_id", "y", "x", "named", "others"])
 
-    found = settle(sample.mapInArrow(flags, "doc_id long, y int, x array<smallint>, named array<long>, others array<array<smallint>>"))
+    found = settle(sample.mapInArrow(flags, "doc_id long, y int, x array<int>, named array<long>, others array<array<int>>"))
     got = sorted((r.doc_id, r.y, r.x, r.named, r.others) for r in found.toLocalIterator())
     sizes = [len(g[2]) for g in got]
     rows = np.repeat(np.arange(len(got)), sizes)

@@ -89,15 +89,47 @@ def test_shards(spark, docs, rows, odd, empty):
     assert slots.shard(empty, 16).collect() == []
 
 
-def test_grown_map_moves_only_into_the_new_shard(spark, docs):
-    first = slots.save_map(slots.new_map(slots.slot_weights(slots.measure(docs, 512)), 4))
-    grown = {r.vslot: r for r in slots.grow_map(first, 4, 2).collect()}
+def test_grown_map_moves_only_into_the_new_shard(spark, docs, tmp_path):
+    store = slots.MapStore(spark, f"{tmp_path}/map")
+    before = {r.doc_id: r.shard for r in slots.shard(docs, 4, 512, store).collect()}
+    first = {r.vslot: r for r in store.load(1).collect()}
+    grown = {r.vslot: r for r in store.grow(4).collect()}
+    assert store.versions() == [1, 2] and len(first) == len(grown) == 512
     new = 0
-    for r in first.collect():
-        assert grown[r.vslot].shard in (r.shard, 4) and grown[r.vslot].version == 2
-        new += r.bytes * (grown[r.vslot].shard == 4)
+    for v, r in first.items():
+        assert grown[v].shard in (r.shard, 4) and grown[v].version == 2
+        new += r.bytes * (grown[v].shard == 4)
     total = sum(r.bytes for r in grown.values())
     assert 0.1 * total < new <= 0.2 * total
+    after = {r.doc_id: r.shard for r in slots.shard(docs, 4, 512, store).collect()}
+    assert all(after[i] in (before[i], 4) for i in before) and any(after[i] == 4 for i in before)
+
+
+def test_documents_stay_put_when_more_come(spark, docs, tmp_path):
+    from tests.llm.conftest import make_docs
+
+    store = slots.MapStore(spark, f"{tmp_path}/map")
+    before = {r.doc_id: r.shard for r in slots.shard(docs, 4, 512, store).collect()}
+    more = docs.unionByName(make_docs(spark, [(1000 + k, "x " * 500, "s") for k in range(300)]))
+    got = slots.shard(more, 4, 512, store).collect()
+    check_slots = defaultdict(list)
+    for r in got:
+        check_slots[r.shard].append(r.slot)
+        assert r.doc_id >= 1000 or r.shard == before[r.doc_id]
+    assert all(sorted(p) == list(range(len(p))) for p in check_slots.values()) and store.versions() == [1] and len(got) == len(before) + 300
+
+
+def test_repeated_ids_spread(spark):
+    from tests.llm.conftest import make_docs
+
+    rows = [(5, "again and again", "s")] * 1500 + [(None, "none", "s")] * 1500 + [(k, "a text", "s") for k in range(100, 400)]
+    docs = make_docs(spark, rows).repartition(5)
+    got = slots.shard(docs, 4).collect()
+    check_shards(got, rows, 4)
+    held = Counter()
+    for r in got:
+        held[r.shard] += r.size
+    assert max(held.values()) < 1.05 * min(held.values())
 
 
 def plain_mix(rows, max_epochs=3):

@@ -379,6 +379,98 @@ def test_held_out_accuracy(spark, which, least):
         assert ((score >= 0.3) == y).mean() > 0.95
 
 
+SF = "/root/testdata/sf0.001"
+
+
+def plain_measures(text):
+    """The features of a text, one by one."""
+    raw, words = text.encode(), words_of(text)
+    n, m = max(1, len(raw)), max(1, len(words))
+    count = lambda chars: sum(text.count(c) for c in chars)
+    space = sum(c in b" \t\n\x0b\x0c\r" for c in raw)
+    fives = shingle_set(text)
+    return [
+        math.log1p(len(words)),
+        (len(raw) - space) / m,
+        sum(65 <= c <= 90 for c in raw) / n,
+        sum(48 <= c <= 57 for c in raw) / n,
+        count("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~") / n,
+        sum(c > 127 for c in raw) / n,
+        text.count("\n") / n,
+        text.count("|") / m,
+        text.count("!") / m,
+        count("#$%&*") / m,
+        len(set(words)) / len(words) if words else 0,
+        sum(a == b for a, b in zip(words, words[1:], strict=False)) / (len(words) - 1) if len(words) > 1 else 0,
+        max(Counter(words).values()) / len(words) if words else 0,
+        1 - len(fives) / max(1, len(words) - 4) if words else 0,
+        math.log1p(len(words) / (1 + count(".!?"))),
+        space / n,
+        space / m,
+    ]
+
+
+def test_quality_query_against_plain_lookups(spark):
+    from framewright.llm import queries
+
+    docs, labels = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "labels"))
+    held = gam.fold(F.col("doc_id"), 5) == 0
+    model = gam.train(docs, labels, ~held)
+    got = {r.doc_id: r for r in queries.op3_quality_gam(spark, SF).collect()}
+    rows = docs.select("doc_id", "text", held.alias("held")).collect()
+    assert len(got) == len(rows) and len(model.pairs) > 0
+    for r in rows:
+        x = plain_measures(r.text or "")
+        place = lambda edges, k: sum(e <= x[k] for e in edges[k])  # noqa: B023, E731
+        logit = model.base + sum(t[place(model.edges, k)] for k, t in enumerate(model.one))
+        logit += sum(t[place(model.coarse, i), place(model.coarse, j)] for (i, j), t in zip(model.pairs, model.two, strict=True))
+        want = 1 / (1 + math.exp(-max(-30, min(30, logit))))
+        assert abs(got[r.doc_id].score - want) < 1e-9 and got[r.doc_id].predicted == (want >= 0.3) and got[r.doc_id].held_out == r.held
+
+
+def test_toxicity_query_against_plain_sums(spark):
+    from framewright.llm import queries
+
+    docs, labels = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "labels"))
+    held = gam.fold(F.col("doc_id"), 3) == 1
+    model = toxicity.train(docs, labels, ~held)
+    weight = dict(zip(model.keys.tolist(), model.weight.tolist(), strict=True))
+    head = lambda w, k: int(tokens._words(np.frombuffer(w, np.uint8), np.array([0, len(w)]), np.zeros(256, bool), (k,))[0][0, 1])
+    got = {r.doc_id: r for r in queries.op6_toxicity(spark, SF).collect()}
+    rows = docs.select("doc_id", "text", held.alias("held")).collect()
+    assert len(got) == len(rows) and len(weight) > 30
+    for r in rows:
+        words = set(re.findall(rb"[0-9a-z\x80-\xff]+", (r.text or "").translate(ASCII).encode()))
+        has = {tokens.word_hash(w.decode("utf-8", "surrogateescape")) if w.isascii() else int(tokens._words(np.frombuffer(w, np.uint8), np.array([0, len(w)]), np.zeros(256, bool))[0][0]) for w in words}
+        has |= {head(w, k) for w in words for k in toxicity.HEADS if len(w) > k}
+        want = 1 / (1 + math.exp(-max(-30, min(30, model.base + sum(weight.get(h, 0.0) for h in has)))))
+        assert abs(got[r.doc_id].score - want) < 1e-9 and got[r.doc_id].predicted == (want >= 0.7) and got[r.doc_id].held_out == r.held
+
+
+def test_counterfactual_loss_is_that_of_swapped_texts():
+    """The penalised part of the gradient: the squared score change of every swapped copy of a text, made and measured as a text."""
+    texts = ["the muslim man walked", "muslims and a christian", "black and white cats", "nothing here", "women men women"]
+    keys = np.unique(np.concatenate([np.array([tokens.word_hash(w) for t in texts for w in t.split()], np.uint64), *toxicity.identity_features().values()]))
+    weight = np.random.default_rng(2).normal(size=len(keys))
+    model = toxicity.Model(keys, weight, 0.3)
+    logit = lambda t: float(model.logit(*tokens.text_bytes(pa.array([t])))[0])
+    want = Counter()
+    for t in texts:
+        for group in toxicity.IDENTITY:
+            for a in set(group) & set(t.split()):
+                for b in set(group) - {a}:
+                    want[round(logit(" ".join(b if w == a else w for w in t.split())) - logit(t), 6)] += 1
+    features = {k: set(np.flatnonzero(np.isin(keys, f)).tolist()) for k, f in toxicity.identity_features().items()}
+    terms, watched = np.array(sorted(features), np.uint64), np.array(sorted(set().union(*features.values())), np.int64)
+    hashes, at = tokens.words(*tokens.text_bytes(pa.array(texts)), tokens.NOT_ALNUM, toxicity.HEADS)
+    named, others = toxicity._named(hashes, at, keys, terms, watched)
+    changes = toxicity.swapped(((n % 2**64, o) for ns, os in zip(named, others, strict=True) for n, o in zip(ns, os, strict=True)), features, toxicity.identity_keys())
+    got = Counter()
+    for (gained, lost), times in changes.items():
+        got[round(float(weight[list(gained)].sum() - weight[list(lost)].sum()), 6)] += times
+    assert got == want and sum(got.values()) > 20
+
+
 def test_classifiers_odd(spark, odd, empty):
     none = labels_of(spark, [])
     some = labels_of(spark, [(1, 1, 0), (1, 0, 1), (6, None, None), (10, 0, 1), (None, 1, 1), (8, 1, 0)])
