@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from framewright.llm import bbit, bpe, gam, mixing, toxicity, treemerge
 from framewright.llm.queries import TOKENIZER
-from framewright.llm.store import table
+from framewright.llm.store import forget, table
 from framewright.session import spread
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -58,8 +58,10 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
-    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    """All stages over the documents of ``sf_dir``; what a stage wrote is deleted once the next one has read it."""
+    docs, before = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")), []
     for name, stage in STAGES:
         docs = table(stage(spark, docs, sf_dir), name)
+        forget(spark, *before)
+        before = [docs]
     return docs
