@@ -596,3 +596,96 @@ def stage_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
         done = cli.main(["text-model", "--input", f"{root}/in", "--out", f"{root}/out", "--ledger", f"{root}/ledger", "--prompt", told, "--batch-size", "3", "--engine", "framewright.plans.standins:moody_model"], spark)
     last = done.groupBy("rel_path").agg(F.count(F.lit(1)).cast("int").alias("attempts"), F.max_by("status", "ts").alias("status"), F.max_by("n_items", "ts").alias("n_items"), F.count_if(F.col("status").startswith("Failed")).alias("failures"))
     return last.select("rel_path", "attempts", "status", "n_items", (F.col("failures") == 0).alias("paid_once"))
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> str:
+    """OCR documents of all videos in the scratch folder, every ninth of them cut short. Returns the folder."""
+    root = f"{_scratch(spark)}/documents"
+    whole = F.when(F.col("video_id").cast("long") % 9 == 4, F.lit('{"frame')).otherwise(F.col("value"))
+    sinks.write_documents(ocr_document(spark, sf_dir).select("video_id", F.lit("tesseract_ocr.json").alias("file_name"), whole.alias("value")), root)
+    return root
+
+
+@query("scan_subdirectories", "SELECT DISTINCT CAST(conv_id AS VARCHAR) AS rel_path FROM conversations")
+def scan_subdirectories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trees.subdirectories(spark, _documents(spark, sf_dir))
+
+
+@query("scan_json_documents", "SELECT CAST(conv_id AS VARCHAR) AS video_id, 'tesseract_ocr.json' AS file_name, CASE WHEN conv_id % 9 = 4 THEN '{\"frame' ELSE '{' || string_agg(CAST(to_json(printf('frame_%06d.png', turn)) AS VARCHAR) || ':' || CAST(to_json(text) AS VARCHAR), ',' ORDER BY turn) || '}' END AS value FROM conversations GROUP BY conv_id")
+def scan_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All JSON documents below a folder, at any depth."""
+    part = lambda key: F.regexp_extract("path", f"{key}=([^/]+)/", 1)
+    found = trees.json_documents(spark, _documents(spark, sf_dir))
+    return found.select(part("video_id").alias("video_id"), part("file_name").alias("file_name"), F.regexp_replace("value", r"\n\z", "").alias("value"))
+
+
+@query("scan_ocr_files", "SELECT CAST(conv_id AS VARCHAR) AS video_id, printf('frame_%06d.png', turn) AS frame_name, text AS raw_text FROM conversations WHERE conv_id % 9 <> 4")
+def scan_ocr_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OCR documents read from files; a broken one leaves no row."""
+    return trees.ocr_texts(spark, _documents(spark, sf_dir)).filter("frame_name is not null")
+
+
+@query("scan_prompt", "SELECT 'First line.' || chr(10) || 'Second line.' || chr(10) AS prompt")
+def scan_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _file(spark, f"{_scratch(spark)}/prompt", "First line.\nSecond line.")
+    return spark.createDataFrame([(trees.prompt(spark, path),)], "prompt string")
+
+
+@query("scan_image_batches", f"WITH {inputs.FRAMES_SQL} SELECT video_id, printf('llm_output_batch_%04d.json', CAST(frame_idx // 3 AS INT)) AS batch_file, CAST(frame_idx % 3 AS INT) AS k, raw_text AS t1, '# ' || raw_text AS t4, 'summary of ' || video_id AS t5 FROM frames")
+def scan_image_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat documents of an image model, written and read back."""
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("frame_idx", "raw_text"))), lambda x: x["raw_text"])
+    grouped = inputs.frames(spark, sf_dir).groupBy("video_id", F.floor(F.col("frame_idx") / 3).cast("int").alias("batch")).agg(texts.alias("t"))
+    parsed = F.struct(*[F.col("t").alias(k) for k in parse.LAYOUTS["v5"][:3]], F.transform("t", lambda x: F.concat(F.lit("# "), x)).alias("task4_markdown"), F.concat(F.lit("summary of "), "video_id").alias("task5_summary"))
+    root = f"{_scratch(spark)}/batches"
+    sinks.write_documents(sinks.image_batch_document(grouped.select("video_id", "batch", parsed.alias("parsed"))), root)
+    read = trees.batch_files(spark, root)
+    zipped = F.posexplode(F.arrays_zip(F.col("task1_raw_ocr").alias("t1"), F.col("task4_markdown").alias("t4"))).alias("k", "z")
+    return read.select("video_id", "batch_file", zipped, F.col("task5_summary").alias("t5")).select("video_id", "batch_file", "k", "z.t1", "z.t4", "t5")
+
+
+@query("frames_written", "WITH f AS (SELECT conv_id, turn, CAST(round_even(turn / 2.0, 0) AS INT) AS second FROM conversations WHERE turn % 3 <> 1), l AS (SELECT conv_id, second, max(turn) AS turn FROM f GROUP BY ALL) SELECT CAST(conv_id AS VARCHAR) AS video_id, printf('frame_%06d.jpg', second) AS frame_name, 'f' || turn AS content FROM l")
+def frames_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Videos of two frames a second, of which some are empty: frames named by second, the last of each second written and read back."""
+    item = F.struct("frame_idx", F.when(F.col("frame_idx") % 3 == 1, F.lit("")).otherwise(F.concat(F.lit("f"), F.col("frame_idx").cast("string"))).alias("f"))
+    videos = inputs.frames(spark, sf_dir).groupBy("video_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["f"]), "\n").alias("body"))
+    rated = videos.select("video_id", F.concat(F.lit("2\n"), "body").cast("binary").alias("content"))
+    root = f"{_scratch(spark)}/frames"
+    sinks.write_frames(engines.last_of_names(engines.decode(rated, engines.line_decoder, 0.0)), root)
+    return trees.written_frames(spark, root).withColumn("content", F.col("content").cast("string"))
+
+
+@query("frames_resized", "SELECT CAST(p_partkey AS VARCHAR) AS video_id, CASE WHEN greatest(p_size * 37, p_size * 23 + 400) <= 700 THEN p_size * 37 || 'x' || (p_size * 23 + 400) ELSE CAST(trunc(p_size * 37 * (700.0::DOUBLE / greatest(p_size * 37, p_size * 23 + 400))) AS INT) || 'x' || CAST(trunc((p_size * 23 + 400) * (700.0::DOUBLE / greatest(p_size * 37, p_size * 23 + 400))) AS INT) END || '|x' AS content FROM part")
+def frames_resized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Videos of one frame, scaled down so that no side is over 700."""
+    size = F.concat((F.col("p_size") * 37).cast("string"), F.lit("x"), (F.col("p_size") * 23 + 400).cast("string"))
+    videos = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("video_id"), F.concat(F.lit("25\n"), size, F.lit("|x")).cast("binary").alias("content"))
+    return engines.decode(videos, engines.line_decoder, 1.0, 700).select("video_id", F.col("content").cast("string").alias("content"))
+
+
+@query("blank_text_not_sent", "SELECT doc_id, doc_id % 3 = 0 AS skipped, CASE WHEN doc_id % 3 = 0 THEN 0 END AS tokens FROM documents")
+def blank_text_not_sent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model is not asked about blank texts: the answer is empty and costs nothing."""
+    blank = F.when(F.col("doc_id") % 3 == 0, F.lit(" \n ")).otherwise(F.lit("--- Frame 0 ---\ntext"))
+    asked = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("video_id"), F.lit(0).alias("batch"), blank.alias("batch_text"))
+    got = engines.call_model(asked, "p", engines.echo_model)
+    skipped = F.col("response") == ""
+    return got.select(F.col("video_id").cast("long").alias("doc_id"), skipped.alias("skipped"), F.when(skipped, (F.col("input_tokens") + F.col("output_tokens")).cast("int")).alias("tokens"))
+
+
+@query("image_batches_sent", f"WITH {inputs.FRAMES_SQL}, f AS (SELECT video_id, CAST(frame_idx // 3 AS INT) AS batch, frame_idx, CAST(video_id AS BIGINT) % 5 = 1 AND frame_idx = 1 AS gone, frame_idx % 4 = 3 AS other FROM frames), b AS (SELECT video_id, batch, min(frame_idx) FILTER (gone) AS missing, count(*) FILTER (NOT other) AS images FROM f GROUP BY ALL) SELECT video_id, batch, CASE WHEN missing IS NULL AND images > 0 THEN images || ' images' END AS summary, CASE WHEN missing IS NOT NULL THEN 'no file ' || printf('frame_%06d.png', missing) WHEN images = 0 THEN 'no images' END AS error FROM b")
+def image_batches_sent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of image files sent in order as bytes: a missing file fails its batch, files that are no images are left out."""
+    extension = F.when(F.col("frame_idx") % 4 == 3, F.lit(".txt")).otherwise(F.lit(".png"))
+    files = inputs.frames(spark, sf_dir).withColumn("frame_name", F.concat(F.format_string("frame_%06d", "frame_idx"), extension))
+    there = files.filter("not (cast(video_id as bigint) % 5 = 1 and frame_idx = 1)").select("video_id", "frame_name", F.col("raw_text").cast("binary").alias("content"))
+    called = engines.call_image_model(engines.with_images(batching.image_batches(files, 3), there), "Look.", engines.caption_model)
+    return called.select("video_id", "batch", parse.image_response(F.col("response"))["task5_summary"].alias("summary"), "error")
+
+
+@query("frame_numbers_bounded", "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'a frame number is ' || (100000 + doc_id * 1000) END AS error, doc_id % 2 = 0 AS failed FROM documents")
+def frame_numbers_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses of which every second names a frame that no batch has: they fail, and no list of that length is made."""
+    number = F.when(F.col("doc_id") % 2 == 0, 100_000 + F.col("doc_id") * 1000).otherwise(F.col("doc_id") % 50)
+    response = F.concat(F.lit("==== TASK 1: X ====\n-- Frame "), number.cast("string"), F.lit(" --\ntext"))
+    return table(spark, sf_dir, "documents").select("doc_id", parse.too_many_frames(response).alias("error"), parse.image_response(response).isNull().alias("failed"))
