@@ -20,7 +20,8 @@ unigram model, so that probabilities over all words (and one unseen) sum to one.
    beforehand: blocks send their pairs, which are dealt by both symbols, and a row of sums per such symbol decides its test.
 
 A part so holds a bounded number of positions (about ``PART``, or ``HOT`` times as many of one symbol), unless one pair of words has more. Counts are exact at any size. Words and
-numbers are 64-bit hashes. Blocks are cut twice in the same way; if they differ (a source that changes between two reads), the job fails.
+numbers are 64-bit hashes. Texts are read and cut into blocks twice; if the blocks differ, as those of a source that changes or of rows
+in another order out of a shuffle may, the job fails, and the texts have to be written or sorted before.
 
 Nulls: a null text is empty and has the end as its only token; a null doc_id counts as the empty text for the fold.
 Repeated rows count as often as they occur. Without training rows every token is unseen. An empty table gives an empty result.
