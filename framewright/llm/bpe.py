@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from framewright.llm.store import small_batches
 
 SHORT = 64
-REMEMBER = 250_000
-"""Distinct words that a process remembers before it starts over, and as many stretches between blanks."""
+REMEMBER = 1 << 16
+"""Entries of a generation of ``Recent``, which keeps two."""
 PLAIN = regex.compile("[\t\n\r\x20-\x7e\xa1-\xac\xae-\u01c3\u01cd-\u01f0\u2013\u2014\u2018-\u201e\u2026\u20ac]*")
 """Texts whose normalisation and split do not depend on a Unicode version; all others are normalised and split
 by the tokenizers library itself, character tables being all that is taken from it."""
@@ -46,6 +46,27 @@ def byte_letters() -> list[str]:
 Piece = tuple[int, str, str]
 
 
+class Recent:
+    """What short keys became: those of late and those of the generation before. One that is asked for again stays, so that
+    frequent words outlive the many that come once, and memory doesn't grow with the number of distinct words."""
+
+    def __init__(self) -> None:
+        self.late: dict[str, Piece] = {}
+        self.before: dict[str, Piece] = {}
+
+    def get(self, key: str) -> Piece | None:
+        got = self.late.get(key)
+        if got is None and (got := self.before.get(key)) is not None:
+            self.put(key, got)
+        return got
+
+    def put(self, key: str, piece: Piece) -> None:
+        if len(key) <= SHORT:
+            if len(self.late) >= REMEMBER:
+                self.before, self.late = self.late, {}
+            self.late[key] = piece
+
+
 class WordBpe:
     """The encoder and decoder of one vocabulary file."""
 
@@ -65,10 +86,11 @@ class WordBpe:
         self.token = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         split = next(p for p in told["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.split = regex.compile(split["pattern"]["Regex"])
-        self.library = Tokenizer.from_str(spec)
+        #: Only normalises and splits, so it gets no vocabulary.
+        self.library = Tokenizer.from_str(json.dumps(told | {"added_tokens": [], "model": model | {"vocab": {}, "merges": []}}))
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.seen: dict[str, Piece] = {}
-        self.near: dict[str, Piece] = {}
+        #: By stretch between blanks; a word of visible ASCII is the stretch that it makes alone. Other words go by the letters of their bytes.
+        self.near, self.seen = Recent(), Recent()
 
     def merge(self, word: str) -> list[int]:
         """The ids of one word, given as the letters of its bytes."""
@@ -110,26 +132,23 @@ class WordBpe:
 
     def word(self, word: str) -> Piece:
         """Number of ids, the ids joined by spaces, and the decoded tokens joined by spaces."""
-        got = self.seen.get(word)
+        kept = self.near if word.isascii() else self.seen
+        got = kept.get(word)
         if got is None:
             ids = self.merge(word)
-            got = self._keep(self.seen, word, (len(ids), " ".join([str(i) for i in ids]), " ".join([self.token[i] for i in ids])))
+            got = len(ids), " ".join([str(i) for i in ids]), " ".join([self.token[i] for i in ids])
+            kept.put(word, got)
         return got
 
-    def _keep(self, seen: dict[str, Piece], key: str, piece: Piece) -> Piece:
-        if len(key) <= SHORT:
-            if len(seen) >= REMEMBER:
-                seen.clear()
-            seen[key] = piece
-        return piece
-
     def _together(self, pieces: list[Piece]) -> Piece:
         counts, ids, decoded = zip(*pieces, strict=True) if pieces else ((), (), ())
         return sum(counts), " ".join(ids), " ".join(decoded)
 
-    def _stretch(self, stretch: str) -> Piece:
-        """A stretch between blanks: lower-cased, then split; letters with at most one other mark at the end need no pattern."""
-        low = stretch.lower()
+    def _stretch(self, low: str) -> Piece:
+        """A stretch between blanks, lower-cased: it is split; letters with at most one other mark at the end need no pattern."""
+        got = self.near.get(low)
+        if got is not None:
+            return got
         if low.isalpha():
             cut = [low]
         elif low[:-1].isalpha():
@@ -137,13 +156,15 @@ class WordBpe:
         else:
             cut = self.split.findall(low)
         letters = self.letters
-        pieces = [self.word(w if w.isascii() and w.isprintable() else "".join([letters[b] for b in w.encode()])) for w in cut]
-        return self._keep(self.near, stretch, pieces[0] if len(pieces) == 1 else self._together(pieces))
+        pieces = [self.word(w if w.isascii() else "".join([letters[b] for b in w.encode()])) for w in cut]
+        got = pieces[0] if len(pieces) == 1 else self._together(pieces)
+        self.near.put(low, got)
+        return got
 
     def _plain(self, text: str) -> Piece:
         """A text of well-known characters."""
-        near, new = self.near.get, self._stretch
-        return self._together([near(s) or new(s) for s in text.split()])
+        near, new = self.near.late.get, self._stretch
+        return self._together([near(s) or new(s) for s in text.lower().split()])
 
     def _any(self, text: str) -> Piece:
         low = self.library.normalizer.normalize_str(text)

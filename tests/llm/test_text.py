@@ -178,6 +178,21 @@ def test_bpe_matches_the_library():
         assert decoded == library.decode(want, skip_special_tokens=False) == coder.decode(want)
 
 
+def test_bpe_remembers_frequent_words_in_bounded_memory(monkeypatch):
+    """Words that come once push out neither a frequent word nor, when a generation ends in the middle of a text, a right result."""
+    monkeypatch.setattr(bpe, "REMEMBER", 50)
+    coder, library, merged = bpe.WordBpe(open(PATH, encoding="utf-8").read()), Tokenizer.from_file(PATH), []
+    merge = coder.merge
+    coder.merge = lambda word: merged.append(word) or merge(word)
+    once = ["".join(chr(97 + k // 26**n % 26) for n in range(3)) + "qz" for k in range(400)]
+    for a, b in zip(once[::2], once[1::2], strict=True):
+        text = f"Frequent {a} {a}é frequent, {b.upper()}!"
+        assert [int(x) for x in coder.both(text)[1].split()] == library.encode(text, add_special_tokens=False).ids
+    assert merged.count("frequent") == 1 and len(merged) == len(set(merged))
+    assert all(len(kept) <= 50 for store in (coder.near, coder.seen) for kept in (store.late, store.before))
+    assert coder.library.get_vocab_size() == 0
+
+
 @given(st.text(alphabet=st.sampled_from("etaoinshr"), min_size=1, max_size=90))
 @settings(max_examples=200, deadline=None)
 def test_scan_and_heap_agree(word):
