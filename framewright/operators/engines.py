@@ -200,6 +200,10 @@ def scaled(width: int, height: int, most: int) -> tuple[int, int]:
     return (width, height) if most <= 0 or longest <= most else (int(width * (most / longest)), int(height * (most / longest)))
 
 
+#: Frames, and bytes of them, that leave a decoding task together, whichever videos they are of.
+FRAMES_AT_ONCE, BYTES_AT_ONCE = 1024, 16_000_000
+
+
 def decode(videos: DataFrame, factory: Callable[..., Decoder], target_fps: float = 1.0, max_dimension: int = 0) -> DataFrame:
     """(video_id, content) -> (video_id, frame_count, native_fps, content, second, frame_name): kept frames only; empty ones are counted but dropped.
 
@@ -223,19 +227,22 @@ def decode(videos: DataFrame, factory: Callable[..., Decoder], target_fps: float
             except Exception:  # noqa: BLE001
                 return content
 
+        held: list[tuple] = []
+        size = 0
         for batch in batches:
             for video_id, content in zip(batch["video_id"], batch["content"], strict=True):
                 fps, frames = decoder(bytes(content))
                 fps = fps if fps > 0 else 30.0
                 interval = max(1, round(fps / target_fps)) if 0 < target_fps < fps else 1
-                held: list[tuple] = []
                 for k, frame in enumerate(frames):
                     if k % interval == 0 and frame and (isinstance(frame, bytes) or frame[2]):
                         held.append((video_id, k, fps, fitted(frame)))
-                    if len(held) >= 64:
+                        size += len(held[-1][3])
+                    if len(held) >= FRAMES_AT_ONCE or size >= BYTES_AT_ONCE:
                         yield pd.DataFrame(held, columns=columns)
-                        held = []
-                yield pd.DataFrame(held, columns=columns)
+                        held, size = [], 0
+        if held:
+            yield pd.DataFrame(held, columns=columns)
 
     decoded = videos.select("video_id", "content").mapInPandas(run, "video_id string, frame_count long, native_fps double, content binary")
     labelled = decoded.withColumn("second", second_label(F.col("frame_count"), F.col("native_fps")))

@@ -14,7 +14,7 @@ from framewright.operators import assemble, batching, engines, ledger
 from framewright.plans import inputs, noise_sql, standins
 from framewright.plans.catalogue import query, table
 from framewright.plans.text_queries import clean_sql
-from framewright.session import pinned, scratch
+from framewright.session import pinned, scratch, spread
 from framewright.sources import sinks, trees
 from framewright.streaming import daemon
 
@@ -659,7 +659,7 @@ def frames_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 def frames_resized(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Videos of one frame, scaled down so that no side is over 700."""
     size = F.concat((F.col("p_size") * 37).cast("string"), F.lit("x"), (F.col("p_size") * 23 + 400).cast("string"))
-    videos = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("video_id"), F.concat(F.lit("25\n"), size, F.lit("|x")).cast("binary").alias("content"))
+    videos = spread(table(spark, sf_dir, "part")).select(F.col("p_partkey").cast("string").alias("video_id"), F.concat(F.lit("25\n"), size, F.lit("|x")).cast("binary").alias("content"))
     return engines.decode(videos, engines.line_decoder, 1.0, 700).select("video_id", F.col("content").cast("string").alias("content"))
 
 

@@ -298,6 +298,23 @@ def test_frames_are_resized_named_and_kept_once_a_second(spark, tmp_path):
     assert [(r.rel_path, r.status) for r in read.collect()] == [("v", "Success (3)")]
 
 
+def test_short_videos_share_a_result(spark):
+    class Videos:  # a table whose task runs here
+        sparkSession = spark
+
+        def select(self, *columns):
+            return self
+
+        def mapInPandas(self, run, schema):  # noqa: N802
+            videos = engines.pd.DataFrame({"video_id": [str(k) for k in range(3000)], "content": [b"1\nf"] * 3000})
+            self.parts = [len(p) for p in run(iter([videos]))]
+            return spark.createDataFrame([], schema)
+
+    videos = Videos()
+    engines.decode(videos, engines.line_decoder)
+    assert videos.parts == [1024, 1024, 952]
+
+
 def test_missing_ocr_program_stops_the_stage(spark, tmp_path, monkeypatch):
     monkeypatch.setenv("TESSERACT_CMD", f"{tmp_path}/none")
     with pytest.raises(SystemExit, match="no OCR program"):
