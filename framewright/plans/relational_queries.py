@@ -614,9 +614,8 @@ def scan_subdirectories(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("scan_json_documents", "SELECT CAST(conv_id AS VARCHAR) AS video_id, 'tesseract_ocr.json' AS file_name, CASE WHEN conv_id % 9 = 4 THEN '{\"frame' ELSE '{' || string_agg(CAST(to_json(printf('frame_%06d.png', turn)) AS VARCHAR) || ':' || CAST(to_json(text) AS VARCHAR), ',' ORDER BY turn) || '}' END AS value FROM conversations GROUP BY conv_id")
 def scan_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All JSON documents below a folder, at any depth."""
-    part = lambda key: F.regexp_extract("path", f"{key}=([^/]+)/", 1)
-    found = trees.json_documents(spark, _documents(spark, sf_dir))
-    return found.select(part("video_id").alias("video_id"), part("file_name").alias("file_name"), F.regexp_replace("value", r"\n\z", "").alias("value"))
+    path = F.col("path")
+    return trees.json_documents(spark, _documents(spark, sf_dir)).select(trees.video_of(path).alias("video_id"), trees.name_of(path).alias("file_name"), "value")
 
 
 @query("scan_ocr_files", "SELECT CAST(conv_id AS VARCHAR) AS video_id, printf('frame_%06d.png', turn) AS frame_name, text AS raw_text FROM conversations WHERE conv_id % 9 <> 4")

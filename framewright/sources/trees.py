@@ -5,35 +5,30 @@ Files are listed and read by Spark's readers alone, so a tree can lie in any sto
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from framewright.functions.frames import VIDEO_EXTENSIONS, media_type
 from framewright.operators.assemble import parse_batches
+from framewright.sources import versions
+from framewright.sources.versions import file_path, unescaped
 
-
-
-def file_path() -> Column:
-    """The path of the file that a row was read from, its characters as they are on disk."""
-    return unescaped(F.col("_metadata.file_path"))
-
-
-def unescaped(text: Column) -> Column:
-    """Characters written as ``%XX`` put back; a plus sign is one."""
-    return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
-
+#: A row of the table of documents.
+DOCUMENT = "video_id string, file_name string, value string"
 
 def subdirectories(spark: SparkSession, root: str) -> DataFrame:
     """(rel_path) of the direct sub-directories, empty ones too: the file system is asked, no file is opened.
 
-    In a folder of documents that ``sinks.write_documents`` made, the directories are the videos'.
+    Of a table of documents that ``sinks.write_documents`` made, the videos.
     """
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    found = [s.getPath().getName() for s in path.getFileSystem(conf).listStatus(path) if s.isDirectory()]
-    plain = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-    names = {plain(n.removeprefix("video_id=")) if n.startswith("video_id=") else n for n in found}
-    return spark.createDataFrame([(n,) for n in sorted(names)], "rel_path string")
+    plain = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    found = versions.folders(spark, root)
+    names = {plain(n.removeprefix("video_id=")) if n.startswith("video_id=") else n for n in found if not n.startswith((versions.FOLDER, "_writing-"))}
+    listed = spark.createDataFrame([(n,) for n in sorted(names)], "rel_path string")
+    if not any(n.startswith(versions.FOLDER) for n in found):
+        return listed
+    tabled = spark.read.schema(DOCUMENT).option("recursiveFileLookup", True).orc(f"{root}/{versions.FOLDER}*").select(F.col("video_id").alias("rel_path"))
+    return tabled.unionByName(listed).distinct()
 
 
 def video_of(path: Column) -> Column:
@@ -57,8 +52,16 @@ def contents(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
 
 
 def written_frames(spark: SparkSession, root: str) -> DataFrame:
-    """(video_id, frame_name, content) of the table that ``sinks.write_frames`` makes."""
-    return spark.read.schema("frame_name string, content binary, video_id string").parquet(root).select("video_id", "frame_name", "content")
+    """(video_id, frame_name, content) of the table that ``sinks.write_frames`` makes; one with a folder per video is read too."""
+    read = spark.read.schema("frame_name string, content binary, video_id string").option("recursiveFileLookup", True).parquet(root)
+    foldered = any(n.startswith("video_id=") for n in versions.folders(spark, root))
+    if not foldered and not versions.several(read):
+        return read.select("video_id", "frame_name", "content")
+    found = versions.placed(read)
+    in_folder = F.regexp_extract("path", r"\A(.*)/video_id=([^/]+)/[^/]*\z", 2)
+    video = F.coalesce("video_id", unescaped(in_folder))
+    place = F.when(F.col("place") == "", F.regexp_extract("path", r"\A(.*)/video_id=([^/]+)/[^/]*\z", 1)).otherwise(F.col("place"))
+    return versions.newest(found.withColumns({"video_id": video, "place": place}), "video_id").select("video_id", "frame_name", "content")
 
 
 def extension_rank(name: Column) -> Column:
@@ -93,21 +96,42 @@ def frame_files(spark: SparkSession, root: str) -> DataFrame:
     return found.select("video_id", F.col("name").alias("frame_name"), F.col("path").alias("frame_path"), media_type(F.col("name")).alias("mime"))
 
 
+def _documents(spark: SparkSession, root: str, glob: str) -> DataFrame:
+    """(video_id, file_name, value, path) of the documents below ``root``: files of which ``glob`` matches the name, and tables."""
+
+    def read(names: str) -> DataFrameReader:
+        return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", names)
+
+    columns = ["video_id", "file_name", "value", "path", "place", "version"]
+    rows = read("part-*.orc").schema(DOCUMENT).orc(root)
+    repeated = versions.several(rows)
+    tables = {f.rsplit("/", 2)[0] for f in rows.inputFiles()}
+    repeated = repeated or any(n.startswith("video_id=") for t in tables for n in versions.folders(spark, t))
+    tabled = versions.placed(rows).withColumn("path", F.concat_ws("/", "place", "video_id", "file_name")).select(columns)
+    # as files, or with a folder per document, as earlier versions of this package wrote them
+    folder = r"\A(.*)/video_id=([^/]+)/file_name=([^/]+)/part-[^/]*\z"
+    path = read(f"{{{glob},part-*.txt}}").text(root, wholetext=True).select(file_path().alias("path"), "value").filter(~F.col("path").contains(f"/{versions.FOLDER}"))
+    foldered = F.col("path").rlike(folder)
+    part = lambda k: F.regexp_extract("path", folder, k)
+    filed = path.select(
+        F.when(foldered, unescaped(part(2))).otherwise(video_of(F.col("path"))).alias("video_id"),
+        F.when(foldered, unescaped(part(3))).otherwise(name_of(F.col("path"))).alias("file_name"),
+        F.when(foldered, F.regexp_replace("value", r"\n\z", "")).otherwise(F.col("value")).alias("value"),
+        "path",
+        F.when(foldered, part(1)).otherwise(F.col("path")).alias("place"),
+        F.lit("").alias("version"),
+    )
+    found = tabled.unionByName(filed)
+    return versions.newest(found, "video_id", "file_name") if repeated else found
+
+
 def documents(spark: SparkSession, root: str, glob: str) -> DataFrame:
     """(video_id, file_name, value) of the whole documents below ``root`` whose name matches ``glob``.
 
     Both a tree with a file per document and the table that ``sinks.write_documents`` makes are read.
     """
-    found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"{{{glob},part-*}}").text(root, wholetext=True)
-    tabled = r"/video_id=([^/]+)/file_name=([^/]+)/part-[^/]*\z"
-    path = found.select(file_path().alias("path"), "value")
-    in_table = F.col("path").rlike(tabled)
-    part = lambda k: unescaped(F.regexp_extract("path", tabled, k))
-    value = F.when(in_table, F.regexp_replace("value", r"\n\z", "")).otherwise(F.col("value")).alias("value")
-    named = path.select(
-        F.when(in_table, part(1)).otherwise(video_of(F.col("path"))).alias("video_id"), F.when(in_table, part(2)).otherwise(name_of(F.col("path"))).alias("file_name"), value
-    )
-    return named.filter(F.col("file_name").rlike(r"\A" + glob.replace(".", r"\.").replace("*", ".*") + r"\z"))
+    named = F.col("file_name").rlike(r"\A" + glob.replace(".", r"\.").replace("*", ".*") + r"\z")
+    return _documents(spark, root, glob).filter(named).select("video_id", "file_name", "value")
 
 
 def ocr_texts(spark: SparkSession, root: str, file_name: str = "tesseract_ocr.json") -> DataFrame:
@@ -150,10 +174,8 @@ def text_batches(spark: SparkSession, root: str) -> DataFrame:
 
 
 def json_documents(spark: SparkSession, root: str) -> DataFrame:
-    """(path, value) of every ``*.json`` below ``root``, at any depth."""
-    found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "{*.json,part-*.txt}").text(root, wholetext=True)
-    path = found.select(file_path().alias("path"), "value")
-    return path.filter(F.col("path").rlike(r"\.json(/part-[^/]*)?\z"))
+    """(path, value) of every ``*.json`` below ``root``, at any depth; one in a table is at FOLDER/VIDEO/NAME."""
+    return _documents(spark, root, "*.json").filter(F.col("file_name").endswith(".json")).select("path", "value")
 
 
 def prompt(spark: SparkSession, path: str) -> str:

@@ -315,6 +315,29 @@ def test_short_videos_share_a_result(spark):
     assert videos.parts == [1024, 1024, 952]
 
 
+def test_tables_of_items_have_few_files_and_the_newest_counts(spark, tmp_path):
+    docs = lambda *rows: spark.createDataFrame(list(rows), "video_id string, file_name string, value string").coalesce(1)
+    root = f"{tmp_path}/out/documents"
+    sinks.write_documents(docs(*[(f"v{k}", "a.json", "old") for k in range(300)]), root)
+    assert len([f for f in (tmp_path / "out").rglob("part-*")]) == 1
+    put(tmp_path / "out" / "documents" / "video_id=w%2F1" / "file_name=a.json" / "part-0.txt", "earlier\n")
+    put(tmp_path / "out" / "documents" / "video_id=v3" / "file_name=a.json" / "part-0.txt", "earlier\n")
+    sinks.write_documents(docs(("v1", "a.json", "new"), ("v1", "b.txt", "x"), ("v2", "a.json", "a\n\nb\n")), root)
+    want = {(f"v{k}", "a.json"): "old" for k in range(300)} | {("v1", "a.json"): "new", ("v2", "a.json"): "a\n\nb\n", ("w/1", "a.json"): "earlier"}
+    got = trees.documents(spark, f"{tmp_path}/out", "*.json").collect()
+    assert len(got) == len(want) and {(r.video_id, r.file_name): r.value for r in got} == want
+    assert trees.json_documents(spark, root).count() == len(want)
+    assert {r.rel_path for r in trees.subdirectories(spark, root).collect()} == {v for v, _ in want}
+    frames = lambda *rows: spark.createDataFrame([(v, n, bytearray(c)) for v, n, c in rows], "video_id string, frame_name string, content binary").coalesce(1)
+    sinks.write_frames(frames(*[(f"v{k}", n, b"old") for k in range(300) for n in "ab"]), f"{tmp_path}/frames")
+    assert len(list((tmp_path / "frames").rglob("part-*"))) == 1
+    frames(("e", "a", b"earlier"), ("v4", "a", b"earlier")).write.partitionBy("video_id").mode("append").parquet(f"{tmp_path}/frames")
+    sinks.write_frames(frames(("v1", "a", b"new")), f"{tmp_path}/frames")
+    kept = trees.written_frames(spark, f"{tmp_path}/frames").collect()
+    assert len(kept) == 600 and [(r.frame_name, bytes(r.content)) for r in kept if r.video_id == "v1"] == [("a", b"new")]
+    assert {bytes(r.content) for r in kept if r.video_id == "v4"} == {b"old"} and "e" in {r.video_id for r in kept}
+
+
 def test_missing_ocr_program_stops_the_stage(spark, tmp_path, monkeypatch):
     monkeypatch.setenv("TESSERACT_CMD", f"{tmp_path}/none")
     with pytest.raises(SystemExit, match="no OCR program"):
