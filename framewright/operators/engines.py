@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 
 from framewright.functions import parse
 from framewright.functions.frames import frame_name, media_type, second_label
-from framewright.session import ship
+from framewright.session import bound_arrow, ship
 
 #: The texts that stand for a failed OCR.
 OCR_EMPTY, OCR_ERROR = "<<< OCR_FAILED_EMPTY_TEXT >>>", "<<< OCR_EXCEPTION: {} >>>"
@@ -94,12 +94,15 @@ def ocr(frames: DataFrame, factory: Callable[..., OcrEngine], language: str = "e
     return frames.select("video_id", "frame_name", "content").mapInPandas(run, "video_id string, frame_name string, raw_text string, ocr_failed boolean")
 
 
+#: Rows whose texts and answers a task holds in Python at a time.
+ROWS_ASKED = 256
 ANSWER = "video_id string, batch int, response string, input_tokens long, output_tokens long, error string"
 
 
 def _asked(rows: DataFrame, factory: Callable, sampling: Sampling, call: Callable[[Callable, tuple], tuple | None]) -> DataFrame:
     """``call(engine, row)`` for every row (video_id, batch, ...): the answer, or the error that it raised; None is an empty answer."""
     ship(rows.sparkSession)
+    bound_arrow(rows.sparkSession, ROWS_ASKED)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         engine = made(factory, sampling=sampling)

@@ -81,6 +81,14 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def bound_arrow(spark: SparkSession, rows: int) -> None:
+    """From now on at most ``rows`` rows go to Python at a time, for plans that run later; a lower bound stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over at least as many partitions as there are cores, for work that costs far more than a shuffle of its input.
 

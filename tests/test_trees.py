@@ -174,6 +174,19 @@ def test_engines(spark):
     assert [r.frame_count for r in engines.decode(videos, engines.line_decoder, 30.0).collect()] == [0, 2]
 
 
+def test_a_model_task_holds_few_rows(spark):
+    from framewright.session import arrow_rows
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    asked = spark.createDataFrame([("v", 0, "text")], "video_id string, batch int, batch_text string")
+    with arrow_rows(spark, 10_000):
+        engines.call_model(asked, "p", engines.echo_model)
+        assert int(spark.conf.get(key)) == 256
+    with arrow_rows(spark, 1):
+        engines.call_model(asked, "p", engines.echo_model)
+        assert int(spark.conf.get(key)) == 1
+
+
 def test_sinks(spark, tree, tmp_path):
     made = samples(spark, tree, profiles=[])
     with pytest.raises(ValueError, match="unknown export mode"):
