@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from framewright.operators.engines import ModelEngine, echo_model
+from framewright.operators.engines import ModelEngine, OcrEngine, echo_model
 
 BUSY = "busy"
 
@@ -17,3 +17,15 @@ def moody_model() -> ModelEngine:
         return echo(prompt, text)
 
     return ask
+
+
+def marked_ocr() -> OcrEngine:
+    """The first byte tells what happens, so that a text may begin with anything: ``=`` the rest is the text, ``!`` it is raised; without bytes there is no text."""
+
+    def read(content: bytes) -> str | None:
+        mark, rest = content[:1], content[1:].decode()
+        if mark == b"!":
+            raise ValueError(rest)
+        return rest if mark == b"=" else None
+
+    return read

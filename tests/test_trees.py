@@ -187,6 +187,16 @@ def test_a_model_task_holds_few_rows(spark):
         assert int(spark.conf.get(key)) == 1
 
 
+def test_failed_ocr_is_told_from_odd_texts(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    texts = [(2, "!bang"), (5, " \n"), (8, ""), (11, "=x"), (1, "y"), (3, "z")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.video_id: (r.raw_text, r.ocr_failed) for r in entry.queries()["ocr_failed_sentinel"](spark, str(tmp_path)).collect()}
+    plain = {"2": ("!bang", False), "5": ("", False), "8": ("", False), "11": ("=x", False)}
+    assert got == plain | {"1": ("<<< OCR_EXCEPTION: page 1 >>>", True), "3": (engines.OCR_EMPTY, True)}
+
+
 def test_sinks(spark, tree, tmp_path):
     made = samples(spark, tree, profiles=[])
     with pytest.raises(ValueError, match="unknown export mode"):
