@@ -196,7 +196,7 @@ class Noise:
                     count_words = lambda k: F.least(draw_int(start, i, int(low), int(high), 2, k), F.size(w))
                     return F.aggregate(F.sequence(F.lit(1), count), line, lambda acc, k: let(count_words(k), lambda n: steps[mode](acc, w, n)))
 
-                hit = (tx.strip(line) != "") & (draw(start, i) < probability)
+                hit = (draw(start, i) < probability) & (tx.strip_bound(line) != "")
                 return F.when(hit, let(tx.words(line), repeat)).otherwise(line)
 
             return F.array_join(F.transform(tx.lines(t), line_noise), self.line_join)
@@ -230,12 +230,15 @@ class Noise:
         length = F.when(size == 1, 1).otherwise(F.greatest(F.lit(1), F.floor(size * ratio).cast("int")))
 
         def insert(n: Column) -> Column:
-            def place(part: Column) -> Column:
-                same = lambda j: (F.get(w, j - 1) == F.get(part, F.lit(0))) & (F.slice(w, j, n) == part)
-                first = F.array_min(F.filter(F.sequence(F.lit(1), size - n + 1), same))
-                return let(first, lambda j: F.array_join(F.concat(F.slice(w, 1, j + n - 1), part, F.slice(w, j + n, size)), " "))
+            """The stretch again after its first occurrence, sought in the joined words: comparing lists word by word costs the square of a long line."""
 
-            return let(F.slice(w, draw_int(start, i, 1, size - n + 1, 3, k), n), place)
+            def again(joined: Column, part: Column) -> Column:
+                first = F.instr(F.concat(F.lit(" "), joined, F.lit(" ")), F.concat(F.lit(" "), part, F.lit(" ")))
+                end = first + F.char_length(part)
+                return let(end, lambda e: F.concat(F.substr(joined, F.lit(1), e - 1), F.lit(" "), part, F.substr(joined, e)))
+
+            stretch = F.array_join(F.slice(w, draw_int(start, i, 1, size - n + 1, 3, k), n), " ")
+            return let(F.array_join(w, " "), lambda joined: let(stretch, lambda part: again(joined, part)))
 
         return let(length, insert)
 

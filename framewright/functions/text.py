@@ -13,6 +13,12 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, rf"(?U)\A{BLANK}+|{BLANK}+\z", "")
 
 
+def strip_bound(text: Column) -> Column:
+    """``strip`` of a bound name: the expression, which tries every position, runs for texts with white space at an end only."""
+    ends = F.concat(F.substring(text, 1, 1), F.substring(text, -1, 1))
+    return F.when(ends.rlike(rf"(?U){BLANK}"), strip(text)).otherwise(text)
+
+
 def clean_ocr(text: Column) -> Column:
     """Lines stripped, blank lines dropped, runs of spaces and tabs made one space; null becomes empty."""
     lines = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), "\r\n?", "\n"), "\n", -1)
@@ -23,12 +29,12 @@ def clean_ocr(text: Column) -> Column:
 def sentences(text: Column) -> Column:
     """Pieces that end after ``.``, ``!`` or ``?``, stripped, without blank ones."""
     pieces = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"([^.!?]*[.!?]|[^.!?]+\z)"), F.lit(1))
-    return F.filter(F.transform(pieces, strip), lambda s: s != "")
+    return F.filter(F.transform(pieces, strip_bound), lambda s: s != "")
 
 
 def words(text: Column) -> Column:
     """Stretches between white space; none for a blank text."""
-    flat = strip(F.regexp_replace(F.coalesce(text, F.lit("")), rf"(?U){BLANK}+", " "))
+    flat = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), rf"(?U){BLANK}+", " "))
     return F.when(flat == "", F.array().cast("array<string>")).otherwise(F.split(flat, " "))
 
 

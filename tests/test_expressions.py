@@ -217,3 +217,15 @@ def test_scalars(spark):
     sizes = spark.createDataFrame([(1920, 1080, 1024), (800, 600, 1024), (1920, 1080, 0)], "w int, h int, m int")
     w, h = frames.resized(F.col("w"), F.col("h"), F.col("m"))
     assert [tuple(r) for r in sizes.select(w, h).collect()] == [(1024, 576), (800, 600), (1920, 1080)]
+
+
+def test_a_long_line_of_equal_beginnings_repeats_a_stretch_in_time(spark):
+    import time
+
+    line = "a " * 20_000 + "b"
+    df = spark.createDataFrame([(k, line) for k in range(4)], "k int, t string").repartition(4)
+    noisy = augment.Noise(1, F.col("k")).partial_lines(F.col("t"), 1.0, "random_ratio", 0.4, 0.6)
+    began = time.time()
+    rows = df.select(noisy.alias("t")).collect()
+    assert time.time() - began < 15
+    assert all(28_000 <= len(r.t.split()) <= 32_002 and set(r.t.split()) == {"a", "b"} for r in rows)
